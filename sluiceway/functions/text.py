@@ -10,10 +10,25 @@ from pyspark.sql import functions as F
 GREETING_START = "Hello "
 GREETING_END = "!"
 
+# Fixed value: a UTF-8 encoded surrogate, perhaps cut short, with bytes as Latin-1 letters.
+ENCODED_SURROGATE = "\u00ed[\u00a0-\u00bf][\u0080-\u00bf]?"
+
 
 def payload_text(payload: Column) -> Column:
     """The payload as UTF-8 text; every malformed byte sequence becomes U+FFFD."""
-    return F.make_valid_utf8(payload.cast("string"))
+    return repaired(payload.cast("string"))
+
+
+def repaired(text: Column) -> Column:
+    """``text`` with each malformed byte sequence as one U+FFFD, where the JVM puts one.
+
+    The JVM takes a surrogate encoded in UTF-8 for one malformed sequence,
+    ``make_valid_utf8`` for two or three, so those are made a single bad byte first.
+    """
+    latin = F.decode(text.cast("binary"), "ISO-8859-1")
+    single = F.regexp_replace(latin, ENCODED_SURROGATE, "\u00ff")
+    malformed = F.encode(single, "ISO-8859-1").cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(F.make_valid_utf8(malformed))
 
 
 def second_word(text: Column) -> Column:
@@ -22,15 +37,19 @@ def second_word(text: Column) -> Column:
     return F.when(F.contains(text, F.lit(" ")), F.substring_index(first_two, " ", -1))
 
 
-def greeting_name(payload: Column, on_malformed: str = "fail") -> Column:
+def greeted_word(payload: Column) -> Column:
+    """The second word of a payload as repaired text; NULL or empty if there is none."""
+    # A space is never part of a malformed UTF-8 sequence, so repairing the word gives the
+    # same text as repairing the whole payload first.
+    return repaired(second_word(payload.cast("string")))
+
+
+def name_of_word(word: Column, on_malformed: str = "fail") -> Column:
     """The name in a greeting: its second word without the last character.
 
     A payload without a second word is malformed. ``on_malformed="fail"`` raises on it,
     ``"quarantine"`` gives NULL so that the caller can set such rows apart.
     """
-    # A space is never part of a malformed UTF-8 sequence, so repairing the word gives the
-    # same text as repairing the whole payload first.
-    word = F.make_valid_utf8(second_word(payload.cast("string")))
     name = F.when(F.octet_length(word) > 0, F.left(word, F.length(word) - 1))
     if on_malformed == "fail":
         return name.otherwise(F.raise_error(F.lit("malformed greeting: the payload has no second word")))

@@ -1,4 +1,8 @@
-"""Avro and Protobuf encoding of records of required strings, as Column expressions."""
+"""Avro and Protobuf encoding of records of required strings, as SQL expressions.
+
+They are SQL text because one parsed expression is far cheaper to build than the few
+hundred Column objects it stands for; a stream builds it anew in every micro-batch.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -8,44 +12,44 @@ from pyspark.sql import functions as F
 MAX_LENGTH_GROUPS = 5
 
 
-def varint(number: Column) -> Column:
-    """A non-negative BIGINT, below 2^35, as a base-128 varint."""
-    encoded = F.when(number < 128, F.char(number).cast("binary"))
+def varint(number: str) -> str:
+    """SQL of a non-negative BIGINT, below 2^35, as a base-128 varint."""
+    cases = [f"WHEN {number} < 128 THEN cast(chr({number}) AS binary)"]
     for groups in range(2, MAX_LENGTH_GROUPS + 1):
-        encoded = encoded.when(number < 1 << 7 * groups, _varint_of(number, groups))
-    return encoded
+        cases.append(f"WHEN {number} < {1 << 7 * groups} THEN {_varint_of(number, groups)}")
+    return f"CASE {' '.join(cases)} END"
 
 
-def _varint_of(number: Column, groups: int) -> Column:
+def _varint_of(number: str, groups: int) -> str:
     # All groups but the last carry the continuation bit, so the hexadecimal form of the
     # assembled big-endian integer never loses a leading zero.
-    assembled = F.shiftright(number, 7 * (groups - 1))
-    for group in range(groups - 1):
-        byte = F.shiftright(number, 7 * group).bitwiseAND(0x7F).bitwiseOR(0x80)
-        assembled = assembled.bitwiseOR(F.shiftleft(byte, 8 * (groups - 1 - group)))
-    return F.unhex(F.hex(assembled))
+    last = groups - 1
+    assembled = [f"shiftright({number}, {7 * last})"]
+    for group in range(last):
+        byte = f"(shiftright({number}, {7 * group}) & 127 | 128)"
+        assembled.append(f"shiftleft({byte}, {8 * (last - group)})")
+    return f"unhex(hex({' | '.join(assembled)}))"
 
 
-def avro_record(*fields: Column) -> Column:
+def avro_record(*columns: str) -> Column:
     """One Avro datum, without any header: each string as zig-zag length and UTF-8 bytes."""
     parts = []
-    for field in map(_required, fields):
-        parts += [varint(F.octet_length(field).cast("bigint") * 2), field.cast("binary")]
-    return F.concat(*parts)
+    for column in columns:
+        parts += [varint(f"(2L * octet_length({column}))"), f"cast({column} AS binary)"]
+    return _of_required(parts, columns)
 
 
-def protobuf_message(*fields: Column) -> Column:
+def protobuf_message(*columns: str) -> Column:
     """One Protobuf message: string fields numbered from 1, in order."""
     parts = []
-    for number, field in enumerate(map(_required, fields), start=1):
-        tag = number << 3 | 2
-        parts += [
-            F.lit(bytes([tag])),
-            varint(F.octet_length(field).cast("bigint")),
-            field.cast("binary"),
-        ]
-    return F.concat(*parts)
-
-
-def _required(field: Column) -> Column:
-    return F.coalesce(field, F.raise_error(F.lit("a required field is NULL")))
+    for number, column in enumerate(columns, start=1):
+        tag = f"X'{number << 3 | 2:02X}'"
+        length = varint(f"cast(octet_length({column}) AS bigint)")
+        parts += [tag, length, f"cast({column} AS binary)"]
+    return _of_required(parts, columns)
+
+
+def _of_required(parts: list[str], columns: tuple[str, ...]) -> Column:
+    # The concatenation is NULL exactly if one of the columns is.
+    error = f"raise_error('one of {', '.join(columns)} is NULL, but all are required')"
+    return F.expr(f"coalesce(concat({', '.join(parts)}), {error})")

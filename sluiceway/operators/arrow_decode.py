@@ -8,6 +8,7 @@ batch and field, not per row. Field values are cut out of the batch's own data b
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VARINT_MAX_BYTES = 10
 
@@ -98,8 +99,8 @@ class _OpenGroups:
             self.inside[rows[i]] = bool(stack)
 
 
-def _struct_type(count: int) -> str:
-    return "struct<" + ", ".join(f"f{i}: binary" for i in range(count)) + ">"
+def _struct_type(count: int) -> T.StructType:
+    return T.StructType([T.StructField(f"f{i}", T.BinaryType()) for i in range(count)])
 
 
 def _struct(fields: list[pa.Array]) -> pa.Array:

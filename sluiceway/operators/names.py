@@ -4,7 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.stamps import processing_time as stamp
-from sluiceway.functions.text import first_match, greeting_name, payload_text, utf16_shorter_than
+from sluiceway.functions.text import (
+    first_match,
+    greeted_word,
+    name_of_word,
+    payload_text,
+    utf16_shorter_than,
+)
 
 # Names must be shorter than this many UTF-16 units; the routes, which are
 # the first letters they take, in the order they are tried.
@@ -25,8 +31,9 @@ def extract_names(messages: DataFrame, on_malformed: str = "fail") -> DataFrame:
     """
     # The one-element explode makes Spark evaluate the name once. As a plain projection it
     # would be copied into every later filter that tests the name (length, each route).
-    name = greeting_name(F.col("payload"), on_malformed)
-    return messages.select("*", F.explode(F.array(name)).alias("name"))
+    words = messages.withColumn("_word", greeted_word(F.col("payload")))
+    name = name_of_word(F.col("_word"), on_malformed)
+    return words.select("*", F.explode(F.array(name)).alias("name")).drop("_word")
 
 
 def short_names(names: DataFrame) -> DataFrame:

@@ -37,12 +37,12 @@ def with_user_ids(users: DataFrame) -> DataFrame:
 
 def encode_avro(users: DataFrame) -> DataFrame:
     """Add ``payload``, one raw Avro datum of ``id, first_name, last_name``."""
-    return users.withColumn("payload", avro_record(*map(F.col, USER_COLUMNS)))
+    return users.withColumn("payload", avro_record(*USER_COLUMNS))
 
 
 def encode_protobuf(users: DataFrame) -> DataFrame:
     """Add ``payload``, one Protobuf message of ``id, first_name, last_name``."""
-    return users.withColumn("payload", protobuf_message(*map(F.col, USER_COLUMNS)))
+    return users.withColumn("payload", protobuf_message(*USER_COLUMNS))
 
 
 def decode_avro(messages: DataFrame, decoder: str = "auto") -> DataFrame:
@@ -99,9 +99,9 @@ def _decode_avro_builtin(messages: DataFrame) -> DataFrame:
     )
     decoded = messages.withColumn("user_message", datum)
     # The built-in reader ignores what follows the datum.
-    fields = [F.col(f"user_message.{field}") for field in AVRO_FIELDS]
+    fields = [f"user_message.{field}" for field in AVRO_FIELDS]
     whole = F.octet_length(avro_record(*fields)) == F.octet_length("payload")
-    text = F.struct(*(payload_text(f.cast("binary")).alias(n) for f, n in zip(fields, AVRO_FIELDS)))
+    text = F.struct(*(payload_text(F.col(f)).alias(n) for f, n in zip(fields, AVRO_FIELDS)))
     return decoded.withColumn(
         "user_message",
         F.when(whole, text).otherwise(F.raise_error(F.lit("bytes follow the Avro datum"))),

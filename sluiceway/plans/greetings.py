@@ -12,13 +12,13 @@ from sluiceway.sources.topics import read_subscription
 from sluiceway.streaming.writers import append_routes
 
 
-def routed_names(messages: DataFrame, processing_time: Column | None = None) -> DataFrame:
-    """Rows ``route, name, timestamp`` of the short A and B names in greeting messages."""
+def routed_names(messages: DataFrame) -> DataFrame:
+    """Rows ``route, name`` of the short A and B names in greeting messages."""
     return (
         messages.transform(extract_names)
         .transform(short_names)
         .transform(route_names)
-        .transform(name_rows, processing_time, keep=("route",))
+        .select("route", "name")
     )
 
 
@@ -34,9 +34,13 @@ def route_greetings(
     **read_options,
 ) -> StreamingQuery:
     """Read greetings from a subscription and append short names to the A or B table."""
-    messages = read_subscription(spark, topic, **read_options)
-    rows = routed_names(messages, processing_time)
-    return append_routes(rows, {"A": a_table, "B": b_table}, checkpoint, trigger)
+    return append_routes(
+        read_subscription(spark, topic, **read_options).transform(routed_names),
+        {"A": a_table, "B": b_table},
+        checkpoint,
+        trigger,
+        to_rows=lambda names: name_rows(names, processing_time),
+    )
 
 
 def publish_greetings(names: DataFrame, topic: str) -> DataFrame:

@@ -48,8 +48,13 @@ def ingest_avro(
     """
     since = start_position(spark, checkpoint, start)
     messages = read_topic(spark, topic, since, **read_options)
-    rows = messages.transform(decode_avro, decoder).transform(avro_rows, processing_time)
-    return append_stream(rows, table, checkpoint, trigger)
+    return append_stream(
+        messages.transform(decode_avro, decoder).select("user_message"),
+        table,
+        checkpoint,
+        trigger,
+        to_rows=lambda decoded: avro_rows(decoded, processing_time),
+    )
 
 
 def ingest_protobuf(
@@ -65,5 +70,10 @@ def ingest_protobuf(
 ) -> StreamingQuery:
     """Append the Protobuf user messages of a subscription."""
     messages = read_subscription(spark, topic, **read_options)
-    rows = messages.transform(decode_protobuf, decoder).transform(protobuf_rows, processing_time)
-    return append_stream(rows, table, checkpoint, trigger)
+    return append_stream(
+        messages.transform(decode_protobuf, decoder).select("user_message"),
+        table,
+        checkpoint,
+        trigger,
+        to_rows=lambda decoded: protobuf_rows(decoded, processing_time),
+    )

@@ -1,6 +1,11 @@
 """Append a stream to existing tables, micro-batch by micro-batch.
 
 Delivery is at-least-once: a micro-batch that failed half way is written again.
+
+``to_rows`` turns a micro-batch into table rows just before it is appended. Stamping the
+processing time there, and not in the stream itself, keeps the time, which is a new literal
+in every micro-batch, out of the code that Spark generates and compiles for reading and
+decoding; that code is then compiled once for the whole stream.
 """
 
 from collections.abc import Callable, Mapping
@@ -12,20 +17,30 @@ from pyspark.sql.streaming import StreamingQuery
 from sluiceway.operators.names import take_route
 from sluiceway.sinks.tables import append_rows
 
+ToRows = Callable[[DataFrame], DataFrame]
+
 
 def append_stream(
-    rows: DataFrame, table: str, checkpoint: str, trigger: Mapping | None = None
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    trigger: Mapping | None = None,
+    to_rows: ToRows = lambda batch: batch,
 ) -> StreamingQuery:
     """Append every micro-batch to one table. Returns the running query."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_rows(batch, table)
+        append_rows(to_rows(batch), table)
 
-    return start(rows, write, checkpoint, trigger)
+    return _start(stream, write, checkpoint, trigger)
 
 
 def append_routes(
-    routed: DataFrame, tables: Mapping[str, str], checkpoint: str, trigger: Mapping | None = None
+    routed: DataFrame,
+    tables: Mapping[str, str],
+    checkpoint: str,
+    trigger: Mapping | None = None,
+    to_rows: ToRows = lambda batch: batch,
 ) -> StreamingQuery:
     """Append the rows of each ``route`` to its own table, reading the source once.
 
@@ -37,21 +52,20 @@ def append_routes(
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for route, table in tables.items():
-                append_rows(take_route(batch, route), table)
+                append_rows(to_rows(take_route(batch, route)), table)
         finally:
             batch.unpersist()
 
-    return start(routed, write, checkpoint, trigger)
+    return _start(routed, write, checkpoint, trigger)
 
 
-def start(
-    rows: DataFrame,
+def _start(
+    stream: DataFrame,
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
-    trigger: Mapping | None = None,
+    trigger: Mapping | None,
 ) -> StreamingQuery:
-    """Start a query that hands each micro-batch to ``write``; does not wait for it."""
-    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()

@@ -1,0 +1,262 @@
+"""Encoded bytes and decoded fields, against the JVM's Avro and Python's Protobuf libraries."""
+
+import pyarrow as pa
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
+
+from sluiceway.functions.wire import varint
+from sluiceway.operators.arrow_decode import avro_fields, protobuf_fields
+from sluiceway.operators.user_messages import (
+    avro_rows,
+    decode_avro,
+    decode_protobuf,
+    encode_avro,
+    encode_greetings,
+    encode_protobuf,
+    protobuf_rows,
+    with_user_ids,
+)
+from sluiceway.schemas import MESSAGE, USER_MESSAGE, USER_MESSAGE_AVSC, USER_MESSAGE_DESCRIPTOR_HEX
+
+# Sizes around which a length takes one more byte, plain or doubled.
+SIZES = [0, 1, 63, 64, 127, 128, 8191, 8192, 16383, 16384, 1 << 20, 1 << 21]
+USERS = [
+    ("1", "A", "B"),
+    ("", "", ""),
+    ("id", "Zoë", "😀 €"),
+    *((str(size), "x" * size, "é" * (size // 2)) for size in SIZES),
+]
+
+
+def users_frame(spark, users):
+    return spark.createDataFrame(users, USER_MESSAGE)
+
+
+def payloads(frame):
+    return [bytes(row["payload"]) for row in frame.select("payload").collect()]
+
+
+def frame_of(spark, *messages):
+    return spark.createDataFrame([(bytearray(m) if m is not None else None,) for m in messages], "payload binary")
+
+
+def decoded(frame):
+    return [tuple(row["user_message"]) for row in frame.select("user_message").collect()]
+
+
+def test_varint_widths(spark):
+    numbers = [n for w in range(1, 6) for n in (2 ** (7 * w) - 1, 2 ** (7 * w))][:-1] + [0, 1]
+
+    def expected(n):
+        groups = []
+        while n >= 128:
+            groups.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*groups, n])
+
+    rows = spark.createDataFrame([(n,) for n in numbers], "n bigint").selectExpr(
+        "n", f"{varint('n')} AS v"
+    )
+    assert {r["n"]: bytes(r["v"]) for r in rows.collect()} == {n: expected(n) for n in numbers}
+
+
+def test_bytes_by_hand(spark):
+    one = users_frame(spark, [("1", "A", "B")])
+    assert payloads(one.transform(encode_avro)) == [bytes.fromhex("023102410242")]
+    assert payloads(one.transform(encode_protobuf)) == [bytes.fromhex("0A01311201411A0142")]
+
+
+def test_greeting(spark):
+    rows = spark.createDataFrame([("Zoë",)], "name string").transform(encode_greetings).collect()
+    assert bytes(rows[0]["payload"]) == "Hello Zoë!".encode()
+    assert rows[0]["attributes"] == {"first_name": "Zoë"}
+
+
+@pytest.mark.parametrize("encode", [encode_avro, encode_protobuf])
+def test_null_field_is_refused(spark, encode):
+    frame = spark.createDataFrame([("1", None, "B")], "id string, first_name string, last_name string")
+    with pytest.raises(PySparkException, match="is NULL, but all are required"):
+        frame.transform(encode).collect()
+
+
+def test_avro_bytes_read_by_the_jvm_library(spark):
+    avro = spark._jvm.org.apache.avro
+    schema = avro.Schema.Parser().parse(USER_MESSAGE_AVSC)
+    reader = avro.generic.GenericDatumReader(schema)
+    for user, payload in zip(USERS, payloads(users_frame(spark, USERS).transform(encode_avro))):
+        decoder = avro.io.DecoderFactory.get().binaryDecoder(payload, None)
+        datum = reader.read(None, decoder)
+        assert decoder.isEnd()
+        assert tuple(datum.get(i).toString() for i in range(3)) == user
+
+
+def protobuf_class():
+    pool = pytest.importorskip("google.protobuf.descriptor_pool").DescriptorPool()
+    descriptors = pytest.importorskip("google.protobuf.descriptor_pb2")
+    factory = pytest.importorskip("google.protobuf.message_factory")
+    files = descriptors.FileDescriptorSet.FromString(bytes.fromhex(USER_MESSAGE_DESCRIPTOR_HEX))
+    pool.Add(files.file[0])
+    return factory.GetMessageClass(pool.FindMessageTypeByName("UserMessage"))
+
+
+def test_protobuf_bytes_read_by_the_python_library(spark):
+    message_class = protobuf_class()
+    encoded = payloads(users_frame(spark, USERS).transform(encode_protobuf))
+    for user, payload in zip(USERS, encoded):
+        message = message_class.FromString(payload)
+        assert (message.id, message.firstName, message.lastName) == user
+        assert message.IsInitialized()
+        assert message.SerializeToString() == payload
+
+
+@pytest.mark.parametrize(
+    "encode, decode", [(encode_avro, decode_avro), (encode_protobuf, decode_protobuf)]
+)
+def test_round_trip(spark, encode, decode):
+    assert decoded(users_frame(spark, USERS).transform(encode).transform(decode)) == USERS
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.tuples(st.text(), st.text(max_size=200), st.text()), min_size=1, max_size=50))
+def test_round_trip_of_random_text(spark, users):
+    frame = users_frame(spark, users)
+    assert decoded(frame.transform(encode_avro).transform(decode_avro)) == users
+    assert decoded(frame.transform(encode_protobuf).transform(decode_protobuf)) == users
+
+
+def test_rows(spark):
+    time = F.lit("2026-01-02T03:04:05Z").cast("timestamp")
+    frame = users_frame(spark, USERS[:1])
+    avro = frame.transform(encode_avro).transform(decode_avro).transform(avro_rows, time)
+    proto = frame.transform(encode_protobuf).transform(decode_protobuf)
+    assert proto.schema["user_message"].dataType.fieldNames() == ["id", "firstName", "lastName"]
+    proto = proto.transform(protobuf_rows, time)
+    assert avro.columns == proto.columns == ["id", "first_name", "last_name", "timestamp"]
+    assert avro.collect() == proto.collect()
+
+
+@pytest.mark.parametrize(
+    "payload, reason",
+    [
+        (None, "truncated"),
+        ("", "truncated"),
+        ("023102410442", "truncated"),
+        ("0231024102", "truncated"),
+        ("02310241", "truncated"),
+        ("0231024180", "truncated"),
+        ("02310241024200", "bytes follow"),
+        ("01310241", "negative"),
+        ("ffffffffffffffffffff00", "longer than ten"),
+        ("feffffffffffffffff0131", "truncated"),
+    ],
+)
+def test_malformed_avro_fails(spark, payload, reason):
+    good = bytes.fromhex("023102410242")
+    bad = None if payload is None else bytes.fromhex(payload)
+    with pytest.raises(PySparkException, match=reason):
+        frame_of(spark, good, bad).transform(decode_avro).collect()
+
+
+def test_avro_length_in_more_bytes_than_needed(spark):
+    payload = bytes.fromhex("8200318280004102" + "42")
+    assert decoded(frame_of(spark, payload).transform(decode_avro)) == [("1", "A", "B")]
+
+
+@pytest.mark.parametrize(
+    "payload, reason",
+    [
+        (None, "required"),
+        ("", "required"),
+        ("0a0131120141", "required"),
+        ("0a01311201411a02", "truncated"),
+        ("0a01311201411a0142" + "20", "truncated"),
+        ("0a01311201411a0142" + "21000000", "truncated"),
+        ("0a01311201411a0142" + "00", "invalid tag"),
+        ("0a01311201411a0142" + "26", "invalid tag"),
+        ("0a01311201411a0142" + "2c", "unmatched group"),
+        ("0a01311201411a0142" + "23", "inside a group"),
+        ("0a01311201411a0142" + "23" + "2c", "unmatched group"),
+        ("0801" + "1201411a0142", "required"),
+        ("230a0131" + "24" + "1201411a0142", "required"),
+    ],
+)
+def test_malformed_protobuf_fails(spark, payload, reason):
+    good = bytes.fromhex("0a01311201411a0142")
+    bad = None if payload is None else bytes.fromhex(payload)
+    with pytest.raises(PySparkException, match=reason):
+        frame_of(spark, good, bad).transform(decode_protobuf).collect()
+
+
+UNUSUAL_PROTOBUF = [
+    "1a0142" + "0a0131" + "120141",  # any order
+    "0a01390a0131" + "120141" + "1a01391a0142",  # the last value wins
+    "0a0131" + "2096ff01" + "120141" + "29" + "00" * 8 + "1a0142" + "35" + "00" * 4,  # unknown
+    "0a0131" + "120141" + "1a0142" + "4a0401020304",  # unknown bytes at the end
+    "0801" + "0a0131" + "120141" + "1a0142",  # known number, other wire type
+    "23" + "0a0139" + "2b1001" + "2c" + "24" + "0a0131120141" + "1a0142",  # nested groups
+    "8a8000" + "0131" + "128100" + "41" + "1a0142",  # tags and lengths longer than needed
+]
+
+
+def test_unusual_protobuf(spark):
+    messages = [bytes.fromhex(m) for m in UNUSUAL_PROTOBUF]
+    message_class = protobuf_class()
+    for message in messages:
+        parsed = message_class.FromString(message)
+        assert (parsed.id, parsed.firstName, parsed.lastName) == ("1", "A", "B")
+    frame = frame_of(spark, *messages).coalesce(1)
+    assert decoded(frame.transform(decode_protobuf)) == [("1", "A", "B")] * len(messages)
+
+
+def test_bad_utf8_in_a_field_becomes_replacement_characters(spark):
+    avro = frame_of(spark, bytes.fromhex("02FF02410242")).transform(decode_avro)
+    proto = frame_of(spark, bytes.fromhex("0A01FF1201411A0142")).transform(decode_protobuf)
+    assert decoded(avro) == decoded(proto) == [("�", "A", "B")]
+
+
+@pytest.mark.parametrize(
+    "decode, message", [(avro_fields(3), "023102410242"), (protobuf_fields(3), "0a01311201411a0142")]
+)
+@pytest.mark.parametrize("kind", [pa.binary(), pa.large_binary()])
+def test_slices_and_empty_batches(decode, message, kind):
+    batch = pa.array([b"", bytes.fromhex(message), bytes.fromhex(message), b""], kind)
+    expected = [{"f0": b"1", "f1": b"A", "f2": b"B"}]
+    assert decode.func(batch.slice(1, 2)).to_pylist() == expected * 2
+    assert decode.func(batch.slice(1, 0)).to_pylist() == []
+    assert decode.func(pa.array([], kind)).to_pylist() == []
+
+
+@pytest.mark.parametrize("decode", [decode_avro, decode_protobuf])
+def test_payloads_are_decoded_once(spark, folder, decode):
+    """Also when a decoded field is filtered on; only the payload is read."""
+    spark.createDataFrame([], MESSAGE).write.parquet(f"{folder}/topic")
+    messages = spark.read.parquet(f"{folder}/topic")
+    filtered = messages.transform(decode, "arrow").where("user_message.id > 'a'").select("user_message.*")
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert "ReadSchema: struct<payload:binary>" in plan
+    assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("decode", [decode_avro, decode_protobuf])
+def test_choice_of_decoder(spark, decode):
+    frame = frame_of(spark, b"")
+    with pytest.raises(ValueError):
+        decode(frame, "fastest")
+    try:
+        decode(frame, "builtin").schema
+    except AnalysisException as error:
+        assert error.getCondition().endswith("NOT_LOADED_SQL_FUNCTIONS_UNUSABLE")
+        plan = decode(frame)._jdf.queryExecution().executedPlan().toString()
+        assert "ArrowEvalPython" in plan
+
+
+def test_ids_are_kept_or_made(spark):
+    frame = users_frame(spark, USERS[:1])
+    assert frame.transform(with_user_ids).head()["id"] == "1"
+    assert len(frame.drop("id").transform(with_user_ids).head()["id"]) == 36

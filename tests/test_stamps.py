@@ -1,0 +1,36 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluiceway.functions.stamps import instant_text, processing_time, random_id
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_instant_text_equals_that_of_the_jvm(spark, zone):
+    micros = [0, 1, 1000, 999_999, 1_767_323_045_678_000, 1_767_323_045_120_000, -1, -1_000_000, 10**15]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.createDataFrame([(m,) for m in micros], "m bigint").select(
+            "m", instant_text(F.timestamp_micros("m")).alias("text")
+        )
+        texts = {row["m"]: row["text"] for row in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    epoch = spark._jvm.java.time.Instant.EPOCH
+    unit = spark._jvm.java.time.temporal.ChronoUnit.MICROS
+    assert texts == {m: epoch.plus(m, unit).toString() for m in micros}
+
+
+def test_processing_time(spark):
+    before = datetime.now(timezone.utc).timestamp()
+    rows = spark.range(1000).select(processing_time().cast("double").alias("t")).distinct().collect()
+    assert len(rows) == 1
+    assert before - 1 <= rows[0]["t"] <= datetime.now(timezone.utc).timestamp() + 1
+    given = spark.range(1).select(processing_time(F.lit("x")).alias("t"))
+    assert given.head()["t"] == "x"
+
+
+def test_random_ids_differ(spark):
+    ids = spark.range(1000).select(random_id().alias("id"))
+    assert ids.distinct().count() == 1000
