@@ -31,15 +31,26 @@ def route_greetings(
     *,
     processing_time: Column | None = None,
     trigger: Mapping | None = None,
+    compact: bool = False,
     **read_options,
 ) -> StreamingQuery:
-    """Read greetings from a subscription and append short names to the A or B table."""
+    """Read greetings from a subscription and append short names to the A or B table.
+
+    Short names are a small part of what is read, and every input split leaves a file in
+    each table. ``compact=True`` shuffles the rows, evenly and without a key, into files
+    of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``; worth it for large backlogs.
+    """
+
+    def to_rows(names: DataFrame) -> DataFrame:
+        rows = name_rows(names, processing_time)
+        return rows.hint("rebalance") if compact else rows
+
     return append_routes(
         read_subscription(spark, topic, **read_options).transform(routed_names),
         {"A": a_table, "B": b_table},
         checkpoint,
         trigger,
-        to_rows=lambda names: name_rows(names, processing_time),
+        to_rows,
     )
 
 

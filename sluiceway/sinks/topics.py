@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.schemas import MESSAGE
-from sluiceway.sources.topics import topic_table
+from sluiceway.sources.topics import check_topic
 
 
 def publish(messages: DataFrame, topic: str) -> DataFrame:
@@ -15,21 +15,23 @@ def publish(messages: DataFrame, topic: str) -> DataFrame:
     ``messages`` needs a ``payload``. Missing ``attributes`` are empty, a missing
     ``publish_time`` is now, and a missing ``message_id`` is made here, unique within the
     topic, without a shuffle.
+
+    Each publication has a folder of its own in the topic. The ids are read back from
+    there, as evaluating ``messages`` again could give other ids than were written, and
+    without listing the rest of the topic.
     """
-    published = topic_table(messages.sparkSession, topic)
-    publication = f"{uuid.uuid4()}-"
+    spark = messages.sparkSession
+    check_topic(spark, topic)
+    publication = str(uuid.uuid4())
     made = {
         "attributes": F.create_map().cast(MESSAGE["attributes"].dataType),
         "publish_time": F.current_timestamp(),
-        "message_id": F.concat(F.lit(publication), F.monotonically_increasing_id()),
+        "message_id": F.concat_ws("-", F.lit(publication), F.monotonically_increasing_id()),
     }
     missing = {column: value for column, value in made.items() if column not in messages.columns}
     complete = messages.withColumns(missing).select(
         *(F.col(field.name).cast(field.dataType) for field in MESSAGE)
     )
-    complete.write.mode("append").parquet(topic)
-    if "message_id" not in missing:
-        return messages.select("message_id")
-    # Read the ids back: evaluating them again could give other ids than were written.
-    published = topic_table(messages.sparkSession, topic)
-    return published.where(F.startswith("message_id", F.lit(publication))).select("message_id")
+    folder = f"{topic.rstrip('/')}/{publication}"
+    complete.write.parquet(folder)
+    return spark.read.schema(MESSAGE).parquet(folder).select("message_id")

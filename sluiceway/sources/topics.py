@@ -1,8 +1,8 @@
 """Topics: Parquet tables of messages, read as streams.
 
-A topic is a directory with rows of :data:`sluiceway.schemas.MESSAGE`. A *subscription* is
-such a stream with a checkpoint, which is its durable cursor; a read of the *topic* sees
-only messages published since the job first started.
+A topic is a folder of files, nested or not, with rows of :data:`sluiceway.schemas.MESSAGE`.
+A *subscription* is such a stream with a checkpoint, which is its durable cursor; a read of
+the *topic* sees only messages published since the job first started.
 """
 
 from datetime import datetime, timezone
@@ -14,6 +14,9 @@ from pyspark.sql import types as T
 
 from sluiceway.schemas import MESSAGE
 
+# Each publication is a folder of its own within the topic.
+_NESTED = {"recursiveFileLookup": True}
+
 _START = T.StructType([T.StructField("start", T.TimestampType())])
 
 
@@ -23,9 +26,16 @@ def create_topic(spark: SparkSession, topic: str) -> str:
     return topic
 
 
+def check_topic(spark: SparkSession, topic: str) -> None:
+    """Raise ``FileNotFoundError`` if there is no such topic; lists none of its files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(topic)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        raise FileNotFoundError(f"no topic {topic}")
+
+
 def topic_table(spark: SparkSession, topic: str) -> DataFrame:
     """All messages of a topic, as a batch. A missing topic raises."""
-    return spark.read.schema(MESSAGE).parquet(topic)
+    return spark.read.schema(MESSAGE).options(**_NESTED).parquet(topic)
 
 
 def read_subscription(
@@ -36,7 +46,8 @@ def read_subscription(
     ``options`` go to the source. For a large backlog set ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger``, so that one micro-batch stays a bounded job.
     """
-    return spark.readStream.schema(MESSAGE).format(format).options(**options).load(topic)
+    reader = spark.readStream.schema(MESSAGE).format(format).options(**_NESTED | options)
+    return reader.load(topic)
 
 
 def read_topic(

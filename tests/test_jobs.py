@@ -77,6 +77,16 @@ def test_stream_equals_batch(spark, folder, topic, tables):
         assert sorted(scan_table(spark, table).collect()) == sorted(expected.collect())
 
 
+def test_compact_files(spark, folder, topic, tables):
+    publish_greetings(names_frame(spark, ["A", "B"] * 50).repartition(8), topic)
+    route_greetings(
+        spark, topic, *tables, f"{folder}/checkpoint", trigger=NOW, compact=True
+    ).awaitTermination()
+    for table, name in zip(tables, "AB"):
+        assert column(spark, table) == [name] * 50
+        assert len(scan_table(spark, table).inputFiles()) == 1
+
+
 def test_restart_goes_on_where_it_stopped(spark, folder, topic, tables):
     for names, expected in ((["A", "B"], ["A"]), ([], ["A"]), (["AB"], ["A", "AB"])):
         if names:

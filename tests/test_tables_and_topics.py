@@ -111,8 +111,10 @@ def test_publish_keeps_given_ids(spark, folder):
 
 def test_publish_to_a_missing_topic_fails(spark, folder):
     message = spark.createDataFrame([(bytearray(b"x"),)], "payload binary")
-    with pytest.raises(AnalysisException) as raised:
+    with pytest.raises(FileNotFoundError):
         publish(message, f"{folder}/nowhere")
+    with pytest.raises(AnalysisException) as raised:
+        topic_table(spark, f"{folder}/nowhere")
     assert raised.value.getCondition() == "PATH_NOT_FOUND"
 
 
@@ -151,8 +153,7 @@ def test_start_is_pushed_to_the_scan(spark, folder):
         .start()
     )
     query.awaitTermination()
-    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    plan = query._jsq.explainInternal(False)
     assert [bytes(r["payload"]) for r in spark.table("started").collect()] == [b"y"]
-    if plan:
-        assert "GreaterThanOrEqual(publish_time" in plan
-        assert "ReadSchema: struct<payload:binary,publish_time:timestamp>" in plan
+    assert "GreaterThanOrEqual(publish_time" in plan
+    assert "ReadSchema: struct<payload:binary,publish_time:timestamp>" in plan
