@@ -1,8 +1,8 @@
 """User messages: encode rows into payloads, decode payloads, shape rows."""
 
+from py4j.java_gateway import JavaClass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from sluiceway.functions.stamps import processing_time as stamp
 from sluiceway.functions.stamps import random_id
@@ -18,6 +18,10 @@ from sluiceway.schemas import (
 
 USER_COLUMNS = ("id", "first_name", "last_name")
 
+# Classes that are on the class path exactly if a module is.
+AVRO_MODULE_CLASS = "org.apache.spark.sql.avro.AvroDataToCatalyst"
+PROTOBUF_MODULE_CLASS = "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst"
+
 
 def encode_greetings(names: DataFrame) -> DataFrame:
     """Add ``payload``, the greeting of ``name``, and ``attributes`` with ``first_name``."""
@@ -52,7 +56,7 @@ def decode_avro(messages: DataFrame, decoder: str = "auto") -> DataFrame:
     ``"builtin"`` (Spark's Avro module), ``"arrow"`` (no module needed) or ``"auto"``: the
     first of the two that the session can run.
     """
-    if _use_builtin(messages.sparkSession, decoder, "avro"):
+    if _use_builtin(messages.sparkSession, decoder, AVRO_MODULE_CLASS):
         return _decode_avro_builtin(messages)
     return _decode_arrow(messages, avro_fields(len(AVRO_FIELDS)), AVRO_FIELDS)
 
@@ -64,7 +68,7 @@ def decode_protobuf(messages: DataFrame, decoder: str = "auto") -> DataFrame:
     fields are skipped and the last of repeated values wins. ``decoder`` as in
     :func:`decode_avro`, with Spark's Protobuf module.
     """
-    if _use_builtin(messages.sparkSession, decoder, "protobuf"):
+    if _use_builtin(messages.sparkSession, decoder, PROTOBUF_MODULE_CLASS):
         return _decode_protobuf_builtin(messages)
     return _decode_arrow(messages, protobuf_fields(len(PROTOBUF_FIELDS)), PROTOBUF_FIELDS)
 
@@ -123,20 +127,15 @@ def _fail_fast() -> Column:
     return F.create_map(F.lit("mode"), F.lit("FAILFAST"))
 
 
-def _use_builtin(spark: SparkSession, decoder: str, module: str) -> bool:
+def _use_builtin(spark: SparkSession, decoder: str, module_class: str) -> bool:
     if decoder not in ("auto", "builtin", "arrow"):
         raise ValueError(f"decoder must be 'auto', 'builtin' or 'arrow', not {decoder!r}")
-    return decoder == "builtin" or (decoder == "auto" and _is_loaded(spark, module))
-
-
-def _is_loaded(spark: SparkSession, module: str) -> bool:
-    """Whether the session has Spark's Avro or Protobuf module. Analyzes, runs nothing."""
-    probe = spark.range(0).select(F.lit(b"").alias("payload"))
-    builtin = {"avro": _decode_avro_builtin, "protobuf": _decode_protobuf_builtin}[module]
-    try:
-        builtin(probe).schema
-    except AnalysisException as error:
-        if "NOT_LOADED" in (error.getCondition() or ""):
-            return False
-        raise
-    return True
+    return decoder == "builtin" or (decoder == "auto" and _is_loaded(spark, module_class))
+
+
+def _is_loaded(spark: SparkSession, module_class: str) -> bool:
+    """Whether Spark's class path has a class of an optional module."""
+    found = spark._jvm
+    for part in module_class.split("."):
+        found = getattr(found, part)
+    return isinstance(found, JavaClass)

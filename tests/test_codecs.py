@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluiceway.functions.wire import varint
 from sluiceway.operators.arrow_decode import avro_fields, protobuf_fields
 from sluiceway.operators.user_messages import (
+    _is_loaded,
     avro_rows,
     decode_avro,
     decode_protobuf,
@@ -256,6 +257,28 @@ def test_choice_of_decoder(spark, decode):
         assert "ArrowEvalPython" in plan
 
 
+def test_module_lookup(spark):
+    assert _is_loaded(spark, "org.apache.spark.sql.catalyst.expressions.Cast")
+    assert not _is_loaded(spark, "org.apache.spark.sql.catalyst.expressions.NoSuchClass")
+
+
+def test_large_arrow_types(spark):
+    spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", "true")
+    try:
+        test_round_trip(spark, encode_avro, decode_avro)
+        test_round_trip(spark, encode_protobuf, decode_protobuf)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+
+
+def test_many_small_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        test_round_trip(spark, encode_protobuf, decode_protobuf)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_ids_are_kept_or_made(spark):
     frame = users_frame(spark, USERS[:1])
     assert frame.transform(with_user_ids).head()["id"] == "1"
