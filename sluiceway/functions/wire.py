@@ -1,34 +1,32 @@
 """Avro and Protobuf encoding of records of required strings, as SQL expressions.
 
-They are SQL text because one parsed expression is far cheaper to build than the few
-hundred Column objects it stands for; a stream builds it anew in every micro-batch.
+They are SQL text because one parsed expression is far cheaper to build than the more than
+a hundred Column objects it stands for.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A string column holds less than 2^31 bytes, so its length (doubled in Avro) needs at
-# most five 7-bit groups.
-MAX_LENGTH_GROUPS = 5
-
 
 def varint(number: str) -> str:
-    """SQL of a non-negative BIGINT, below 2^35, as a base-128 varint."""
-    cases = [f"WHEN {number} < 128 THEN cast(chr({number}) AS binary)"]
-    for groups in range(2, MAX_LENGTH_GROUPS + 1):
-        cases.append(f"WHEN {number} < {1 << 7 * groups} THEN {_varint_of(number, groups)}")
-    return f"CASE {' '.join(cases)} END"
-
-
-def _varint_of(number: str, groups: int) -> str:
-    # All groups but the last carry the continuation bit, so the hexadecimal form of the
-    # assembled big-endian integer never loses a leading zero.
-    last = groups - 1
-    assembled = [f"shiftright({number}, {7 * last})"]
-    for group in range(last):
-        byte = f"(shiftright({number}, {7 * group}) & 127 | 128)"
-        assembled.append(f"shiftleft({byte}, {8 * (last - group)})")
-    return f"unhex(hex({' | '.join(assembled)}))"
+    """SQL of a non-negative BIGINT, below 2^35, as a base-128 varint.
+
+    A string column holds less than 2^31 bytes, so that is enough for its length, doubled
+    in Avro. The common short form is separate; one expression serves all longer ones, as
+    Java does not compile a generated method that grows beyond 8,000 bytes.
+    """
+    # The low four groups with their continuation bits, first group first: eight
+    # hexadecimal digits, since the first byte is at least 0x80.
+    groups = [f"shiftleft(shiftright({number}, {7 * i}) & 127 | 128, {24 - 8 * i})" for i in range(4)]
+    continued = (
+        f"CASE WHEN {number} < {1 << 14} THEN 1 WHEN {number} < {1 << 21} THEN 2 "
+        f"WHEN {number} < {1 << 28} THEN 3 ELSE 4 END"
+    )
+    return (
+        f"CASE WHEN {number} < 128 THEN cast(chr({number}) AS binary) ELSE "
+        f"concat(substring(unhex(hex({' | '.join(groups)})), 1, {continued}), "
+        f"cast(chr(shiftright({number}, 7 * {continued})) AS binary)) END"
+    )
 
 
 def avro_record(*columns: str) -> Column:

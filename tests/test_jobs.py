@@ -5,7 +5,9 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from sluiceway.functions.stamps import instant_text
 from sluiceway.operators.names import name_rows, take_route
 from sluiceway.operators.user_messages import encode_greetings
 from sluiceway.plans.greetings import publish_greetings, route_greetings, routed_names
@@ -77,6 +79,21 @@ def test_stream_equals_batch(spark, folder, topic, tables):
         assert sorted(scan_table(spark, table).collect()) == sorted(expected.collect())
 
 
+def test_time_as_text_for_a_string_column(spark, folder, topic):
+    schema = "name string, timestamp string"
+    tables = [new_table(spark, folder, name, StructType.fromDDL(schema)) for name in ("a", "b")]
+    publish_greetings(names_frame(spark, NAMES), topic)
+    route_greetings(
+        spark,
+        topic,
+        *tables,
+        f"{folder}/checkpoint",
+        processing_time=instant_text(F.lit(TIME)),
+        trigger=NOW,
+    ).awaitTermination()
+    assert column(spark, tables[0], "timestamp") == ["2026-01-02T03:04:05Z"] * 2
+
+
 def test_compact_files(spark, folder, topic, tables):
     publish_greetings(names_frame(spark, ["A", "B"] * 50).repartition(8), topic)
     route_greetings(
