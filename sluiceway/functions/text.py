@@ -37,13 +37,6 @@ def second_word(text: Column) -> Column:
     return F.when(F.contains(text, F.lit(" ")), F.substring_index(first_two, " ", -1))
 
 
-def greeted_word(payload: Column) -> Column:
-    """The second word of a payload as repaired text; NULL or empty if there is none."""
-    # A space is never part of a malformed UTF-8 sequence, so repairing the word gives the
-    # same text as repairing the whole payload first.
-    return repaired(second_word(payload.cast("string")))
-
-
 def name_of_word(word: Column, on_malformed: str = "fail") -> Column:
     """The name in a greeting: its second word without the last character.
 

@@ -51,37 +51,61 @@ def protobuf_fields(count: int):
     @F.arrow_udf(_struct_type(count))
     def decode(payloads: pa.Array) -> pa.Array:
         data, start, stop = _extents(payloads)
-        begin = np.full((count, len(start)), -1, np.int64)
-        end = np.full((count, len(start)), -1, np.int64)
-        groups = _OpenGroups(len(start))
-        at = start.copy()
-        rows = np.flatnonzero(at < stop)
-        while len(rows):
-            limit = stop[rows]
-            tag, body = _read_varints(data, at[rows], limit)
-            number, wire = (tag & 0xFFFFFFFF) >> 3, tag & 7
-            if (number == 0).any() or (wire > FIXED32).any():
-                raise ValueError("invalid tag in a Protobuf payload")
-            size = np.select([wire == FIXED64, wire == FIXED32], [8, 4], 0)
-            prefixed = np.flatnonzero((wire == VARINT) | (wire == LENGTH_DELIMITED))
-            value, body[prefixed] = _read_varints(data, body[prefixed], limit[prefixed])
-            size[prefixed] = np.where(wire[prefixed] == LENGTH_DELIMITED, value & 0xFFFFFFFF, 0)
-            after = _advance(body, size, limit)
-            groups.update(rows, number, wire)
-            wanted = (wire == LENGTH_DELIMITED) & (number <= count) & ~groups.inside[rows]
-            begin[number[wanted] - 1, rows[wanted]] = body[wanted]
-            end[number[wanted] - 1, rows[wanted]] = after[wanted]
-            at[rows] = after
-            rows = rows[after < limit]
-        if groups.inside.any():
-            raise ValueError("a Protobuf payload ends inside a group")
-        if (begin < 0).any():
-            raise ValueError("a Protobuf payload lacks a required field")
-        return _struct([_cut(data, begin[i], end[i]) for i in range(count)])
+        bounds = _fields_in_order(data, start, stop, count)
+        if bounds is None:
+            bounds = _fields_in_any_order(data, start, stop, count)
+        return _struct([_cut(data, begin, end) for begin, end in bounds])
 
     return decode.asNondeterministic()
 
 
+def _fields_in_order(data, start, stop, count: int):
+    """Where each field begins and ends if every message has just these, in order, else None.
+
+    That is how encoders write them, and it takes no search for the fields.
+    """
+    at = start
+    bounds = []
+    for number in range(1, count + 1):
+        if (at >= stop).any() or (data[at] != number << 3 | LENGTH_DELIMITED).any():
+            return None
+        length, begin = _read_varints(data, at + 1, stop)
+        at = _advance(begin, length & 0xFFFFFFFF, stop)
+        bounds.append((begin, at))
+    return bounds if (at == stop).all() else None
+
+
+def _fields_in_any_order(data, start, stop, count: int):
+    """Where each field begins and ends, reading the next field of every message per step."""
+    begin = np.full((count, len(start)), -1, np.int64)
+    end = np.full((count, len(start)), -1, np.int64)
+    groups = _OpenGroups(len(start))
+    at = start.copy()
+    rows = np.flatnonzero(at < stop)
+    while len(rows):
+        limit = stop[rows]
+        tag, body = _read_varints(data, at[rows], limit)
+        number, wire = (tag & 0xFFFFFFFF) >> 3, tag & 7
+        if (number == 0).any() or (wire > FIXED32).any():
+            raise ValueError("invalid tag in a Protobuf payload")
+        size = np.select([wire == FIXED64, wire == FIXED32], [8, 4], 0)
+        prefixed = np.flatnonzero((wire == VARINT) | (wire == LENGTH_DELIMITED))
+        value, body[prefixed] = _read_varints(data, body[prefixed], limit[prefixed])
+        size[prefixed] = np.where(wire[prefixed] == LENGTH_DELIMITED, value & 0xFFFFFFFF, 0)
+        after = _advance(body, size, limit)
+        groups.update(rows, number, wire)
+        wanted = (wire == LENGTH_DELIMITED) & (number <= count) & ~groups.inside[rows]
+        begin[number[wanted] - 1, rows[wanted]] = body[wanted]
+        end[number[wanted] - 1, rows[wanted]] = after[wanted]
+        at[rows] = after
+        rows = rows[after < limit]
+    if groups.inside.any():
+        raise ValueError("a Protobuf payload ends inside a group")
+    if (begin < 0).any():
+        raise ValueError("a Protobuf payload lacks a required field")
+    return list(zip(begin, end))
+
+
 class _OpenGroups:
     """Which messages of a batch are inside a (deprecated) group, whose fields are skipped."""
 
@@ -120,15 +144,15 @@ def _read_varints(data, at, stop):
     """One varint per message: the values and the positions after them."""
     value = np.zeros(len(at), np.int64)
     at = at.copy()
-    reading = np.arange(len(at))
+    reading = slice(None)  # every message has a first byte, few have more
     for group in range(VARINT_MAX_BYTES):
-        position = at[reading]
-        if (position >= stop[reading]).any():
+        if (at[reading] >= stop[reading]).any():
             raise ValueError("truncated payload")
-        byte = data[position].astype(np.int64)
-        value[reading] |= (byte & 0x7F) << (7 * group)
+        byte = data[at[reading]]
+        value[reading] |= (byte & 0x7F).astype(np.int64) << (7 * group)
         at[reading] += 1
-        reading = reading[byte >= 0x80]
+        unfinished = np.flatnonzero(byte >= 0x80)
+        reading = reading[unfinished] if group else unfinished
         if not len(reading):
             return value, at
     raise ValueError("a varint is longer than ten bytes")

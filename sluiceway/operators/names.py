@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from sluiceway.functions.stamps import processing_time as stamp
 from sluiceway.functions.text import (
     first_match,
-    greeted_word,
     name_of_word,
     payload_text,
+    repaired,
+    second_word,
     utf16_shorter_than,
 )
 
@@ -29,9 +30,12 @@ def extract_names(messages: DataFrame, on_malformed: str = "fail") -> DataFrame:
     With ``on_malformed="quarantine"`` the name of a malformed message is NULL and the row
     stays; the caller sends ``name IS NULL`` wherever malformed messages belong.
     """
+    # A space is never part of a malformed UTF-8 sequence, so repairing the word gives the
+    # same text as repairing the whole payload first.
+    words = messages.withColumn("_word", second_word(F.col("payload").cast("string")))
+    words = words.withColumn("_word", repaired(F.col("_word")))
     # The one-element explode makes Spark evaluate the name once. As a plain projection it
     # would be copied into every later filter that tests the name (length, each route).
-    words = messages.withColumn("_word", greeted_word(F.col("payload")))
     name = name_of_word(F.col("_word"), on_malformed)
     return words.select("*", F.explode(F.array(name)).alias("name")).drop("_word")
 
