@@ -36,6 +36,7 @@ HEADLINE = (
     "name_rows",
     "route_counts",
     "stream_route_two_sinks",
+    "stream_route_to_folder",
     "avro_encode_documents",
     "proto_encode_documents",
     "avro_decode_documents",

@@ -9,7 +9,7 @@ from sluiceway.operators.names import extract_names, name_rows, route_names, sho
 from sluiceway.operators.user_messages import encode_greetings
 from sluiceway.sinks.topics import publish
 from sluiceway.sources.topics import read_subscription
-from sluiceway.streaming.writers import append_routes
+from sluiceway.streaming.writers import append_routes, write_routes
 
 
 def routed_names(messages: DataFrame) -> DataFrame:
@@ -54,6 +54,26 @@ def route_greetings(
     )
 
 
+def route_greetings_to_folder(
+    spark: SparkSession,
+    topic: str,
+    folder: str,
+    checkpoint: str,
+    *,
+    processing_time: Column | None = None,
+    trigger: Mapping | None = None,
+    **read_options,
+) -> StreamingQuery:
+    """As :func:`route_greetings`, to one folder partitioned by route, each row exactly once."""
+    return write_routes(
+        read_subscription(spark, topic, **read_options).transform(routed_names),
+        folder,
+        checkpoint,
+        trigger,
+        to_rows=lambda names: name_rows(names, processing_time, keep=("route",)),
+    )
+
+
 def publish_greetings(names: DataFrame, topic: str) -> DataFrame:
     """Publish a greeting of every ``name``; returns the message ids."""
     return names.transform(encode_greetings).transform(publish, topic)

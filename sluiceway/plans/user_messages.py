@@ -8,15 +8,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.user_messages import (
     avro_rows,
-    decode_avro,
-    decode_protobuf,
     encode_avro,
     encode_protobuf,
     protobuf_rows,
     with_user_ids,
 )
 from sluiceway.sinks.topics import publish
-from sluiceway.sources.topics import read_subscription, read_topic, start_position
+from sluiceway.sources.topics import start_position
+from sluiceway.sources.user_messages import read_avro, read_protobuf
 from sluiceway.streaming.writers import append_stream
 
 
@@ -47,9 +46,8 @@ def ingest_avro(
     ``start`` replaces the time of the first start; a restart keeps the one it had.
     """
     since = start_position(spark, checkpoint, start)
-    messages = read_topic(spark, topic, since, **read_options)
     return append_stream(
-        messages.transform(decode_avro, decoder).select("user_message"),
+        read_avro(spark, topic, since, decoder, **read_options),
         table,
         checkpoint,
         trigger,
@@ -69,9 +67,8 @@ def ingest_protobuf(
     **read_options,
 ) -> StreamingQuery:
     """Append the Protobuf user messages of a subscription."""
-    messages = read_subscription(spark, topic, **read_options)
     return append_stream(
-        messages.transform(decode_protobuf, decoder).select("user_message"),
+        read_protobuf(spark, topic, decoder, **read_options),
         table,
         checkpoint,
         trigger,

@@ -101,6 +101,8 @@ ORACLE_SQL: dict[str, str] = {
         SELECT name, '{FIXED_TIME_TEXT}' AS timestamp,
                CASE route WHEN 'A' THEN 'a_names' ELSE 'b_names' END AS sink
         FROM ({_ROUTED})""",
+    "stream_route_to_folder": f"""
+        SELECT name, '{FIXED_TIME_TEXT}' AS timestamp, route FROM ({_ROUTED})""",
     "avro_encode": _avro_hex(_USERS),
     "avro_encode_documents": _avro_hex(_DOCUMENT_USERS),
     "proto_encode": _protobuf_hex(_USERS),

@@ -22,7 +22,11 @@ from sluiceway.operators.user_messages import (
     encode_protobuf,
     with_user_ids,
 )
-from sluiceway.plans.greetings import publish_greetings, route_greetings
+from sluiceway.plans.greetings import (
+    publish_greetings,
+    route_greetings,
+    route_greetings_to_folder,
+)
 from sluiceway.plans.insert_and_read import insert_and_read
 from sluiceway.plans.user_messages import (
     ingest_avro,
@@ -170,6 +174,22 @@ def stream_route_two_sinks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a_rows.unionByName(b_rows).transform(_with_time_text)
 
 
+def stream_route_to_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark)
+    topic = create_topic(spark, f"{folder}/topic")
+    publish_greetings(inputs.greeted_names(spark, sf_dir), topic)
+    route_greetings_to_folder(
+        spark,
+        topic,
+        f"{folder}/names",
+        f"{folder}/checkpoint",
+        processing_time=fixed_time(),
+        trigger=ALL_AVAILABLE,
+    ).awaitTermination()
+    rows = spark.read.parquet(f"{folder}/names").select("name", "timestamp", "route")
+    return rows.transform(_with_time_text)
+
+
 def avro_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payload_hex(inputs.users(spark, sf_dir).transform(encode_avro))
 
@@ -312,6 +332,7 @@ QUERIES: dict[str, Query] = {
     "route_counts": route_counts,
     "name_rows": name_rows_query,
     "stream_route_two_sinks": stream_route_two_sinks,
+    "stream_route_to_folder": stream_route_to_folder,
     "avro_encode": avro_encode,
     "avro_encode_documents": avro_encode_documents,
     "proto_encode": proto_encode,

@@ -1,6 +1,7 @@
-"""Append a stream to existing tables, micro-batch by micro-batch.
+"""Write a stream micro-batch by micro-batch: to existing tables, or to a folder.
 
-Delivery is at-least-once: a micro-batch that failed half way is written again.
+Tables get every row at least once: a micro-batch that failed half way is appended again.
+In a folder a repeated micro-batch replaces its first attempt.
 
 ``to_rows`` turns a micro-batch into table rows just before it is appended. Stamping the
 processing time there, and not in the stream itself, keeps the time, which is a new literal
@@ -59,6 +60,28 @@ def append_routes(
     return _start(routed, write, checkpoint, trigger)
 
 
+def write_routes(
+    routed: DataFrame,
+    folder: str,
+    checkpoint: str,
+    trigger: Mapping | None = None,
+    to_rows: ToRows = lambda batch: batch,
+) -> StreamingQuery:
+    """Write every micro-batch to files of its own, partitioned by ``route``.
+
+    Rows are in ``query_id=…/batch_id=…/route=…``. A repeated micro-batch overwrites its own
+    files only; another checkpoint, whose batches count from 0 again, has another query id.
+    All routes are written in one pass, so nothing is persisted.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        path = f"{folder.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"
+        to_rows(batch).write.mode("overwrite").partitionBy("route").parquet(path)
+
+    return _start(routed, write, checkpoint, trigger)
+
+
 def _start(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],

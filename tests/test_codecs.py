@@ -283,3 +283,69 @@ def test_ids_are_kept_or_made(spark):
     frame = users_frame(spark, USERS[:1])
     assert frame.transform(with_user_ids).head()["id"] == "1"
     assert len(frame.drop("id").transform(with_user_ids).head()["id"]) == 36
+
+
+def _varint(n):
+    groups = []
+    while n >= 128:
+        groups.append(n & 127 | 128)
+        n >>= 7
+    return bytes([*groups, n])
+
+
+def _field(number, wire, content):
+    return _varint(number << 3 | wire) + content
+
+
+def _text_field(number, text):
+    return _field(number, 2, _varint(len(text.encode())) + text.encode())
+
+
+PROTOBUF_FIELD = st.one_of(
+    st.builds(_text_field, st.integers(1, 3), st.text(max_size=5)),
+    st.builds(_text_field, st.integers(4, 2**29 - 1), st.text(max_size=5)),
+    st.builds(lambda n, v: _field(n, 0, _varint(v)), st.integers(1, 20), st.integers(0, 2**64 - 1)),
+    st.builds(lambda n, v: _field(n, 1, v), st.integers(1, 20), st.binary(min_size=8, max_size=8)),
+    st.builds(lambda n, v: _field(n, 5, v), st.integers(1, 20), st.binary(min_size=4, max_size=4)),
+    st.builds(
+        lambda n, v: _field(n, 3, v) + _field(n, 4, b""),
+        st.integers(1, 20),
+        st.builds(_text_field, st.integers(1, 3), st.text(max_size=5)),
+    ),
+)
+
+
+@settings(max_examples=300, deadline=None, derandomize=True)
+@given(st.lists(st.lists(PROTOBUF_FIELD, max_size=8).map(b"".join), min_size=1, max_size=5))
+def test_protobuf_fields_in_any_order_and_number(messages):
+    """Batches of valid messages, read as the Python library reads them."""
+    message_class = protobuf_class()
+    parsed = [message_class.FromString(message) for message in messages]
+    decode = protobuf_fields(3).func
+    if all(p.IsInitialized() for p in parsed):
+        expected = [[p.id.encode(), p.firstName.encode(), p.lastName.encode()] for p in parsed]
+        assert [list(row.values()) for row in decode(pa.array(messages)).to_pylist()] == expected
+    else:
+        with pytest.raises(ValueError, match="required"):
+            decode(pa.array(messages))
+
+
+@settings(max_examples=500, deadline=None, derandomize=True)
+@given(
+    st.lists(st.one_of(PROTOBUF_FIELD, st.binary(max_size=3)), max_size=6).map(b"".join),
+    st.integers(0, 30),
+)
+def test_malformed_protobuf_is_what_the_python_library_refuses(message, cut):
+    message = message[: len(message) - cut] if cut < len(message) else message
+    try:
+        parsed = protobuf_class().FromString(message)
+        good = parsed.IsInitialized()
+    except Exception as error:
+        assert type(error).__name__ == "DecodeError"
+        good = False
+    decode = protobuf_fields(3).func
+    if good:
+        decode(pa.array([message], pa.binary()))
+    else:
+        with pytest.raises(ValueError):
+            decode(pa.array([message], pa.binary()))

@@ -1,5 +1,6 @@
 """The streaming jobs: results, restart, replay, missing tables."""
 
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -10,7 +11,12 @@ from pyspark.sql.types import StructType
 from sluiceway.functions.stamps import instant_text
 from sluiceway.operators.names import name_rows, take_route
 from sluiceway.operators.user_messages import encode_greetings
-from sluiceway.plans.greetings import publish_greetings, route_greetings, routed_names
+from sluiceway.plans.greetings import (
+    publish_greetings,
+    route_greetings,
+    route_greetings_to_folder,
+    routed_names,
+)
 from sluiceway.plans.user_messages import (
     ingest_avro,
     ingest_protobuf,
@@ -127,6 +133,39 @@ def test_failed_batch_is_written_again(spark, folder, topic, tables):
     assert not spark.catalog.tableExists("no_such_table")
 
 
+def forget_commit(checkpoint):
+    """Leave a checkpoint as a crash between the write and the commit of batch 0 would."""
+    for name in os.listdir(f"{checkpoint}/commits"):
+        os.remove(f"{checkpoint}/commits/{name}")
+
+
+def test_repeated_batch_is_appended_at_least_once(spark, folder, topic, tables):
+    publish_greetings(names_frame(spark, NAMES), topic)
+    for _ in range(2):
+        route_greetings(spark, topic, *tables, f"{folder}/checkpoint", trigger=NOW).awaitTermination()
+        forget_commit(f"{folder}/checkpoint")
+    assert set(column(spark, tables[0])) == {"A", "AA"}
+    assert set(column(spark, tables[1])) == {"B", "BB"}
+
+
+def test_repeated_batch_replaces_its_files(spark, folder, topic):
+    publish_greetings(names_frame(spark, NAMES), topic)
+
+    def run(checkpoint):
+        query = route_greetings_to_folder(
+            spark, topic, f"{folder}/names", f"{folder}/{checkpoint}", trigger=NOW
+        )
+        query.awaitTermination()
+        rows = spark.read.parquet(f"{folder}/names").select("route", "name").collect()
+        return sorted(tuple(row) for row in rows)
+
+    once = [("A", "A"), ("A", "AA"), ("B", "B"), ("B", "BB")]
+    assert run("first") == once
+    forget_commit(f"{folder}/first")
+    assert run("first") == once
+    assert run("second") == sorted(once * 2)  # a new subscription reads everything again
+
+
 def test_malformed_greeting_stops_the_job(spark, folder, topic, tables):
     good = names_frame(spark, NAMES).transform(encode_greetings).select("payload")
     bad = spark.createDataFrame([(bytearray(b"Hello"),)], "payload binary")
