@@ -5,11 +5,17 @@ column: each step reads one varint of every message at once, so the Python cost
 batch and field, not per row. Field values are cut out of the batch's own data buffer.
 """
 
+import sys
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The decoders travel to the executors whole, so this package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 VARINT_MAX_BYTES = 10
 
 # Protobuf wire types.

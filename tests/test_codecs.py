@@ -1,9 +1,13 @@
 """Encoded bytes and decoded fields, against the JVM's Avro and Python's Protobuf libraries."""
 
+import subprocess
+import sys
+
 import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
@@ -121,7 +125,10 @@ def test_round_trip(spark, encode, decode):
 
 
 @settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=10,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(st.lists(st.tuples(st.text(), st.text(max_size=200), st.text()), min_size=1, max_size=50))
 def test_round_trip_of_random_text(spark, users):
@@ -349,3 +356,17 @@ def test_malformed_protobuf_is_what_the_python_library_refuses(message, cut):
     else:
         with pytest.raises(ValueError):
             decode(pa.array([message], pa.binary()))
+
+
+@pytest.mark.parametrize("decode", [avro_fields, protobuf_fields])
+def test_executors_do_not_need_the_package(decode, tmp_path):
+    function = tmp_path / "decode.pickle"
+    function.write_bytes(cloudpickle.dumps(decode(3).func))
+    script = (
+        "import pickle, sys, pyarrow as pa\n"
+        "decode = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "assert len(decode(pa.array([], pa.binary()))) == 0\n"
+        "assert 'sluiceway' not in sys.modules\n"
+    )
+    command = [sys.executable, "-c", script, str(function)]
+    subprocess.run(command, cwd=tmp_path, env={"PYTHONPATH": ""}, check=True)

@@ -68,7 +68,10 @@ def jvm_name(spark, payload: bytes):
 
 
 @settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=15,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(
     st.lists(
@@ -97,7 +100,10 @@ def test_payload_text(spark):
 
 
 @settings(
-    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=10,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
 )
 @given(
     st.lists(
