@@ -2,9 +2,11 @@
 
 Used where Spark's own Avro or Protobuf module is not loaded. A batch is decoded column by
 column: each step reads one varint of every message at once, so the Python cost is per
-batch and field, not per row. Field values are cut out of the batch's own data buffer.
+batch and field, not per row. Field values are cut out of the batch's own data buffer, and
+Arrow checks that they are UTF-8.
 """
 
+import re
 import sys
 
 import numpy as np
@@ -18,21 +20,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VARINT_MAX_BYTES = 10
 
+# Fixed value: a UTF-8 encoded surrogate, perhaps cut short.
+ENCODED_SURROGATE = re.compile(rb"\xed[\xa0-\xbf][\x80-\xbf]?")
+
 # Protobuf wire types.
 VARINT, FIXED64, LENGTH_DELIMITED, GROUP_START, GROUP_END, FIXED32 = range(6)
 
 
-def avro_fields(count: int):
-    """A UDF: BINARY payload to a struct of ``count`` BINARY fields ``f0, f1, …``."""
+def avro_decoder(names: tuple[str, ...]):
+    """A UDF: a BINARY payload to the struct of the STRING fields ``names``."""
 
     # Declared non-deterministic so that Spark evaluates it once per row instead of
     # repeating it in every filter on a decoded field.
-    @F.arrow_udf(_struct_type(count))
+    @F.arrow_udf(_struct_type(names))
     def decode(payloads: pa.Array) -> pa.Array:
         data, start, stop = _extents(payloads)
         at = start
         fields = []
-        for _ in range(count):
+        for _ in names:
             length, at = _read_varints(data, at, stop)
             if (length & 1).any():
                 raise ValueError("negative string length in an Avro payload")
@@ -42,25 +47,26 @@ def avro_fields(count: int):
             at = end
         if (at != stop).any():
             raise ValueError("bytes follow the Avro datum")
-        return _struct(fields)
+        return pa.StructArray.from_arrays(fields, names=names)
 
     return decode.asNondeterministic()
 
 
-def protobuf_fields(count: int):
-    """A UDF: BINARY payload to a struct of ``count`` BINARY fields ``f0, f1, …``.
+def protobuf_decoder(names: tuple[str, ...]):
+    """A UDF: a BINARY payload to the struct of the STRING fields ``names``.
 
-    Field ``f0`` is Protobuf field 1 and so on. All are required; other fields, and these
-    numbers with another wire type, are skipped. The last of repeated values wins.
+    The names are those of Protobuf fields 1, 2 and so on. All are required; other fields,
+    and these numbers with another wire type, are skipped. The last of repeated values wins.
     """
 
-    @F.arrow_udf(_struct_type(count))
+    @F.arrow_udf(_struct_type(names))
     def decode(payloads: pa.Array) -> pa.Array:
         data, start, stop = _extents(payloads)
-        bounds = _fields_in_order(data, start, stop, count)
+        bounds = _fields_in_order(data, start, stop, len(names))
         if bounds is None:
-            bounds = _fields_in_any_order(data, start, stop, count)
-        return _struct([_cut(data, begin, end) for begin, end in bounds])
+            bounds = _fields_in_any_order(data, start, stop, len(names))
+        fields = [_cut(data, begin, end) for begin, end in bounds]
+        return pa.StructArray.from_arrays(fields, names=names)
 
     return decode.asNondeterministic()
 
@@ -129,12 +135,8 @@ class _OpenGroups:
             self.inside[rows[i]] = bool(stack)
 
 
-def _struct_type(count: int) -> T.StructType:
-    return T.StructType([T.StructField(f"f{i}", T.BinaryType()) for i in range(count)])
-
-
-def _struct(fields: list[pa.Array]) -> pa.Array:
-    return pa.StructArray.from_arrays(fields, names=[f"f{i}" for i in range(len(fields))])
+def _struct_type(names: tuple[str, ...]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 def _extents(payloads: pa.Array):
@@ -172,7 +174,7 @@ def _advance(at, size, stop):
 
 
 def _cut(data, begin, end) -> pa.Array:
-    """The slices ``data[begin:end]``, one per message.
+    """The texts ``data[begin:end]``, one per message.
 
     Begins and ends of successive messages never decrease, so they form the offsets of an
     array whose even entries are the slices and whose odd entries are the gaps.
@@ -182,4 +184,16 @@ def _cut(data, begin, end) -> pa.Array:
     pieces = pa.Array.from_buffers(
         pa.large_binary(), max(len(offsets) - 1, 0), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
     )
-    return pieces.take(pa.array(np.arange(0, len(offsets), 2))).cast(pa.binary())
+    return _text(pieces.take(pa.array(np.arange(0, len(offsets), 2))).cast(pa.binary()))
+
+
+def _text(values: pa.Array) -> pa.Array:
+    """UTF-8 text, with one U+FFFD for each malformed sequence, where the JVM puts one."""
+    try:
+        return values.cast(pa.string())
+    except pa.ArrowInvalid:  # some value of this batch is not UTF-8
+        return pa.array([_repaired(value) for value in values.to_pylist()], pa.string())
+
+
+def _repaired(value: bytes) -> str:
+    return ENCODED_SURROGATE.sub(b"\xff", value).decode("utf-8", "replace")

@@ -8,7 +8,7 @@ from sluiceway.functions.stamps import processing_time as stamp
 from sluiceway.functions.stamps import random_id
 from sluiceway.functions.text import greeting, payload_text
 from sluiceway.functions.wire import avro_record, protobuf_message
-from sluiceway.operators.arrow_decode import avro_fields, protobuf_fields
+from sluiceway.operators.arrow_decode import avro_decoder, protobuf_decoder
 from sluiceway.schemas import (
     AVRO_FIELDS,
     PROTOBUF_FIELDS,
@@ -58,7 +58,7 @@ def decode_avro(messages: DataFrame, decoder: str = "auto") -> DataFrame:
     """
     if _use_builtin(messages.sparkSession, decoder, AVRO_MODULE_CLASS):
         return _decode_avro_builtin(messages)
-    return _decode_arrow(messages, avro_fields(len(AVRO_FIELDS)), AVRO_FIELDS)
+    return _decode_arrow(messages, avro_decoder(AVRO_FIELDS))
 
 
 def decode_protobuf(messages: DataFrame, decoder: str = "auto") -> DataFrame:
@@ -70,7 +70,7 @@ def decode_protobuf(messages: DataFrame, decoder: str = "auto") -> DataFrame:
     """
     if _use_builtin(messages.sparkSession, decoder, PROTOBUF_MODULE_CLASS):
         return _decode_protobuf_builtin(messages)
-    return _decode_arrow(messages, protobuf_fields(len(PROTOBUF_FIELDS)), PROTOBUF_FIELDS)
+    return _decode_arrow(messages, protobuf_decoder(PROTOBUF_FIELDS))
 
 
 def avro_rows(decoded: DataFrame, processing_time: Column | None = None) -> DataFrame:
@@ -90,11 +90,8 @@ def _user_rows(decoded: DataFrame, fields: tuple[str, ...], processing_time: Col
     return decoded.select(*named, stamp(processing_time).alias("timestamp"))
 
 
-def _decode_arrow(messages: DataFrame, decode, fields: tuple[str, ...]) -> DataFrame:
-    raw = decode(F.coalesce("payload", F.lit(b"")))
-    # The decoder hands back bytes; turning them into text stays in the JVM.
-    text = F.struct(*(payload_text(F.col(f"_raw.f{i}")).alias(f) for i, f in enumerate(fields)))
-    return messages.select("*", raw.alias("_raw")).withColumn("user_message", text).drop("_raw")
+def _decode_arrow(messages: DataFrame, decode) -> DataFrame:
+    return messages.withColumn("user_message", decode(F.coalesce("payload", F.lit(b""))))
 
 
 def _decode_avro_builtin(messages: DataFrame) -> DataFrame:

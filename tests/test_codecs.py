@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from sluiceway.functions.wire import varint
-from sluiceway.operators.arrow_decode import avro_fields, protobuf_fields
+from sluiceway.operators.arrow_decode import avro_decoder, protobuf_decoder
 from sluiceway.operators.user_messages import (
     _is_loaded,
     avro_rows,
@@ -34,6 +34,7 @@ USERS = [
     ("id", "Zoë", "😀 €"),
     *((str(size), "x" * size, "é" * (size // 2)) for size in SIZES),
 ]
+FIELDS = ("x", "y", "z")
 
 
 def users_frame(spark, users):
@@ -227,13 +228,36 @@ def test_bad_utf8_in_a_field_becomes_replacement_characters(spark):
     assert decoded(avro) == decoded(proto) == [("�", "A", "B")]
 
 
+@settings(
+    max_examples=10,
+    deadline=None,
+    derandomize=True,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    st.lists(
+        st.lists(
+            st.sampled_from([0x41, 0x80, 0x90, 0xA0, 0xBF, 0xC0, 0xC3, 0xE0, 0xE2, 0xED, 0xEF, 0xF0, 0xF4, 0xF5]),
+            max_size=6,
+        ).map(bytes),
+        min_size=50,
+        max_size=200,
+    )
+)
+def test_bad_utf8_is_repaired_as_in_the_jvm(spark, texts):
+    payloads = [bytes([2 * len(text)]) + text + b"\0\0" for text in texts]
+    decoded_texts = avro_decoder(FIELDS).func(pa.array(payloads)).field("x").to_pylist()
+    assert decoded_texts == [spark._jvm.java.lang.String(text, "UTF-8") for text in texts]
+
+
 @pytest.mark.parametrize(
-    "decode, message", [(avro_fields(3), "023102410242"), (protobuf_fields(3), "0a01311201411a0142")]
+    "decode, message",
+    [(avro_decoder(FIELDS), "023102410242"), (protobuf_decoder(FIELDS), "0a01311201411a0142")],
 )
 @pytest.mark.parametrize("kind", [pa.binary(), pa.large_binary()])
 def test_slices_and_empty_batches(decode, message, kind):
     batch = pa.array([b"", bytes.fromhex(message), bytes.fromhex(message), b""], kind)
-    expected = [{"f0": b"1", "f1": b"A", "f2": b"B"}]
+    expected = [{"x": "1", "y": "A", "z": "B"}]
     assert decode.func(batch.slice(1, 2)).to_pylist() == expected * 2
     assert decode.func(batch.slice(1, 0)).to_pylist() == []
     assert decode.func(pa.array([], kind)).to_pylist() == []
@@ -328,9 +352,9 @@ def test_protobuf_fields_in_any_order_and_number(messages):
     """Batches of valid messages, read as the Python library reads them."""
     message_class = protobuf_class()
     parsed = [message_class.FromString(message) for message in messages]
-    decode = protobuf_fields(3).func
+    decode = protobuf_decoder(FIELDS).func
     if all(p.IsInitialized() for p in parsed):
-        expected = [[p.id.encode(), p.firstName.encode(), p.lastName.encode()] for p in parsed]
+        expected = [[p.id, p.firstName, p.lastName] for p in parsed]
         assert [list(row.values()) for row in decode(pa.array(messages)).to_pylist()] == expected
     else:
         with pytest.raises(ValueError, match="required"):
@@ -350,7 +374,7 @@ def test_malformed_protobuf_is_what_the_python_library_refuses(message, cut):
     except Exception as error:
         assert type(error).__name__ == "DecodeError"
         good = False
-    decode = protobuf_fields(3).func
+    decode = protobuf_decoder(FIELDS).func
     if good:
         decode(pa.array([message], pa.binary()))
     else:
@@ -358,10 +382,10 @@ def test_malformed_protobuf_is_what_the_python_library_refuses(message, cut):
             decode(pa.array([message], pa.binary()))
 
 
-@pytest.mark.parametrize("decode", [avro_fields, protobuf_fields])
+@pytest.mark.parametrize("decode", [avro_decoder, protobuf_decoder])
 def test_executors_do_not_need_the_package(decode, tmp_path):
     function = tmp_path / "decode.pickle"
-    function.write_bytes(cloudpickle.dumps(decode(3).func))
+    function.write_bytes(cloudpickle.dumps(decode(FIELDS).func))
     script = (
         "import pickle, sys, pyarrow as pa\n"
         "decode = pickle.load(open(sys.argv[1], 'rb'))\n"
