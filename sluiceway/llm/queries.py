@@ -2,18 +2,46 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluiceway.llm.line_dedup import LINE_REPORT_SQL, line_report
 from sluiceway.llm.minhash_forest import minhash_components
+from sluiceway.llm.mixing import MIX_SQL, mix_sources
+from sluiceway.llm.token_count import count_tokens
 from sluiceway.queries.inputs import table
 
+#: Vocabulary of the token counts and of chat formatting.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
 
 def op2_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"), min_length=10, min_documents=2)
+
+
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"), weights=(1, 2, 3), repeats=3)
+    return mixed.drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_count": op1_token_count,
     "op2_minhash_forest": op2_minhash_forest,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_mix_sources": op4_mix_sources,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": LINE_REPORT_SQL,
+    "op4_mix_sources": MIX_SQL,
+}
