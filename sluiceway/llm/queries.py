@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.llm.decontaminate import contamination_report
 from sluiceway.llm.line_dedup import LINE_REPORT_SQL, line_report
 from sluiceway.llm.minhash_forest import minhash_components
 from sluiceway.llm.mixing import MIX_SQL, mix_sources
@@ -34,11 +35,17 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.drop("kept")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return contamination_report(documents, benchmark, window=13)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": op1_token_count,
     "op2_minhash_forest": op2_minhash_forest,
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
+    "op5_decontaminate": op5_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
