@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm.decontaminate import contamination_report
+from sluiceway.llm.embedding_join import embedding_components
 from sluiceway.llm.line_dedup import LINE_REPORT_SQL, line_report
 from sluiceway.llm.minhash_forest import minhash_components
 from sluiceway.llm.mixing import MIX_SQL, mix_sources
@@ -40,12 +41,17 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(documents, benchmark, window=13)
 
 
+def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": op1_token_count,
     "op2_minhash_forest": op2_minhash_forest,
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
+    "op7_embedding_join": op7_embedding_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
