@@ -8,9 +8,10 @@ how deep a region has to agree adapts to it: a sparse region is compared as a wh
 
 Candidates are confirmed on the full shingle sets. The first round confirms only a few
 neighbours of each text, which connects groups of near copies without listing their pairs.
-The second round takes all candidates whose texts are not connected yet, and a region that
-stays crowded at full depth gives every pair of texts from different components. So no
-candidate is dropped, and pairs inside a component are never enumerated.
+The second round takes all candidates whose texts are not connected yet. Where regions stay
+crowded at full depth and hold several components, all their texts are compared across
+components, block by block. So no candidate is dropped, and pairs inside a component are
+never enumerated.
 
 At a similarity of 0.8 a pair of texts shares ``SHALLOW`` values in none of the trees with a
 probability of 5e-8, and, in crowded regions, ``DEPTH`` values in none with 0.3 %.
@@ -24,6 +25,7 @@ empty result. Only the id and the text column are read, so other columns may hav
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,8 @@ TREES, DEPTH, SHALLOW = 32, 8, 4
 SPARSE = 16
 #: Neighbours on each side that are candidates in the sort order of a crowded region.
 WINDOW = 4
+#: Shingles of the texts that are compared as one block.
+BLOCK_SHINGLES = 1 << 17
 #: Trees whose direct neighbours are confirmed first.
 FIRST_TREES = 4
 
@@ -76,8 +80,11 @@ def minhash_components(
     labels = scratch.keep(connected_components(edges.union(links), scratch, "first"), "labels")
 
     late = _unconnected(pairs.where("NOT early").select("a", "b").distinct(), labels)
-    late = late.union(_across_components(found.where("b IS NULL"), labels, percent)).distinct()
-    more = scratch.keep(_confirmed(late, texts, shingle, percent), "late")
+    crowded = found.where("b IS NULL")
+    more = _confirmed(late, texts, shingle, percent).union(
+        _across_components(crowded, texts, labels, shingle, percent, scratch)
+    )
+    more = scratch.keep(more, "late")
     # Components stand for their texts: the new links join components.
     merged = _labelled(more, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     roots = connected_components(merged, scratch, "second")
@@ -285,21 +292,126 @@ def _unconnected(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return _labelled(pairs, labels).where("ca <> cb").select("a", "b")
 
 
-def _across_components(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components within regions that are crowded at full depth."""
+def _across_components(
+    members: DataFrame,
+    texts: DataFrame,
+    labels: DataFrame,
+    shingle: int,
+    percent: int,
+    scratch: Scratch,
+) -> DataFrame:
+    """Links ``a, b`` between components that meet in regions crowded at full depth.
+
+    Components that meet, directly or over others, are a group. Its texts are dealt into
+    blocks of ``BLOCK_SHINGLES``, large components apart from the others, and all sets of two
+    blocks are intersected at once, as a product of matrices. Two blocks of one component
+    are left out, and no pair of texts is ever a row, so a large group of near copies costs
+    blocks, not pairs.
+    """
     own = members.select(F.col("a").alias("id"), "region", "n").distinct()
     own = own.join(labels, "id", "left")
     own = own.select("id", "region", "n", F.coalesce("component", "id").alias("c"))
     # Most such regions are one component by now.
     mixed = own.groupBy("region").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-    own = own.join(mixed.where("low < high").select("region"), "region", "left_semi")
-    other = own.select("region", *(F.col(x).alias("o" + x) for x in ("id", "n", "c")))
-    return (
-        own.join(other, "region")
-        .where("c < oc")
-        .where(f"100 * least(n, on) >= {percent} * greatest(n, on)")
-        .select(F.least("id", "oid").alias("a"), F.greatest("id", "oid").alias("b"))
+    own = scratch.keep(own.join(mixed.where("low < high"), "region"), "crowded")
+    meet = own.select(F.col("c").alias("a"), F.col("low").alias("b")).distinct()
+    groups = connected_components(meet, scratch, "groups")
+    groups = groups.select(F.col("id").alias("c"), F.col("component").alias("g"))
+    docs = own.select("id", "n", "c").distinct().join(groups, "c")
+
+    sizes = docs.groupBy("g", "c").agg(F.sum("n").alias("total"))
+    large = F.col("total") >= BLOCK_SHINGLES // 2
+    sizes = sizes.withColumn("part", F.when(large, F.col("c")).otherwise(F.lit(-1).cast("bigint")))
+    parts = sizes.groupBy("g", "part").agg(F.sum("total").alias("part_total"))
+    docs = docs.join(sizes, ["g", "c"]).join(parts, ["g", "part"])
+    count = F.ceil(F.col("part_total") / BLOCK_SHINGLES)
+    docs = docs.select("id", "c", "g", "part", F.pmod(F.xxhash64("id"), count).alias("nth"))
+    packed = docs.join(texts, "id").groupBy("g", "part", "nth")
+    schema = "g bigint, part bigint, nth bigint, ids binary, cs binary, first binary, sets binary"
+    blocks = scratch.keep(packed.applyInPandas(_packer(shingle), schema), "blocks")
+
+    keys = blocks.select("g", "part", "nth")
+    one, two = (
+        keys.select("g", *(F.col(c).alias(c + side) for c in ("part", "nth"))) for side in "ab"
+    )
+    pairs = one.join(two, "g").where(
+        "(parta < partb OR (parta = partb AND ntha <= nthb)) AND (parta <> partb OR parta = -1)"
     )
+    for side in "ab":
+        named = [F.col(c).alias(c + side) for c in blocks.columns if c != "g"]
+        pairs = pairs.join(blocks.select("g", *named), ["g", f"part{side}", f"nth{side}"])
+    pairs = pairs.repartition("g", "parta", "ntha", "partb", "nthb")
+    return pairs.mapInArrow(_block_links(percent), "a bigint, b bigint").distinct()
+
+
+def _packer(shingle: int):
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        texts = pa.array(rows["text"], pa.large_string())
+        ends, sets = [np.zeros(1, np.int64)], []
+        for _, some in text_groups(texts):
+            own, first = shingles_of(words_of(*text_bytes(some), space_separated()), shingle)
+            ends.append(first[1:] + ends[-1][-1])
+            sets.append(own)
+        packed = rows[["g", "part", "nth"]].head(1).copy()
+        packed["ids"] = [rows["id"].to_numpy(np.int64).tobytes()]
+        packed["cs"] = [rows["c"].to_numpy(np.int64).tobytes()]
+        packed["first"] = [np.concatenate(ends).tobytes()]
+        packed["sets"] = [np.concatenate(sets).tobytes()]
+        return packed
+
+    return pack
+
+
+def _block_links(percent: int):
+    def unpack(batch: pa.RecordBatch, row: int, side: str):
+        return [
+            np.frombuffer(batch.column(c + side)[row].as_py(), kind)
+            for c, kind in (("ids", np.int64), ("cs", np.int64), ("first", np.int64), ("sets", np.uint64))
+        ]
+
+    def common(first: np.ndarray, sets: np.ndarray, first2: np.ndarray, sets2: np.ndarray):
+        """Sizes of all intersections, some shared shingles at a time."""
+        shared = np.intersect1d(sets, sets2)
+        sizes = np.zeros((len(first) - 1, len(first2) - 1), np.float64)
+        sides = []
+        for starts, members in ((first, sets), (first2, sets2)):
+            owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+            place = np.searchsorted(shared, members)
+            there = place < len(shared)
+            there[there] = shared[place[there]] == members[there]
+            order = np.argsort(place[there], kind="stable")
+            sides.append((owner[there][order], place[there][order], len(starts) - 1))
+        for low in range(0, len(shared), 4096):
+            dense = []
+            for owner, place, count in sides:
+                part = slice(*np.searchsorted(place, [low, low + 4096]))
+                matrix = np.zeros((count, 4096), np.float32)
+                matrix[owner[part], place[part] - low] = 1
+                dense.append(matrix)
+            sizes += dense[0] @ dense[1].T
+        return sizes
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                ids, cs, first, sets = unpack(batch, row, "a")
+                ids2, cs2, first2, sets2 = unpack(batch, row, "b")
+                both = common(first, sets, first2, sets2)
+                union = np.diff(first)[:, None] + np.diff(first2)[None, :] - both
+                near = (both > 0) & (100 * both >= percent * union)
+                i, j = np.nonzero(near & (cs[:, None] != cs2[None, :]))
+                # One link of two components is as good as many.
+                _, some = np.unique(np.stack((cs[i], cs2[j])), axis=1, return_index=True)
+                i, j = i[some], j[some]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.minimum(ids[i], ids2[j])),
+                        pa.array(np.maximum(ids[i], ids2[j])),
+                    ],
+                    ["a", "b"],
+                )
+
+    return links
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
