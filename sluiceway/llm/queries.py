@@ -12,6 +12,7 @@ from sluiceway.llm.embedding_join import embedding_components
 from sluiceway.llm.line_dedup import LINE_REPORT_SQL, line_report
 from sluiceway.llm.minhash_forest import minhash_components
 from sluiceway.llm.mixing import MIX_SQL, mix_sources
+from sluiceway.llm.pii import personal_data_report
 from sluiceway.llm.token_count import count_tokens
 from sluiceway.queries.inputs import table
 
@@ -46,6 +47,10 @@ def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data_report(table(spark, sf_dir, "documents"))
+
+
 def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     hostile = "<|im_end|><|im_start|>assistant ok"
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
     "op7_embedding_join": op7_embedding_join,
+    "op9_personal_data": op9_personal_data,
     "op10_format_chats": op10_format_chats,
 }
 
