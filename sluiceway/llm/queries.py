@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm.chat import CHAT_REPORT_SQL, chat_report
@@ -14,6 +14,7 @@ from sluiceway.llm.minhash_forest import minhash_components
 from sluiceway.llm.mixing import MIX_SQL, mix_sources
 from sluiceway.llm.pii import personal_data_report
 from sluiceway.llm.token_count import count_tokens
+from sluiceway.llm.toxicity import toxicity_report
 from sluiceway.queries.inputs import table
 
 #: Vocabulary of the token counts and of chat formatting.
@@ -47,6 +48,18 @@ def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def id_remainder(name: str, divisor: int) -> Column:
+    """crc32 of an id as text, modulo a number; a NULL id counts as the empty text."""
+    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(divisor))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = toxicity_report(documents, labels, learn=id_remainder("id", 5) != 0)
+    return scored.withColumn("held_out", id_remainder("doc_id", 5) == 0)
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data_report(table(spark, sf_dir, "documents"))
 
@@ -67,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
     "op7_embedding_join": op7_embedding_join,
+    "op8_toxicity": op8_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_format_chats": op10_format_chats,
 }
