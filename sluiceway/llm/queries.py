@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sluiceway.llm.chat import CHAT_REPORT_SQL, chat_report
 from sluiceway.llm.decontaminate import contamination_report
 from sluiceway.llm.embedding_join import embedding_components
+from sluiceway.llm.language_id import language_report
 from sluiceway.llm.line_dedup import LINE_REPORT_SQL, line_report
 from sluiceway.llm.minhash_forest import minhash_components
 from sluiceway.llm.mixing import MIX_SQL, mix_sources
@@ -21,6 +22,12 @@ from sluiceway.queries.inputs import table
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def id_remainder(name: str, divisor: int) -> Column:
+    """crc32 of an id as text, modulo a number; a NULL id counts as the empty text."""
+    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.pmod(F.crc32(text.cast("binary")), F.lit(divisor))
+
+
 def op1_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), VOCABULARY)
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
@@ -44,14 +51,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(documents, benchmark, window=13)
 
 
-def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    predicted = language_report(documents, learn=id_remainder("id", 4) != 2)
+    return predicted.withColumn("held_out", id_remainder("doc_id", 4) == 2)
 
 
-def id_remainder(name: str, divisor: int) -> Column:
-    """crc32 of an id as text, modulo a number; a NULL id counts as the empty text."""
-    text = F.coalesce(F.col(name).cast("string"), F.lit(""))
-    return F.pmod(F.crc32(text.cast("binary")), F.lit(divisor))
+def op7_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
+    "op6_language_id": op6_language_id,
     "op7_embedding_join": op7_embedding_join,
     "op8_toxicity": op8_toxicity,
     "op9_personal_data": op9_personal_data,
