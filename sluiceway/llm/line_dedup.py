@@ -67,17 +67,15 @@ def mark_lines(
         .groupBy("id", "row")
         .agg(F.collect_set("pos").alias("drops"))
     )
+    same_id, same_row = fresh(documents, "_same_id"), fresh(documents, "_same_row")
+    dropped = dropped.withColumnsRenamed({"id": same_id, "row": same_row, "drops": drops_col})
     marked = documents.join(
-        dropped.select(
-            F.col("id").alias("_line_id"), F.col("row").alias("_line_row"), F.col("drops").alias(drops_col)
-        ),
-        col(id_col).eqNullSafe(F.col("_line_id")) & (F.xxhash64(text) == F.col("_line_row")),
+        dropped,
+        col(id_col).eqNullSafe(col(same_id)) & (F.xxhash64(text) == col(same_row)),
         "left",
     )
     marked = marked.select(
-        *(documents[f"`{c.replace('`', '``')}`"] for c in documents.columns),
-        F.split(text, "\n", -1).alias(lines_col),
-        F.col(drops_col),
+        *(col(c) for c in documents.columns), F.split(text, "\n", -1).alias(lines_col), drops_col
     )
     return marked, lines_col, drops_col
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.llm.components import connected_components
-from sluiceway.llm.frames import Scratch, col, text_bytes, text_groups
+from sluiceway.llm.frames import Scratch, col, fresh, text_bytes, text_groups
 from sluiceway.llm.words import mix, shingles_of, space_separated, words_of
 
 TREES, DEPTH, SHALLOW = 32, 8, 4
@@ -118,8 +118,9 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``documents`` with one text of each component, the one with the smallest id."""
     found = minhash_components(documents, id_col, text_col, shingle, percent)
-    dropped = found.where("NOT kept").select("doc_id").distinct()
-    return documents.join(dropped, col(id_col).cast("bigint") == dropped["doc_id"], "left_anti")
+    gone = fresh(documents, "_gone")
+    dropped = found.where("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
+    return documents.join(dropped, col(id_col).cast("bigint") == F.col(gone), "left_anti")
 
 
 def _sketcher(shingle: int):
