@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.llm.frames import Scratch, col, fresh, text_bytes, text_groups, worker_cache
 from sluiceway.llm.words import Words, letters_and_digits, lower_ascii, mix, words_of
@@ -180,26 +181,26 @@ def benchmark_matches(
         col(item_col).cast("string").alias("id"), col(item_text_col).cast("string").alias("text")
     ).where("id IS NOT NULL AND text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text") + F.octet_length("id") + 16)).head()[0] or 0
-    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(_MATCHES)])
     if size <= CHUNK_BYTES:
         found = rows.mapInArrow(
-            _search([tuple(r) for r in items.collect()], window, spark), f"doc_id {kind}, {_MATCHES}"
+            _search([tuple(r) for r in items.collect()], window, spark), schema
         )
     else:
-        found = _in_chunks(rows, items, 1 + 2 * size // CHUNK_BYTES, window, kind)
+        found = _in_chunks(rows, items, 1 + 2 * size // CHUNK_BYTES, window, schema)
     zero = F.lit(0).cast("bigint")
     n_hit = F.aggregate("hits", zero, lambda total, run: total + run["b"] - run["a"] + 1)
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), "items")
 
 
-def _in_chunks(rows: DataFrame, items: DataFrame, chunks: int, window: int, kind: str) -> DataFrame:
+def _in_chunks(rows: DataFrame, items: DataFrame, chunks: int, window: int, schema: T.StructType) -> DataFrame:
     """As one search, for a benchmark in ``chunks`` parts; an item is in one part only."""
     spark = rows.sparkSession
     parts = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
     keyed = rows.withColumn("row", F.monotonically_increasing_id())
     # The row numbers must be the same in every pass.
     keyed = Scratch(spark).keep(keyed, "rows")
-    schema = f"doc_id {kind}, row bigint, {_MATCHES}"
+    schema = T.StructType([schema["doc_id"], keyed.schema["row"], *schema[1:]])
     passes = None
     for part in range(chunks):
         own = [tuple(r) for r in parts.where(F.col("part") == part).drop("part").collect()]

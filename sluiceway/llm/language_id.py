@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.llm.frames import col, text_bytes, text_groups
 
@@ -298,8 +299,8 @@ def predict_language(
         text.alias("text"),
         F.rlike(text, F.lit(r"\p{L}")).alias("letters"),
     )
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double")
+    schema = T.StructType([rows.schema["doc_id"]]).add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(predict, schema)
 
 
 def language_report(documents: DataFrame, learn: Column | None = None, **options) -> DataFrame:
