@@ -23,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluiceway.llm.frames import col, fresh, text_groups
+from sluiceway.llm.frames import col, text_groups
 
 ORDERS = (4, 5)
 BITS = 20
@@ -212,27 +213,26 @@ def _regress(
 
 
 def with_score(
-    documents: DataFrame, model: ToxicityModel, text_col: str, name: str, keep: list[str]
+    documents: DataFrame, model: ToxicityModel, text_col: str, keep: list[str]
 ) -> DataFrame:
-    """The columns to ``keep``, and the score."""
+    """``kept``, a struct of the columns to keep, and ``score``."""
     shared = documents.sparkSession.sparkContext.broadcast((model.bias, *model.dense()))
-    text = fresh(documents, "_text")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bias, weights, wanted = shared.value
         for batch in batches:
-            for at, texts in text_groups(batch.column(text)):
+            for at, texts in text_groups(batch.column("text")):
                 row, bucket = _present(texts, wanted)
                 margin = bias + np.bincount(row, weights[bucket], len(texts))
-                rows = batch.slice(at, len(texts))
                 scores = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
-                yield pa.RecordBatch.from_arrays(
-                    [*(rows.column(c) for c in keep), pa.array(scores)], [*keep, name]
-                )
+                kept = batch.column("kept")[at : at + len(texts)]
+                yield pa.RecordBatch.from_arrays([kept, pa.array(scores)], ["kept", "score"])
 
-    rows = documents.select(*(col(c) for c in keep), col(text_col).cast("string").alias(text))
-    schema = rows.drop(text).schema.add(name, "double")
-    return rows.mapInArrow(score, schema)
+    rows = documents.select(
+        F.struct(*(col(c) for c in keep)).alias("kept"),
+        col(text_col).cast("string").alias("text"),
+    )
+    return rows.mapInArrow(score, T.StructType([rows.schema["kept"]]).add("score", "double"))
 
 
 def toxicity_report(
@@ -245,9 +245,9 @@ def toxicity_report(
 ) -> DataFrame:
     """``doc_id, score, predicted`` of every row."""
     model = fit_toxicity(documents, labels, learn, id_col, text_col, label_col)
-    scored = with_score(documents, model, text_col, "score", [id_col])
+    scored = with_score(documents, model, text_col, [id_col])
     predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
-    return scored.select(col(id_col).alias("doc_id"), "score", predicted)
+    return scored.select(F.col("kept").getField(id_col).alias("doc_id"), "score", predicted)
 
 
 def drop_toxic(
@@ -260,6 +260,5 @@ def drop_toxic(
 ) -> DataFrame:
     """``documents`` without those that are predicted to be toxic."""
     model = fit_toxicity(documents, labels, learn, id_col, text_col, label_col)
-    score = fresh(documents, "_score")
-    scored = with_score(documents, model, text_col, score, documents.columns)
-    return scored.where(F.col(score) < 0.5).drop(score)
+    clean = with_score(documents, model, text_col, documents.columns).where("score < 0.5")
+    return clean.select(*(F.col("kept").getField(c).alias(c) for c in documents.columns))
