@@ -37,7 +37,7 @@ from sluiceway.llm.words import mix, shingles_of, space_separated, words_of
 TREES, DEPTH, SHALLOW = 32, 8, 4
 #: A region of at most so many texts is sparse: all its pairs are candidates.
 SPARSE = 16
-#: Neighbours on each side that are candidates in the sort order of a crowded region.
+#: Neighbours on each side that are candidates in the sort order of a region that is split.
 WINDOW = 4
 #: Shingles of the texts that are compared as one block.
 BLOCK_SHINGLES = 1 << 17
@@ -242,7 +242,8 @@ def _region_pairs(rows: dict, count: int, percent: int) -> Iterator[pa.RecordBat
     )
     crowded = sizes[2] > SPARSE
     end = np.where(crowded, at + 1, end)
-    reach = np.minimum(np.maximum(end, at + 1 + WINDOW), ends[0])
+    # All texts of crowded regions meet later, so the next one and the first are enough there.
+    reach = np.minimum(np.maximum(end, at + 1 + np.where(crowded, 1, WINDOW)), ends[0])
     left, right = [], []
     for step in range(1, SPARSE):
         some = np.flatnonzero(at + step < reach)
@@ -251,7 +252,7 @@ def _region_pairs(rows: dict, count: int, percent: int) -> Iterator[pa.RecordBat
         left.append(some)
         right.append(some + step)
     # Members of a crowded region also meet its first text.
-    some = np.flatnonzero(crowded & (at - starts[2] > WINDOW))
+    some = np.flatnonzero(crowded & (at - starts[2] > 1))
     left.append(starts[2][some])
     right.append(some)
     i, j = np.concatenate(left), np.concatenate(right)
