@@ -15,13 +15,17 @@ def instant_text(time: Column) -> Column:
     For tables that keep the time in a STRING column; a TIMESTAMP column takes the
     timestamp itself.
     """
-    utc = F.to_utc_timestamp(time, F.current_timezone())
+    # A local time without a zone, so that no clock change of the session's zone gets in.
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    seconds = F.unix_seconds(time).cast("decimal(18,6)")
+    whole = (epoch + F.make_dt_interval(secs=seconds)).cast("string")
     micros = F.pmod(F.unix_micros(time), F.lit(1_000_000))
-    return (
-        F.when(micros == 0, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-        .when(micros % 1000 == 0, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .otherwise(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+    fraction = (
+        F.when(micros == 0, "")
+        .when(micros % 1000 == 0, F.concat(F.lit("."), F.lpad((micros / 1000).cast("int"), 3, "0")))
+        .otherwise(F.concat(F.lit("."), F.lpad(micros, 6, "0")))
     )
+    return F.concat(F.translate(whole, " ", "T"), fraction, F.lit("Z"))
 
 
 def random_id() -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 GREETING_START = "Hello "
 GREETING_END = "!"
 
+NO_SECOND_WORD = "malformed greeting: the payload has no second word"
+
 # Fixed value: a UTF-8 encoded surrogate, perhaps cut short, with bytes as Latin-1 letters.
 ENCODED_SURROGATE = "\u00ed[\u00a0-\u00bf][\u0080-\u00bf]?"
 
@@ -45,7 +47,7 @@ def name_of_word(word: Column, on_malformed: str = "fail") -> Column:
     """
     name = F.when(F.octet_length(word) > 0, F.left(word, F.length(word) - 1))
     if on_malformed == "fail":
-        return name.otherwise(F.raise_error(F.lit("malformed greeting: the payload has no second word")))
+        return name.otherwise(F.raise_error(F.lit(NO_SECOND_WORD)))
     if on_malformed == "quarantine":
         return name
     raise ValueError(f"on_malformed must be 'fail' or 'quarantine', not {on_malformed!r}")

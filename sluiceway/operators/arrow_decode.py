@@ -2,12 +2,12 @@
 
 Used where Spark's own Avro or Protobuf module is not loaded. A batch is decoded column by
 column: each step reads one varint of every message at once, so the Python cost is per
-batch and field, not per row. Field values are cut out of the batch's own data buffer, and
-Arrow checks that they are UTF-8.
+batch and field, not per row. Field values are cut out of the batch's own data buffer and
+returned as bytes; the caller turns them into text in the JVM.
 """
 
-import re
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -20,57 +20,90 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VARINT_MAX_BYTES = 10
 
-# Fixed value: a UTF-8 encoded surrogate, perhaps cut short.
-ENCODED_SURROGATE = re.compile(rb"\xed[\xa0-\xbf][\x80-\xbf]?")
-
 # Protobuf wire types.
 VARINT, FIXED64, LENGTH_DELIMITED, GROUP_START, GROUP_END, FIXED32 = range(6)
 
 
-def avro_decoder(names: tuple[str, ...]):
-    """A UDF: a BINARY payload to the struct of the STRING fields ``names``."""
+#: The field that tells why a message could not be decoded.
+MALFORMED = "malformed"
 
-    # Declared non-deterministic so that Spark evaluates it once per row instead of
-    # repeating it in every filter on a decoded field.
-    @F.arrow_udf(_struct_type(names))
-    def decode(payloads: pa.Array) -> pa.Array:
-        data, start, stop = _extents(payloads)
-        at = start
-        fields = []
-        for _ in names:
-            length, at = _read_varints(data, at, stop)
-            if (length & 1).any():
-                raise ValueError("negative string length in an Avro payload")
-            length = length >> 1
-            end = _advance(at, length, stop)
-            fields.append(_cut(data, at, end))
-            at = end
-        if (at != stop).any():
-            raise ValueError("bytes follow the Avro datum")
-        return pa.StructArray.from_arrays(fields, names=names)
 
-    return decode.asNondeterministic()
+def avro_decoder(names: tuple[str, ...], on_malformed: str = "fail"):
+    """A UDF: a BINARY payload to the struct of the fields ``names``, as BINARY.
+
+    With ``on_malformed="quarantine"`` the struct has a field ``malformed`` too: why the
+    payload is no message, and then the other fields are NULL.
+    """
+    return _decoder(_avro_fields, names, on_malformed)
 
 
-def protobuf_decoder(names: tuple[str, ...]):
-    """A UDF: a BINARY payload to the struct of the STRING fields ``names``.
+def protobuf_decoder(names: tuple[str, ...], on_malformed: str = "fail"):
+    """A UDF as :func:`avro_decoder`.
 
     The names are those of Protobuf fields 1, 2 and so on. All are required; other fields,
     and these numbers with another wire type, are skipped. The last of repeated values wins.
     """
+    return _decoder(_protobuf_fields, names, on_malformed)
+
+
+def _decoder(fields_of: Callable, names: tuple[str, ...], on_malformed: str):
+    if on_malformed not in ("fail", "quarantine"):
+        raise ValueError(f"on_malformed must be 'fail' or 'quarantine', not {on_malformed!r}")
+    quarantine = on_malformed == "quarantine"
+    fields = [T.StructField(name, T.BinaryType()) for name in names]
+    fields += [T.StructField(MALFORMED, T.StringType())] * quarantine
 
-    @F.arrow_udf(_struct_type(names))
+    # Declared non-deterministic so that Spark evaluates it once per row instead of
+    # repeating it in every filter on a decoded field.
+    @F.arrow_udf(T.StructType(fields))
     def decode(payloads: pa.Array) -> pa.Array:
-        data, start, stop = _extents(payloads)
-        bounds = _fields_in_order(data, start, stop, len(names))
-        if bounds is None:
-            bounds = _fields_in_any_order(data, start, stop, len(names))
-        fields = [_cut(data, begin, end) for begin, end in bounds]
-        return pa.StructArray.from_arrays(fields, names=names)
+        if not quarantine:
+            return pa.StructArray.from_arrays(fields_of(*_extents(payloads), len(names)), names=names)
+        parts = _halved(payloads, fields_of, len(names))
+        return pa.concat_arrays(
+            [pa.StructArray.from_arrays(part, names=[*names, MALFORMED]) for part in parts]
+        )
 
     return decode.asNondeterministic()
 
 
+def _halved(payloads: pa.Array, fields_of: Callable, count: int) -> list[list[pa.Array]]:
+    """Decoded parts of a batch. One with a bad message is halved until that stands alone, so
+    the good ones are decoded together, and few bad ones cost few more steps."""
+    try:
+        found = fields_of(*_extents(payloads), count)
+        return [[*found, pa.nulls(len(payloads), pa.string())]]
+    except ValueError as error:
+        if len(payloads) == 1:
+            return [[*(pa.nulls(1, pa.binary()) for _ in range(count)), pa.array([str(error)])]]
+    half = len(payloads) // 2
+    parts = (payloads.slice(0, half), payloads.slice(half))
+    return [decoded for part in parts for decoded in _halved(part, fields_of, count)]
+
+
+def _avro_fields(data, start, stop, count: int) -> list[pa.Array]:
+    at = start
+    fields = []
+    for _ in range(count):
+        length, at = _read_varints(data, at, stop)
+        if (length & 1).any():
+            raise ValueError("negative string length in an Avro payload")
+        length = length >> 1
+        end = _advance(at, length, stop)
+        fields.append(_cut(data, at, end))
+        at = end
+    if (at != stop).any():
+        raise ValueError("bytes follow the Avro datum")
+    return fields
+
+
+def _protobuf_fields(data, start, stop, count: int) -> list[pa.Array]:
+    bounds = _fields_in_order(data, start, stop, count)
+    if bounds is None:
+        bounds = _fields_in_any_order(data, start, stop, count)
+    return [_cut(data, begin, end) for begin, end in bounds]
+
+
 def _fields_in_order(data, start, stop, count: int):
     """Where each field begins and ends if every message has just these, in order, else None.
 
@@ -135,10 +168,6 @@ class _OpenGroups:
             self.inside[rows[i]] = bool(stack)
 
 
-def _struct_type(names: tuple[str, ...]) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
-
-
 def _extents(payloads: pa.Array):
     """The bytes of a batch, and where each payload starts and stops in them."""
     wide = payloads.cast(pa.large_binary())
@@ -174,7 +203,7 @@ def _advance(at, size, stop):
 
 
 def _cut(data, begin, end) -> pa.Array:
-    """The texts ``data[begin:end]``, one per message.
+    """The bytes ``data[begin:end]``, one value per message.
 
     Begins and ends of successive messages never decrease, so they form the offsets of an
     array whose even entries are the slices and whose odd entries are the gaps.
@@ -184,16 +213,4 @@ def _cut(data, begin, end) -> pa.Array:
     pieces = pa.Array.from_buffers(
         pa.large_binary(), max(len(offsets) - 1, 0), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
     )
-    return _text(pieces.take(pa.array(np.arange(0, len(offsets), 2))).cast(pa.binary()))
-
-
-def _text(values: pa.Array) -> pa.Array:
-    """UTF-8 text, with one U+FFFD for each malformed sequence, where the JVM puts one."""
-    try:
-        return values.cast(pa.string())
-    except pa.ArrowInvalid:  # some value of this batch is not UTF-8
-        return pa.array([_repaired(value) for value in values.to_pylist()], pa.string())
-
-
-def _repaired(value: bytes) -> str:
-    return ENCODED_SURROGATE.sub(b"\xff", value).decode("utf-8", "replace")
+    return pieces.take(pa.array(np.arange(0, len(offsets), 2))).cast(pa.binary())

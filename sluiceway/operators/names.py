@@ -40,14 +40,23 @@ def extract_names(messages: DataFrame, on_malformed: str = "fail") -> DataFrame:
     return words.select("*", F.explode(F.array(name)).alias("name")).drop("_word")
 
 
+def is_short(name: Column) -> Column:
+    return utf16_shorter_than(name, NAME_LENGTH_LIMIT)
+
+
+def route_of(name: Column) -> Column:
+    """``A`` or ``B`` by first letter, else NULL."""
+    return first_match(name, ROUTES)
+
+
 def short_names(names: DataFrame) -> DataFrame:
     """Keep names of fewer than five UTF-16 units; exactly five is rejected."""
-    return names.where(utf16_shorter_than(F.col("name"), NAME_LENGTH_LIMIT))
+    return names.where(is_short(F.col("name")))
 
 
 def route_names(names: DataFrame) -> DataFrame:
     """Add ``route``, ``A`` or ``B`` by first letter; names with neither are dropped."""
-    return names.withColumn("route", first_match(F.col("name"), ROUTES)).where("route IS NOT NULL")
+    return names.withColumn("route", route_of(F.col("name"))).where("route IS NOT NULL")
 
 
 def take_route(routed: DataFrame, route: str) -> DataFrame:

@@ -1,14 +1,13 @@
 """User messages: encode rows into payloads, decode payloads, shape rows."""
 
-from py4j.java_gateway import JavaClass
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.stamps import processing_time as stamp
 from sluiceway.functions.stamps import random_id
 from sluiceway.functions.text import greeting, payload_text
 from sluiceway.functions.wire import avro_record, protobuf_message
-from sluiceway.operators.arrow_decode import avro_decoder, protobuf_decoder
+from sluiceway.operators.arrow_decode import MALFORMED, avro_decoder, protobuf_decoder
 from sluiceway.schemas import (
     AVRO_FIELDS,
     PROTOBUF_FIELDS,
@@ -18,11 +17,6 @@ from sluiceway.schemas import (
 
 USER_COLUMNS = ("id", "first_name", "last_name")
 
-# Classes that are on the class path exactly if a module is.
-AVRO_MODULE_CLASS = "org.apache.spark.sql.avro.AvroDataToCatalyst"
-PROTOBUF_MODULE_CLASS = "org.apache.spark.sql.protobuf.ProtobufDataToCatalyst"
-
-
 def encode_greetings(names: DataFrame) -> DataFrame:
     """Add ``payload``, the greeting of ``name``, and ``attributes`` with ``first_name``."""
     name = F.col("name")
@@ -49,28 +43,38 @@ def encode_protobuf(users: DataFrame) -> DataFrame:
     return users.withColumn("payload", protobuf_message(*USER_COLUMNS))
 
 
-def decode_avro(messages: DataFrame, decoder: str = "auto") -> DataFrame:
+def decode_avro(
+    messages: DataFrame, decoder: str = "auto", on_malformed: str = "fail"
+) -> DataFrame:
     """Add ``user_message``, the struct in an Avro payload, with the Avro field names.
 
-    Truncated payloads, trailing bytes and NULL payloads fail the query. ``decoder`` is
-    ``"builtin"`` (Spark's Avro module), ``"arrow"`` (no module needed) or ``"auto"``: the
-    first of the two that the session can run.
+    Truncated payloads, trailing bytes and NULL payloads fail the query. With
+    ``on_malformed="quarantine"`` such messages stay, with a NULL ``user_message``, and a
+    column ``malformed`` tells why (NULL for good messages).
+
+    ``decoder`` is ``"arrow"`` or ``"builtin"`` (Spark's Avro module, which knows no
+    quarantine and refuses lengths written in more bytes than they need); ``"auto"`` is
+    ``"arrow"``, whatever modules there are.
     """
-    if _use_builtin(messages.sparkSession, decoder, AVRO_MODULE_CLASS):
+    if _is_builtin(decoder, on_malformed):
         return _decode_avro_builtin(messages)
-    return _decode_arrow(messages, avro_decoder(AVRO_FIELDS))
+    return _decode_arrow(messages, avro_decoder(AVRO_FIELDS, on_malformed), AVRO_FIELDS, on_malformed)
 
 
-def decode_protobuf(messages: DataFrame, decoder: str = "auto") -> DataFrame:
+def decode_protobuf(
+    messages: DataFrame, decoder: str = "auto", on_malformed: str = "fail"
+) -> DataFrame:
     """Add ``user_message``, the struct in a Protobuf payload, with the Protobuf field names.
 
-    Malformed payloads, missing required fields and NULL payloads fail the query; unknown
-    fields are skipped and the last of repeated values wins. ``decoder`` as in
-    :func:`decode_avro`, with Spark's Protobuf module.
+    Malformed payloads, missing required fields and NULL payloads fail the query or are set
+    apart; unknown fields are skipped and the last of repeated values wins. ``decoder`` and
+    ``on_malformed`` as in :func:`decode_avro`, with Spark's Protobuf module.
     """
-    if _use_builtin(messages.sparkSession, decoder, PROTOBUF_MODULE_CLASS):
+    if _is_builtin(decoder, on_malformed):
         return _decode_protobuf_builtin(messages)
-    return _decode_arrow(messages, protobuf_decoder(PROTOBUF_FIELDS))
+    return _decode_arrow(
+        messages, protobuf_decoder(PROTOBUF_FIELDS, on_malformed), PROTOBUF_FIELDS, on_malformed
+    )
 
 
 def avro_rows(decoded: DataFrame, processing_time: Column | None = None) -> DataFrame:
@@ -90,8 +94,18 @@ def _user_rows(decoded: DataFrame, fields: tuple[str, ...], processing_time: Col
     return decoded.select(*named, stamp(processing_time).alias("timestamp"))
 
 
-def _decode_arrow(messages: DataFrame, decode) -> DataFrame:
-    return messages.withColumn("user_message", decode(F.coalesce("payload", F.lit(b""))))
+def _decode_arrow(
+    messages: DataFrame, decode, fields: tuple[str, ...], on_malformed: str
+) -> DataFrame:
+    raw = messages.withColumn("_raw", decode(F.coalesce("payload", F.lit(b""))))
+    # Malformed UTF-8 is repaired in the JVM, value by value.
+    user_message = F.struct(*(payload_text(F.col(f"_raw.{f}")).alias(f) for f in fields))
+    if on_malformed == "fail":
+        return raw.withColumn("user_message", user_message).drop("_raw")
+    reason = F.col(f"_raw.{MALFORMED}")
+    return raw.withColumns(
+        {"user_message": F.when(reason.isNull(), user_message), "malformed": reason}
+    ).drop("_raw")
 
 
 def _decode_avro_builtin(messages: DataFrame) -> DataFrame:
@@ -124,15 +138,9 @@ def _fail_fast() -> Column:
     return F.create_map(F.lit("mode"), F.lit("FAILFAST"))
 
 
-def _use_builtin(spark: SparkSession, decoder: str, module_class: str) -> bool:
+def _is_builtin(decoder: str, on_malformed: str) -> bool:
     if decoder not in ("auto", "builtin", "arrow"):
         raise ValueError(f"decoder must be 'auto', 'builtin' or 'arrow', not {decoder!r}")
-    return decoder == "builtin" or (decoder == "auto" and _is_loaded(spark, module_class))
-
-
-def _is_loaded(spark: SparkSession, module_class: str) -> bool:
-    """Whether Spark's class path has a class of an optional module."""
-    found = spark._jvm
-    for part in module_class.split("."):
-        found = getattr(found, part)
-    return isinstance(found, JavaClass)
+    if decoder == "builtin" and on_malformed != "fail":
+        raise ValueError("the built-in decoder has no quarantine")
+    return decoder == "builtin"

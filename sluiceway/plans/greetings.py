@@ -3,23 +3,42 @@
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sluiceway.operators.names import extract_names, name_rows, route_names, short_names
+from sluiceway.functions.text import NO_SECOND_WORD
+from sluiceway.operators.names import (
+    extract_names,
+    is_short,
+    name_rows,
+    route_names,
+    route_of,
+    short_names,
+)
 from sluiceway.operators.user_messages import encode_greetings
 from sluiceway.sinks.topics import publish
 from sluiceway.sources.topics import read_subscription
 from sluiceway.streaming.writers import append_routes, write_routes
 
 
-def routed_names(messages: DataFrame) -> DataFrame:
-    """Rows ``route, name`` of the short A and B names in greeting messages."""
-    return (
-        messages.transform(extract_names)
-        .transform(short_names)
-        .transform(route_names)
-        .select("route", "name")
+def routed_names(messages: DataFrame, on_malformed: str = "fail") -> DataFrame:
+    """Rows ``route, name`` of the short A and B names in greeting messages.
+
+    With ``on_malformed="quarantine"`` malformed messages are there too, without a route,
+    with their ``payload`` and a reason in ``malformed``; both are NULL for names.
+    """
+    if on_malformed == "fail":
+        names = messages.transform(extract_names).transform(short_names)
+        return names.transform(route_names).select("route", "name")
+    names = messages.transform(extract_names, on_malformed)
+    bad = F.isnull("name")
+    routed = names.select(
+        route_of(F.col("name")).alias("route"),
+        "name",
+        F.when(bad, F.col("payload")).alias("payload"),
+        F.when(bad, NO_SECOND_WORD).alias("malformed"),
     )
+    return routed.where(bad | (is_short(F.col("name")) & F.col("route").isNotNull()))
 
 
 def route_greetings(
@@ -32,10 +51,41 @@ def route_greetings(
     processing_time: Column | None = None,
     trigger: Mapping | None = None,
     compact: bool = False,
+    malformed_table: str | None = None,
     **read_options,
 ) -> StreamingQuery:
     """Read greetings from a subscription and append short names to the A or B table.
 
+    As :func:`route_greeting_messages` on the messages of a topic.
+    """
+    return route_greeting_messages(
+        read_subscription(spark, topic, **read_options),
+        a_table,
+        b_table,
+        checkpoint,
+        processing_time=processing_time,
+        trigger=trigger,
+        compact=compact,
+        malformed_table=malformed_table,
+    )
+
+
+def route_greeting_messages(
+    messages: DataFrame,
+    a_table: str,
+    b_table: str,
+    checkpoint: str,
+    *,
+    processing_time: Column | None = None,
+    trigger: Mapping | None = None,
+    compact: bool = False,
+    malformed_table: str | None = None,
+) -> StreamingQuery:
+    """Append the short names in a stream of greeting messages to the A or B table.
+
+    A malformed message fails the query, or goes to ``malformed_table`` (``payload, reason,
+    timestamp``) if there is one.
+
     Short names are a small part of what is read, and every input split leaves a file in
     each table. ``compact=True`` shuffles the rows, evenly and without a key, into files
     of ``spark.sql.adaptive.advisoryPartitionSizeInBytes``; worth it for large backlogs.
@@ -46,11 +96,12 @@ def route_greetings(
         return rows.hint("rebalance") if compact else rows
 
     return append_routes(
-        read_subscription(spark, topic, **read_options).transform(routed_names),
+        messages.transform(routed_names, "quarantine" if malformed_table else "fail"),
         {"A": a_table, "B": b_table},
         checkpoint,
         trigger,
         to_rows,
+        malformed_table,
     )
 
 

@@ -4,19 +4,27 @@ from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.user_messages import (
     avro_rows,
+    decode_avro,
+    decode_protobuf,
     encode_avro,
     encode_protobuf,
     protobuf_rows,
     with_user_ids,
 )
 from sluiceway.sinks.topics import publish
-from sluiceway.sources.topics import start_position
-from sluiceway.sources.user_messages import read_avro, read_protobuf
-from sluiceway.streaming.writers import append_stream
+from sluiceway.sources.topics import (
+    keep_start,
+    kept_start,
+    read_subscription,
+    read_topic,
+    unlimited,
+)
+from sluiceway.streaming.writers import append_batch, pass_over_published, start_writing
 
 
 def publish_avro(users: DataFrame, topic: str) -> DataFrame:
@@ -39,22 +47,56 @@ def ingest_avro(
     processing_time: Column | None = None,
     trigger: Mapping | None = None,
     decoder: str = "auto",
+    malformed_table: str | None = None,
     **read_options,
 ) -> StreamingQuery:
-    """Append the Avro user messages published since the first start of the job.
+    """Append the Avro user messages that become visible after the first start of the job.
 
-    ``start`` replaces the time of the first start; a restart keeps the one it had.
+    At the first start all publications there are are passed over, by listing them on the
+    job's checkpoint; no clocks are compared, so a publication under way is delivered whole
+    when it is committed. With ``start`` the messages published at or after that time count
+    instead. A restart goes on as the first start began.
     """
-    since = start_position(spark, checkpoint, start)
-    return append_stream(
-        read_avro(spark, topic, since, decoder, **read_options),
+    known, since = kept_start(spark, checkpoint)
+    if not known:
+        since = start
+        if start is None:
+            everything = read_subscription(spark, topic, **unlimited(read_options))
+            decoded, write = _avro_append(
+                everything, table, processing_time, decoder, malformed_table
+            )
+            pass_over_published(decoded, write, checkpoint)
+        keep_start(spark, checkpoint, start)
+    return ingest_avro_messages(
+        read_topic(spark, topic, since, **read_options),
         table,
         checkpoint,
-        trigger,
-        to_rows=lambda decoded: avro_rows(decoded, processing_time),
+        processing_time=processing_time,
+        trigger=trigger,
+        decoder=decoder,
+        malformed_table=malformed_table,
     )
 
 
+def ingest_avro_messages(
+    messages: DataFrame,
+    table: str,
+    checkpoint: str,
+    *,
+    processing_time: Column | None = None,
+    trigger: Mapping | None = None,
+    decoder: str = "auto",
+    malformed_table: str | None = None,
+) -> StreamingQuery:
+    """Append the Avro user messages of any stream of messages.
+
+    A malformed message fails the query, or goes to ``malformed_table`` (``payload, reason,
+    timestamp``) if there is one.
+    """
+    decoded, write = _avro_append(messages, table, processing_time, decoder, malformed_table)
+    return start_writing(decoded, write, checkpoint, trigger)
+
+
 def ingest_protobuf(
     spark: SparkSession,
     topic: str,
@@ -64,13 +106,48 @@ def ingest_protobuf(
     processing_time: Column | None = None,
     trigger: Mapping | None = None,
     decoder: str = "auto",
+    malformed_table: str | None = None,
     **read_options,
 ) -> StreamingQuery:
     """Append the Protobuf user messages of a subscription."""
-    return append_stream(
-        read_protobuf(spark, topic, decoder, **read_options),
+    return ingest_protobuf_messages(
+        read_subscription(spark, topic, **read_options),
         table,
         checkpoint,
-        trigger,
-        to_rows=lambda decoded: protobuf_rows(decoded, processing_time),
+        processing_time=processing_time,
+        trigger=trigger,
+        decoder=decoder,
+        malformed_table=malformed_table,
+    )
+
+
+def ingest_protobuf_messages(
+    messages: DataFrame,
+    table: str,
+    checkpoint: str,
+    *,
+    processing_time: Column | None = None,
+    trigger: Mapping | None = None,
+    decoder: str = "auto",
+    malformed_table: str | None = None,
+) -> StreamingQuery:
+    """Append the Protobuf user messages of any stream, as :func:`ingest_avro_messages`."""
+    decoded = _decoded(messages, decode_protobuf, decoder, malformed_table)
+    write = append_batch(
+        table, lambda batch: protobuf_rows(batch, processing_time), malformed_table
     )
+    return start_writing(decoded, write, checkpoint, trigger)
+
+
+def _avro_append(messages, table, processing_time, decoder, malformed_table):
+    decoded = _decoded(messages, decode_avro, decoder, malformed_table)
+    write = append_batch(table, lambda batch: avro_rows(batch, processing_time), malformed_table)
+    return decoded, write
+
+
+def _decoded(messages: DataFrame, decode, decoder: str, malformed_table: str | None) -> DataFrame:
+    if malformed_table is None:
+        return messages.transform(decode, decoder).select("user_message")
+    decoded = messages.transform(decode, decoder, "quarantine")
+    payload = F.when(F.col("malformed").isNotNull(), F.col("payload")).alias("payload")
+    return decoded.select("user_message", "malformed", payload)

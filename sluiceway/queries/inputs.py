@@ -22,10 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def greeted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``message_id, name``: market segments cut to one to six letters."""
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("message_id"),
-        F.expr("substring(c_mktsegment, 1, cast(1 + c_custkey % 6 AS int))").alias("name"),
+    """``message_id, name``: every word of the conversations, whole; every seventh of a text
+    with a character outside the BMP at its end."""
+    words = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.posexplode(F.split("text", " ", -1)).alias("place", "word")
+    )
+    return words.where("word <> ''").select(
+        F.concat_ws("-", "conv_id", "turn", "place").alias("message_id"),
+        F.concat("word", F.when(F.col("place") % 7 == 0, "\U0001f600").otherwise("")).alias("name"),
     )
 
 
@@ -63,9 +67,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").cast("string").alias("message_id"),
         F.col("event_type").cast("binary").alias("payload"),
-        F.expr("cast(convert_timezone('UTC', current_timezone(), ts) AS timestamp)").alias(
-            "publish_time"
-        ),
+        F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("publish_time"),
     )
 
 
@@ -82,6 +84,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def set_back(spark: SparkSession, folder: str, days: int) -> None:
+    """Give the files of a folder a modification time so many days ago, as a mirror may."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = system.listFiles(path, True)
+    while files.hasNext():
+        file = files.next()
+        system.setTimes(file.getPath(), file.getModificationTime() - days * 86_400_000, -1)
+
+
 def new_table(spark: SparkSession, folder: str, name: str, schema: StructType) -> str:
     """An empty table with files under ``folder``; returns its unique name."""
     unique = f"{name}_{uuid.uuid4().hex}"

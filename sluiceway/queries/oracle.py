@@ -3,9 +3,16 @@
 from sluiceway.queries.inputs import FIXED_TIME_TEXT
 
 _NAMES = """
-    SELECT CAST(c_custkey AS VARCHAR) AS message_id,
-           substring(c_mktsegment, 1, CAST(1 + c_custkey % 6 AS INTEGER)) AS name
-    FROM customer
+    SELECT concat_ws('-', conv_id, turn, place) AS message_id,
+           word || CASE WHEN place % 7 = 0 THEN chr(128512) ELSE '' END AS name
+    FROM (SELECT conv_id, turn, unnest(words) AS word, unnest(range(len(words))) AS place
+          FROM (SELECT conv_id, turn, string_split(text, ' ') AS words FROM conversations))
+    WHERE word <> ''
+"""
+
+# Whether a name is short: UTF-16 units, of which a character outside the BMP has two.
+_SHORT = """
+    length(name) + length(regexp_replace(name, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) < 5
 """
 
 _USERS = """
@@ -25,7 +32,7 @@ _DOCUMENT_WORDS = "SELECT doc_id, string_split(text, ' ')[2] AS word FROM docume
 _ROUTED = f"""
     SELECT message_id, name, left(name, 1) AS route
     FROM ({_NAMES})
-    WHERE length(name) < 5 AND (starts_with(name, 'A') OR starts_with(name, 'B'))
+    WHERE {_SHORT} AND (starts_with(name, 'A') OR starts_with(name, 'B'))
 """
 
 
@@ -70,7 +77,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT message_id, hex('Hello ' || name || '!') AS payload_hex, name AS first_name,
                '{FIXED_TIME_TEXT}' AS publish_time
         FROM ({_NAMES})""",
-    "published_ids": "SELECT count(*) AS ids, count(*) AS distinct_ids FROM customer",
+    "published_ids": f"SELECT count(*) AS ids, count(*) AS distinct_ids FROM ({_NAMES})",
     "read_subscription": f"""
         SELECT CAST(doc_id AS VARCHAR) AS message_id, md5(text) AS payload_md5, lang,
                '{FIXED_TIME_TEXT}' AS publish_time
@@ -86,12 +93,12 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN word <> '' THEN left(word, length(word) - 1) END AS name,
                word IS NULL OR word = '' AS malformed
         FROM ({_DOCUMENT_WORDS})""",
-    "short_names": f"SELECT message_id, name FROM ({_NAMES}) WHERE length(name) < 5",
+    "short_names": f"SELECT message_id, name FROM ({_NAMES}) WHERE {_SHORT}",
     "short_names_documents": f"""
         SELECT message_id, name
         FROM (SELECT CAST(doc_id AS VARCHAR) AS message_id, left(word, length(word) - 1) AS name
               FROM ({_DOCUMENT_WORDS}) WHERE word <> '')
-        WHERE length(name) + length(regexp_replace(name, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) < 5""",
+        WHERE {_SHORT}""",
     "route_a": f"SELECT message_id, name FROM ({_ROUTED}) WHERE route = 'A'",
     "route_b": f"SELECT message_id, name FROM ({_ROUTED}) WHERE route = 'B'",
     "route_counts": f"SELECT route, name, count(*) AS names FROM ({_ROUTED}) GROUP BY route, name",
@@ -103,6 +110,33 @@ ORACLE_SQL: dict[str, str] = {
         FROM ({_ROUTED})""",
     "stream_route_to_folder": f"""
         SELECT name, '{FIXED_TIME_TEXT}' AS timestamp, route FROM ({_ROUTED})""",
+    "stream_route_text_time": f"""
+        SELECT name, '{FIXED_TIME_TEXT}' AS timestamp,
+               CASE route WHEN 'A' THEN 'a_names' ELSE 'b_names' END AS sink
+        FROM ({_ROUTED})""",
+    "route_documents_quarantine": f"""
+        SELECT CASE WHEN word IS NULL OR word = '' THEN 'malformed'
+                    WHEN starts_with(name, 'A') THEN 'a_names' ELSE 'b_names' END AS sink,
+               CASE WHEN word IS NULL OR word = '' THEN md5(text) ELSE name END AS value
+        FROM (SELECT *, left(word, length(word) - 1) AS name
+              FROM (SELECT text, string_split(text, ' ')[2] AS word FROM documents))
+        WHERE word IS NULL OR word = ''
+           OR ({_SHORT} AND (starts_with(name, 'A') OR starts_with(name, 'B')))""",
+    "read_subscription_late_files": f"""
+        SELECT CAST(doc_id AS VARCHAR) AS message_id, md5(text) AS payload_md5 FROM documents""",
+    "ingest_avro_from_now": f"""
+        SELECT *, '{FIXED_TIME_TEXT}' AS timestamp FROM ({_USERS})
+        WHERE CAST(id AS BIGINT) % 2 <> 0""",
+    "ingest_avro_quarantine": f"""
+        SELECT id AS value, first_name, last_name, 'user_messages' AS sink FROM ({_USERS})
+        WHERE CAST(id AS BIGINT) % 10 <> 0
+        UNION ALL
+        SELECT left(payload_hex, length(payload_hex) - 2), NULL, NULL, 'truncated payload'
+        FROM ({_avro_hex(_USERS)}) WHERE CAST(id AS BIGINT) % 10 = 0""",
+    "messages_from_columns": f"""
+        SELECT CAST(doc_id AS VARCHAR) AS message_id, md5(text) AS payload_md5, lang,
+               '{FIXED_TIME_TEXT}' AS publish_time
+        FROM documents""",
     "avro_encode": _avro_hex(_USERS),
     "avro_encode_documents": _avro_hex(_DOCUMENT_USERS),
     "proto_encode": _protobuf_hex(_USERS),
@@ -118,9 +152,10 @@ ORACLE_SQL: dict[str, str] = {
         WHERE CAST(id AS BIGINT) % 2 <> 0""",
     "ingest_proto": f"SELECT *, '{FIXED_TIME_TEXT}' AS timestamp FROM ({_USERS})",
     "insert_and_select": f"SELECT name, '{FIXED_TIME_TEXT}' AS timestamp FROM ({_NAMES})",
-    "insert_reports": """
-        SELECT 'fits' AS insert, count(*) AS rows, false AS has_errors FROM customer
-        UNION ALL SELECT 'extra column', 0, true""",
+    "insert_reports": f"""
+        SELECT 'fits' AS insert, count(*) AS rows, false AS has_errors FROM ({_NAMES})
+        UNION ALL SELECT 'missing column', count(*), false FROM ({_NAMES})
+        UNION ALL SELECT unnest(['extra column', 'other type', 'too long', 'out of range']), 0, true""",
     "processing_time_text": f"""
         SELECT CAST(event_id AS VARCHAR) AS message_id, {_time_text('ts', 0)} AS to_second,
                {_time_text('ts', 3)} AS to_millisecond, {_time_text('ts', 6)} AS to_microsecond

@@ -1,9 +1,11 @@
 """The registered queries. Each takes a session and the folder of the given tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceway.functions.stamps import instant_text
 from sluiceway.operators.names import (
@@ -36,10 +38,11 @@ from sluiceway.plans.user_messages import (
 )
 from sluiceway.queries import inputs
 from sluiceway.queries.inputs import fixed_time, new_table, scratch_dir
-from sluiceway.schemas import MESSAGE, NAME_ROW, USER_MESSAGE_ROW
+from sluiceway.schemas import MALFORMED_ROW, MESSAGE, NAME_ROW, USER_MESSAGE_ROW
 from sluiceway.sinks.tables import insert_rows
 from sluiceway.sinks.topics import publish
-from sluiceway.sources.tables import scan_table
+from sluiceway.sources.streams import as_messages
+from sluiceway.sources.tables import read_routes, scan_table
 from sluiceway.sources.topics import create_topic, read_subscription, read_topic, topic_table
 from sluiceway.streaming.writers import append_stream
 
@@ -186,10 +189,93 @@ def stream_route_to_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
         processing_time=fixed_time(),
         trigger=ALL_AVAILABLE,
     ).awaitTermination()
-    rows = spark.read.parquet(f"{folder}/names").select("name", "timestamp", "route")
+    rows = read_routes(spark, f"{folder}/names", NAME_ROW).select("name", "timestamp", "route")
     return rows.transform(_with_time_text)
 
 
+def stream_route_text_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As the job that routes to two tables, which keep their time as text."""
+    folder = scratch_dir(spark)
+    topic = create_topic(spark, f"{folder}/topic")
+    publish_greetings(inputs.greeted_names(spark, sf_dir), topic)
+    schema = T.StructType.fromDDL("name string, timestamp string")
+    tables = {name: new_table(spark, folder, name, schema) for name in ("a_names", "b_names")}
+    route_greetings(
+        spark,
+        topic,
+        *tables.values(),
+        f"{folder}/checkpoint",
+        processing_time=fixed_time(),
+        trigger=ALL_AVAILABLE,
+    ).awaitTermination()
+    return _union_of(
+        scan_table(spark, table).withColumn("sink", F.lit(name)) for name, table in tables.items()
+    )
+
+
+def route_documents_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as greetings: short A and B names, and the texts that are none."""
+    folder = scratch_dir(spark)
+    topic = create_topic(spark, f"{folder}/topic")
+    publish(inputs.document_messages(spark, sf_dir), topic)
+    tables = {name: new_table(spark, folder, name, NAME_ROW) for name in ("a_names", "b_names")}
+    malformed = new_table(spark, folder, "malformed", MALFORMED_ROW)
+    route_greetings(
+        spark,
+        topic,
+        *tables.values(),
+        f"{folder}/checkpoint",
+        trigger=ALL_AVAILABLE,
+        malformed_table=malformed,
+    ).awaitTermination()
+    names = [
+        scan_table(spark, table).select(F.lit(name).alias("sink"), F.col("name").alias("value"))
+        for name, table in tables.items()
+    ]
+    bad = scan_table(spark, malformed)
+    return _union_of([*names, bad.select(F.lit("malformed").alias("sink"), F.md5("payload").alias("value"))])
+
+
+def read_subscription_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A subscription that goes on with files 40 days older than those it has read."""
+    folder = scratch_dir(spark)
+    topics = create_topic(spark, f"{folder}/topics")
+    documents = inputs.document_messages(spark, sf_dir)
+    even = F.col("message_id").cast("bigint") % 2 == 0
+    table = new_table(spark, folder, "received", MESSAGE)
+    for name, part in (("new", even), ("old", ~even)):
+        publish(documents.where(part), create_topic(spark, f"{topics}/{name}"))
+        if name == "old":
+            inputs.set_back(spark, f"{topics}/{name}", days=40)
+        append_stream(
+            read_subscription(spark, topics), table, f"{folder}/checkpoint", ALL_AVAILABLE
+        ).awaitTermination()
+    return scan_table(spark, table).select("message_id", F.md5("payload").alias("payload_md5"))
+
+
+def messages_from_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the columns of a keyed log, taken as messages."""
+    log = inputs.document_messages(spark, sf_dir).select(
+        F.col("message_id").cast("binary").alias("key"),
+        F.col("payload").alias("value"),
+        F.transform(
+            F.map_entries("attributes"),
+            lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")),
+        ).alias("headers"),
+        F.col("publish_time").alias("timestamp"),
+    )
+    return as_messages(log).select(
+        "message_id",
+        F.md5("payload").alias("payload_md5"),
+        F.col("attributes")["lang"].alias("lang"),
+        instant_text(F.col("publish_time")).alias("publish_time"),
+    )
+
+
+def _union_of(frames) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
 def avro_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _payload_hex(inputs.users(spark, sf_dir).transform(encode_avro))
 
@@ -259,6 +345,60 @@ def ingest_avro_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, table).transform(_with_time_text)
 
 
+def ingest_avro_from_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the users are published before the first start, the others before the second,
+    with publish times long before either."""
+    folder = scratch_dir(spark)
+    topic = create_topic(spark, f"{folder}/topic")
+    table = new_table(spark, folder, "user_messages", USER_MESSAGE_ROW)
+    early = F.lit(inputs.FIXED_TIME.replace(year=2020))
+    users = inputs.users(spark, sf_dir).withColumn("publish_time", early)
+    even = F.col("id").cast("bigint") % 2 == 0
+    for part in (even, ~even):
+        publish_avro(users.where(part), topic)
+        ingest_avro(
+            spark,
+            topic,
+            table,
+            f"{folder}/checkpoint",
+            processing_time=fixed_time(),
+            trigger=ALL_AVAILABLE,
+        ).awaitTermination()
+    return scan_table(spark, table).transform(_with_time_text)
+
+
+def ingest_avro_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every tenth payload lacks its last byte."""
+    folder = scratch_dir(spark)
+    topic = create_topic(spark, f"{folder}/topic")
+    whole = F.col("id").cast("bigint") % 10 != 0
+    cut = F.expr("substring(payload, 1, octet_length(payload) - 1)")
+    encoded = inputs.users(spark, sf_dir).transform(encode_avro)
+    publish(encoded.withColumn("payload", F.when(whole, F.col("payload")).otherwise(cut)), topic)
+    table = new_table(spark, folder, "user_messages", USER_MESSAGE_ROW)
+    malformed = new_table(spark, folder, "malformed", MALFORMED_ROW)
+    ingest_avro(
+        spark,
+        topic,
+        table,
+        f"{folder}/checkpoint",
+        start=inputs.FIXED_TIME.replace(year=2000),
+        trigger=ALL_AVAILABLE,
+        malformed_table=malformed,
+    ).awaitTermination()
+    good = scan_table(spark, table).select(
+        F.col("id").alias("value"), "first_name", "last_name", F.lit("user_messages").alias("sink")
+    )
+    nothing = F.lit(None).cast("string")
+    bad = scan_table(spark, malformed).select(
+        F.hex("payload").alias("value"),
+        nothing.alias("first_name"),
+        nothing.alias("last_name"),
+        F.col("reason").alias("sink"),
+    )
+    return good.unionByName(bad)
+
+
 def ingest_proto_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark)
     topic = create_topic(spark, f"{folder}/topic")
@@ -283,12 +423,21 @@ def insert_and_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def insert_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports of an insert that fits and of one whose rows have a column too many."""
-    table = new_table(spark, scratch_dir(spark), "names", NAME_ROW)
+    """Reports of inserts that fit, and of such whose rows do not."""
+    folder = scratch_dir(spark)
+    names = new_table(spark, folder, "names", NAME_ROW)
+    small = T.StructType.fromDDL("name varchar(3), number int")
+    small = new_table(spark, folder, "small", small)
     rows = inputs.greeted_names(spark, sf_dir).transform(name_rows, fixed_time())
+    long = F.concat(F.col("name"), F.lit("...")).alias("name")
+    wide = F.lit(2**40).alias("number")
     reports = {
-        "fits": insert_rows(rows, table),
-        "extra column": insert_rows(rows.withColumn("extra", F.lit(1)), table),
+        "fits": insert_rows(rows, names),
+        "missing column": insert_rows(rows.drop("timestamp"), names),
+        "extra column": insert_rows(rows.withColumn("extra", F.lit(1)), names),
+        "other type": insert_rows(rows.withColumn("timestamp", F.lit("now")), names),
+        "too long": insert_rows(rows.select(long, F.lit(1).alias("number")), small),
+        "out of range": insert_rows(rows.select(F.lit("x").alias("name"), wide), small),
     }
     return spark.createDataFrame(
         [(name, report.rows, report.has_errors) for name, report in reports.items()],
@@ -333,6 +482,10 @@ QUERIES: dict[str, Query] = {
     "name_rows": name_rows_query,
     "stream_route_two_sinks": stream_route_two_sinks,
     "stream_route_to_folder": stream_route_to_folder,
+    "stream_route_text_time": stream_route_text_time,
+    "route_documents_quarantine": route_documents_quarantine,
+    "read_subscription_late_files": read_subscription_late_files,
+    "messages_from_columns": messages_from_columns,
     "avro_encode": avro_encode,
     "avro_encode_documents": avro_encode_documents,
     "proto_encode": proto_encode,
@@ -342,6 +495,8 @@ QUERIES: dict[str, Query] = {
     "proto_decode": proto_decode,
     "proto_decode_documents": proto_decode_documents,
     "ingest_avro": ingest_avro_query,
+    "ingest_avro_from_now": ingest_avro_from_now,
+    "ingest_avro_quarantine": ingest_avro_quarantine,
     "ingest_proto": ingest_proto_query,
     "insert_and_select": insert_and_select,
     "insert_reports": insert_reports,

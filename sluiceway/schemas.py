@@ -35,6 +35,14 @@ USER_MESSAGE_ROW = T.StructType(
     ]
 )
 
+MALFORMED_ROW = T.StructType(
+    [
+        T.StructField("payload", T.BinaryType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+    ]
+)
+
 # Field names of the two wire schemas, in wire order. The Protobuf fields
 # are numbered from 1 in this order and all are required.
 AVRO_FIELDS = ("id", "first_name", "last_name")

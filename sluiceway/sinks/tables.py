@@ -2,22 +2,26 @@
 
 from dataclasses import dataclass
 
-from pyspark.errors import (
-    AnalysisException,
-    ArithmeticException,
-    DateTimeException,
-    NumberFormatException,
-)
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from sluiceway.functions.stamps import instant_text
 
 
 def append_rows(rows: DataFrame, table: str) -> None:
     """Append ``rows`` to an existing table, by column name.
 
-    A missing table or a column the table lacks raises; a column the rows lack is NULL.
+    A missing table or a column the table lacks raises; a column the rows lack is NULL. A
+    timestamp for a STRING column becomes ISO-8601 text in UTC.
     """
-    rows.sparkSession.sql(
+    spark = rows.sparkSession
+    target = spark.sql("SELECT * FROM IDENTIFIER(:table) LIMIT 0", args={"table": table}).schema
+    text = {f.name.lower() for f in target if isinstance(f.dataType, T.StringType)}
+    times = [f.name for f in rows.schema if isinstance(f.dataType, T.TimestampType)]
+    rows = rows.withColumns({c: instant_text(F.col(c)) for c in times if c.lower() in text})
+    spark.sql(
         "INSERT INTO IDENTIFIER(:table) BY NAME SELECT * FROM {rows}",
         args={"table": table},
         rows=rows,
@@ -34,22 +38,27 @@ class InsertReport:
 
 
 # Error conditions by which Spark refuses rows that do not fit the table.
-_REJECTED_ROWS = ("INSERT_COLUMN_ARITY_MISMATCH", "INCOMPATIBLE_DATA_FOR_TABLE")
+_REJECTED_ROWS = (
+    "INSERT_COLUMN_ARITY_MISMATCH",
+    "INCOMPATIBLE_DATA_FOR_TABLE",
+    "CAST_OVERFLOW_IN_TABLE_INSERT",
+    "EXCEED_LIMIT_LENGTH",
+    "NOT_NULL_ASSERT_VIOLATION",
+    "CHECK_CONSTRAINT_VIOLATION",
+)
 
 
 def insert_rows(rows: DataFrame, table: str) -> InsertReport:
     """Append ``rows`` as one batch and report rows that do not fit, without raising.
 
-    Either all rows go in or none. A missing table, or a failure of the cluster, is not a
-    matter of the rows and does raise.
+    Either all rows go in or none. A missing table, an error in the expressions that make the
+    rows, or a failure of the cluster is not a matter of the table and does raise.
     """
     counted = Observation()
     try:
         append_rows(rows.observe(counted, F.count(F.lit(1)).alias("rows")), table)
-    except AnalysisException as error:
+    except PySparkException as error:
         if not (error.getCondition() or "").startswith(_REJECTED_ROWS):
             raise
         return InsertReport(0, True, str(error))
-    except (ArithmeticException, DateTimeException, NumberFormatException) as error:
-        return InsertReport(0, True, str(error))
     return InsertReport(counted.get["rows"], False)

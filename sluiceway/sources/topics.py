@@ -2,7 +2,7 @@
 
 A topic is a folder of files, nested or not, with rows of :data:`sluiceway.schemas.MESSAGE`.
 A *subscription* is such a stream with a checkpoint, which is its durable cursor; a read of
-the *topic* sees only messages published since the job first started.
+the *topic* sees only messages that become visible after the job first started.
 """
 
 from datetime import datetime, timezone
@@ -17,6 +17,8 @@ from sluiceway.schemas import MESSAGE
 # Each publication is a folder of its own within the topic.
 _NESTED = {"recursiveFileLookup": True}
 
+_ANY_AGE = {"maxFileAge": "36500d"}
+
 _START = T.StructType([T.StructField("start", T.TimestampType())])
 
 
@@ -38,35 +40,37 @@ def topic_table(spark: SparkSession, topic: str) -> DataFrame:
     return spark.read.schema(MESSAGE).options(**_NESTED).parquet(topic)
 
 
-def read_subscription(
-    spark: SparkSession, topic: str, *, format: str = "parquet", **options
-) -> DataFrame:
+def read_subscription(spark: SparkSession, topic: str, **options) -> DataFrame:
     """Stream of all messages of a topic; the checkpoint of the query is the cursor.
 
-    ``options`` go to the source. For a large backlog set ``maxFilesPerTrigger`` or
-    ``maxBytesPerTrigger``, so that one micro-batch stays a bounded job.
+    ``options`` go to the file source. For a large backlog set ``maxFilesPerTrigger`` or
+    ``maxBytesPerTrigger``, so that one micro-batch stays a bounded job. Files count
+    whatever their age (the source would drop those much older than the newest one), so the
+    driver remembers all files of the topic; ``maxFileAge`` bounds that where publications
+    are known to arrive in time.
     """
-    reader = spark.readStream.schema(MESSAGE).format(format).options(**_NESTED | options)
-    return reader.load(topic)
+    options = _NESTED | _ANY_AGE | options
+    return spark.readStream.schema(MESSAGE).options(**options).parquet(topic)
 
 
-def read_topic(
-    spark: SparkSession, topic: str, start: datetime, *, format: str = "parquet", **options
-) -> DataFrame:
-    """Stream of the messages published at or after ``start``.
+def read_topic(spark: SparkSession, topic: str, start: datetime | None, **options) -> DataFrame:
+    """Stream of the messages published at or after ``start``, by their publish time.
 
     The bound is pushed to the Parquet scan, so row groups of older messages are skipped.
+    Without a start it is the whole subscription.
     """
-    messages = read_subscription(spark, topic, format=format, **options)
-    return messages.where(F.col("publish_time") >= F.lit(start))
+    messages = read_subscription(spark, topic, **options)
+    return messages if start is None else messages.where(F.col("publish_time") >= F.lit(start))
 
 
-def start_position(spark: SparkSession, checkpoint: str, start: datetime | None = None) -> datetime:
-    """When the job with this checkpoint first started (``start``, or now).
+def unlimited(options: dict) -> dict:
+    """Source options without those that cut a backlog into several micro-batches."""
+    limits = {"maxfilespertrigger", "maxbytespertrigger"}
+    return {name: value for name, value in options.items() if name.lower() not in limits}
 
-    The time is kept beside the checkpoint, so a restarted job still takes the messages
-    published while it was down.
-    """
+
+def kept_start(spark: SparkSession, checkpoint: str) -> tuple[bool, datetime | None]:
+    """Whether the job of this checkpoint has started before, and the start it was given."""
     path = checkpoint.rstrip("/") + "/start_position"
     try:
         kept = spark.read.schema(_START).parquet(path).head()
@@ -74,9 +78,14 @@ def start_position(spark: SparkSession, checkpoint: str, start: datetime | None
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         kept = None
-    if kept is None:  # never started, or stopped before the time was written
-        start = (start or datetime.now(timezone.utc)).astimezone(timezone.utc)
-        spark.createDataFrame([(start,)], _START).coalesce(1).write.mode("overwrite").parquet(path)
-        kept = spark.read.schema(_START).parquet(path).head()
+    if kept is None:  # never started, or stopped before the start was written
+        return False, None
     # Rows carry local time without a zone; attach it so the instant is unambiguous.
-    return kept.start.astimezone(timezone.utc)
+    return True, None if kept.start is None else kept.start.astimezone(timezone.utc)
+
+
+def keep_start(spark: SparkSession, checkpoint: str, start: datetime | None) -> None:
+    """Note beside the checkpoint that the job has started, and from when if it was told."""
+    path = checkpoint.rstrip("/") + "/start_position"
+    start = start and start.astimezone(timezone.utc)
+    spark.createDataFrame([(start,)], _START).coalesce(1).write.mode("overwrite").parquet(path)

@@ -9,9 +9,13 @@ from sluiceway.sources.topics import read_subscription, read_topic
 
 
 def read_avro(
-    spark: SparkSession, topic: str, start: datetime, decoder: str = "auto", **read_options
+    spark: SparkSession,
+    topic: str,
+    start: datetime | None = None,
+    decoder: str = "auto",
+    **read_options,
 ) -> DataFrame:
-    """The Avro user messages published to a topic at or after ``start``."""
+    """The Avro user messages of a topic, those published at or after ``start`` if given."""
     messages = read_topic(spark, topic, start, **read_options)
     return messages.transform(decode_avro, decoder).select("user_message")
 

@@ -1,7 +1,8 @@
 """Write a stream micro-batch by micro-batch: to existing tables, or to a folder.
 
 Tables get every row at least once: a micro-batch that failed half way is appended again.
-In a folder a repeated micro-batch replaces its first attempt.
+In a folder a repeated micro-batch replaces its first attempt. Malformed messages may go to a
+table of their own, in the same micro-batch.
 
 ``to_rows`` turns a micro-batch into table rows just before it is appended. Stamping the
 processing time there, and not in the stream itself, keeps the time, which is a new literal
@@ -10,9 +11,11 @@ decoding; that code is then compiled once for the whole stream.
 """
 
 from collections.abc import Callable, Mapping
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.names import take_route
@@ -27,13 +30,61 @@ def append_stream(
     checkpoint: str,
     trigger: Mapping | None = None,
     to_rows: ToRows = lambda batch: batch,
+    malformed_table: str | None = None,
 ) -> StreamingQuery:
-    """Append every micro-batch to one table. Returns the running query."""
+    """Append every micro-batch to one table. Returns the running query.
 
+    With a ``malformed_table``, rows whose column ``malformed`` is not NULL go there.
+    """
+    return start_writing(stream, append_batch(table, to_rows, malformed_table), checkpoint, trigger)
+
+
+def append_batch(
+    table: str, to_rows: ToRows, malformed_table: str | None
+) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_rows(to_rows(batch), table)
+        if malformed_table is None:
+            append_rows(to_rows(batch), table)
+            return
+        with _kept(batch):
+            append_rows(to_rows(batch.where("malformed IS NULL")), table)
+            append_rows(malformed_rows(batch), malformed_table)
+
+    return write
+
+
+def pass_over_published(
+    stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str
+) -> None:
+    """Advance a new checkpoint past all that the source has, without reading a row of it.
+
+    The first micro-batch lists what there is and is not written. Anything later, which a
+    repeated attempt may find, is. The stream must have no limit of its micro-batches.
+    """
+
+    def later(batch: DataFrame, batch_id: int) -> None:
+        if batch_id:
+            write(batch, batch_id)
+
+    start_writing(stream, later, checkpoint, {"availableNow": True}).awaitTermination()
+
+
+def malformed_rows(batch: DataFrame) -> DataFrame:
+    """Rows ``payload, reason, timestamp`` of the malformed messages of a micro-batch."""
+    return batch.where("malformed IS NOT NULL").select(
+        "payload", F.col("malformed").alias("reason"), F.current_timestamp().alias("timestamp")
+    )
+
 
-    return _start(stream, write, checkpoint, trigger)
+@contextmanager
+def _kept(batch: DataFrame):
+    """A micro-batch that is computed once and spills to disk; blocks of a lost executor are
+    computed again."""
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield
+    finally:
+        batch.unpersist()
 
 
 def append_routes(
@@ -42,22 +93,22 @@ def append_routes(
     checkpoint: str,
     trigger: Mapping | None = None,
     to_rows: ToRows = lambda batch: batch,
+    malformed_table: str | None = None,
 ) -> StreamingQuery:
     """Append the rows of each ``route`` to its own table, reading the source once.
 
-    The micro-batch is kept, spilling to disk, until every table has its rows. It holds
-    only the routed columns; blocks of a lost executor are computed again.
+    The micro-batch is kept, spilling to disk, until every table has its rows. It holds only
+    the routed columns, and whole payloads of malformed messages alone.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with _kept(batch):
             for route, table in tables.items():
                 append_rows(to_rows(take_route(batch, route)), table)
-        finally:
-            batch.unpersist()
+            if malformed_table is not None:
+                append_rows(malformed_rows(batch), malformed_table)
 
-    return _start(routed, write, checkpoint, trigger)
+    return start_writing(routed, write, checkpoint, trigger)
 
 
 def write_routes(
@@ -67,22 +118,25 @@ def write_routes(
     trigger: Mapping | None = None,
     to_rows: ToRows = lambda batch: batch,
 ) -> StreamingQuery:
-    """Write every micro-batch to files of its own, partitioned by ``route``.
+    """Write every micro-batch to files of its own, in a folder for each ``route``.
 
-    Rows are in ``query_id=…/batch_id=…/route=…``. A repeated micro-batch overwrites its own
+    Rows are in ``route=…/query_id=…/batch_id=…``. A repeated micro-batch overwrites its own
     files only; another checkpoint, whose batches count from 0 again, has another query id.
     All routes are written in one pass, so nothing is persisted.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        path = f"{folder.rstrip('/')}/query_id={query_id}/batch_id={batch_id}"
-        to_rows(batch).write.mode("overwrite").partitionBy("route").parquet(path)
+        rows = to_rows(batch).withColumns(
+            {"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("bigint")}
+        )
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("route", "query_id", "batch_id").parquet(folder)
 
-    return _start(routed, write, checkpoint, trigger)
+    return start_writing(routed, write, checkpoint, trigger)
 
 
-def _start(
+def start_writing(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
     checkpoint: str,

@@ -8,25 +8,27 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluiceway.functions.stamps import instant_text
 from sluiceway.operators.names import name_rows, take_route
 from sluiceway.operators.user_messages import encode_greetings
 from sluiceway.plans.greetings import (
     publish_greetings,
+    route_greeting_messages,
     route_greetings,
     route_greetings_to_folder,
     routed_names,
 )
 from sluiceway.plans.user_messages import (
     ingest_avro,
+    ingest_avro_messages,
     ingest_protobuf,
     publish_avro,
     publish_protobuf,
 )
 from sluiceway.queries.inputs import new_table
-from sluiceway.schemas import NAME_ROW, USER_MESSAGE_ROW
+from sluiceway.schemas import MALFORMED_ROW, NAME_ROW, USER_MESSAGE_ROW
 from sluiceway.sinks.topics import publish
-from sluiceway.sources.tables import scan_table
+from sluiceway.sources.streams import as_messages
+from sluiceway.sources.tables import read_routes, scan_table
 from sluiceway.sources.topics import create_topic, topic_table
 
 NAMES = ["A", "B", "AA", "BB", "AAAAA", "BBBBB"]
@@ -94,7 +96,7 @@ def test_time_as_text_for_a_string_column(spark, folder, topic):
         topic,
         *tables,
         f"{folder}/checkpoint",
-        processing_time=instant_text(F.lit(TIME)),
+        processing_time=F.lit(TIME),
         trigger=NOW,
     ).awaitTermination()
     assert column(spark, tables[0], "timestamp") == ["2026-01-02T03:04:05Z"] * 2
@@ -156,7 +158,7 @@ def test_repeated_batch_replaces_its_files(spark, folder, topic):
             spark, topic, f"{folder}/names", f"{folder}/{checkpoint}", trigger=NOW
         )
         query.awaitTermination()
-        rows = spark.read.parquet(f"{folder}/names").select("route", "name").collect()
+        rows = read_routes(spark, f"{folder}/names", NAME_ROW).select("route", "name").collect()
         return sorted(tuple(row) for row in rows)
 
     once = [("A", "A"), ("A", "AA"), ("B", "B"), ("B", "BB")]
@@ -216,3 +218,120 @@ def test_undecodable_message_stops_the_job(spark, folder, topic, user_table, pub
     with pytest.raises(StreamingQueryException, match="truncated"):
         ingest(spark, topic, user_table, f"{folder}/checkpoint", trigger=NOW, **start).awaitTermination()
     assert column(spark, user_table, "id") == []
+
+
+def test_folder_without_a_routed_row_is_empty(spark, folder, topic):
+    publish_greetings(names_frame(spark, ["C", "D"]), topic)
+    query = route_greetings_to_folder(spark, topic, f"{folder}/names", f"{folder}/c", trigger=NOW)
+    query.awaitTermination()
+    assert read_routes(spark, f"{folder}/names", NAME_ROW).collect() == []
+    publish_greetings(names_frame(spark, ["A"]), topic)
+    route_greetings_to_folder(spark, topic, f"{folder}/names", f"{folder}/c", trigger=NOW).awaitTermination()
+    assert sorted(os.listdir(f"{folder}/names"))[-1] == "route=A"
+    assert column_of(read_routes(spark, f"{folder}/names", NAME_ROW)) == ["A"]
+
+
+def column_of(frame, name="name"):
+    return sorted(row[name] for row in frame.collect())
+
+
+def early(users):
+    """A publication that began long before it became visible."""
+    return users.withColumn("publish_time", F.lit(datetime(2020, 1, 1, tzinfo=timezone.utc)))
+
+
+def test_publication_under_way_at_the_first_start_is_delivered(spark, folder, topic, user_table):
+    publish_avro(users_frame(spark, "before"), topic)
+    checkpoint = f"{folder}/checkpoint"
+    ingest_avro(spark, topic, user_table, checkpoint, trigger=NOW, maxFilesPerTrigger=1).awaitTermination()
+    publish_avro(early(users_frame(spark, "under way")), topic)
+    for _ in range(2):
+        ingest_avro(spark, topic, user_table, checkpoint, trigger=NOW).awaitTermination()
+        assert column(spark, user_table, "id") == ["under way"]
+
+
+def test_old_messages_are_passed_over_unread(spark, folder, topic, user_table):
+    publish(spark.createDataFrame([(bytearray(b"no message"),)], "payload binary"), topic)
+    ingest_avro(spark, topic, user_table, f"{folder}/checkpoint", trigger=NOW).awaitTermination()
+    assert column(spark, user_table, "id") == []
+
+
+def test_crash_before_the_start_is_noted(spark, folder, topic, user_table):
+    checkpoint = f"{folder}/checkpoint"
+    publish_avro(users_frame(spark, "before"), topic)
+    ingest_avro(spark, topic, user_table, checkpoint, trigger=NOW).awaitTermination()
+    # As if the job had died after passing over what there was.
+    os.rename(f"{checkpoint}/start_position", f"{folder}/elsewhere")
+    publish_avro(early(users_frame(spark, "after")), topic)
+    ingest_avro(spark, topic, user_table, checkpoint, trigger=NOW).awaitTermination()
+    assert column(spark, user_table, "id") == ["after"]
+    # And as if before that was committed.
+    os.rename(f"{checkpoint}/start_position", f"{folder}/elsewhere2")
+    forget_commit(checkpoint)
+    ingest_avro(spark, topic, user_table, checkpoint, trigger=NOW).awaitTermination()
+    assert set(column(spark, user_table, "id")) == {"after"}
+
+
+def test_malformed_greetings_in_a_table_of_their_own(spark, folder, topic, tables):
+    malformed = new_table(spark, folder, "malformed", MALFORMED_ROW)
+    good = names_frame(spark, [*NAMES, "C"]).transform(encode_greetings).select("payload")
+    bad = spark.createDataFrame([(bytearray(b"Hello"),), (None,)], "payload binary")
+    publish(good.union(bad), topic)
+    route_greetings(
+        spark, topic, *tables, f"{folder}/checkpoint", trigger=NOW, malformed_table=malformed
+    ).awaitTermination()
+    assert [column(spark, table) for table in tables] == [["A", "AA"], ["B", "BB"]]
+    rows = scan_table(spark, malformed).collect()
+    assert sorted(bytes(r["payload"] or b"") for r in rows) == [b"", b"Hello"]
+    assert all("second word" in r["reason"] and r["timestamp"] for r in rows)
+
+
+@pytest.mark.parametrize(
+    "publish_users, ingest", [(publish_avro, ingest_avro), (publish_protobuf, ingest_protobuf)]
+)
+def test_undecodable_messages_in_a_table_of_their_own(
+    spark, folder, topic, user_table, publish_users, ingest
+):
+    malformed = new_table(spark, folder, "malformed", MALFORMED_ROW)
+    start = {"start": datetime(2020, 1, 1, tzinfo=timezone.utc)} if ingest is ingest_avro else {}
+    users = [f"u{i}" for i in range(300)]
+    publish_users(users_frame(spark, *users), topic)
+    bad = [(bytearray(b"\x0a\x02"),), (bytearray(b""),), (None,)]
+    publish(spark.createDataFrame(bad, "payload binary").coalesce(1), topic)
+    ingest(
+        spark, topic, user_table, f"{folder}/c", trigger=NOW, malformed_table=malformed, **start
+    ).awaitTermination()
+    assert column(spark, user_table, "id") == sorted(users)
+    rows = scan_table(spark, malformed).collect()
+    assert len(rows) == 3 and all(r["reason"] for r in rows)
+
+
+def test_missing_malformed_table_fails(spark, folder, topic, user_table):
+    publish_protobuf(users_frame(spark, "x"), topic)
+    with pytest.raises(StreamingQueryException, match="TABLE_OR_VIEW_NOT_FOUND"):
+        ingest_protobuf(
+            spark, topic, user_table, f"{folder}/c", trigger=NOW, malformed_table="no_such_table"
+        ).awaitTermination()
+
+
+def test_jobs_run_from_any_stream(spark, folder, tables, user_table):
+    rate = spark.readStream.format("rate-micro-batch").options(rowsPerBatch=10, numPartitions=2).load()
+    greetings = rate.select(F.concat(F.lit("Hello A"), F.col("value"), F.lit("!")).alias("value"), "timestamp")
+    route_greeting_messages(as_messages(greetings), *tables, f"{folder}/a", trigger=NOW).awaitTermination(60)
+    users = rate.select(F.expr("X'023102410242'").alias("body"), "timestamp")
+    ingest_avro_messages(
+        as_messages(users, payload="body"), user_table, f"{folder}/b", trigger=NOW
+    ).awaitTermination(60)
+    assert "A3" in column(spark, tables[0])
+    assert set(column(spark, user_table, "id")) == {"1"}
+
+
+def test_messages_from_a_keyed_log(spark):
+    rows = [(bytearray(b"k"), bytearray(b"v"), [("h", bytearray(b"1")), ("h", bytearray(b"2"))], TIME)]
+    schema = "key binary, value binary, headers array<struct<key:string,value:binary>>, timestamp timestamp"
+    frame = spark.createDataFrame(rows, schema)
+    message = as_messages(frame).head()
+    assert (message["message_id"], bytes(message["payload"])) == ("k", b"v")
+    assert message["attributes"] == {"h": "2"}
+    bare = as_messages(frame.select(F.col("value").alias("x")), payload="x").head()
+    assert bare["message_id"] is bare["attributes"] is bare["publish_time"] is None

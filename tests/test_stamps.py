@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 from sluiceway.functions.stamps import instant_text, processing_time, random_id
 
 
-@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York", "Europe/Berlin"])
 def test_instant_text_equals_that_of_the_jvm(spark, zone):
     micros = [0, 1, 1000, 999_999, 1_767_323_045_678_000, 1_767_323_045_120_000, -1, -1_000_000, 10**15]
+    # In and around the hours that two zones skip or repeat.
+    for hour in ("2024-03-31T02", "2024-10-27T01", "2024-03-10T02", "2024-11-03T06"):
+        at = int(datetime.fromisoformat(hour + ":30:00+00:00").timestamp()) * 10**6
+        micros += [at + k * 1_800_000_000 + 123_000 for k in range(-8, 9)]
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         rows = spark.createDataFrame([(m,) for m in micros], "m bigint").select(
