@@ -52,7 +52,7 @@ def worker_cache() -> dict:
     return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
-def text_groups(texts: pa.Array, max_bytes: int = 8 << 20) -> Iterator[tuple[int, pa.Array]]:
+def text_groups(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, pa.Array]]:
     """Slices of ``texts`` of about ``max_bytes`` (one long text may be more), with their start.
 
     Slices hold whole texts; NULL becomes the empty text.
