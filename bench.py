@@ -8,6 +8,8 @@ sink, so every row and column is produced and nothing is collected.
 import json
 import os
 import time
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,34 +21,19 @@ from sluiceway.operators.user_messages import (
     encode_greetings,
     encode_protobuf,
 )
-from sluiceway.plans.greetings import routed_names
-from sluiceway.queries.inputs import scratch_dir, table
-from sluiceway.queries.registry import QUERIES
+from sluiceway.plans.greetings import route_greetings, routed_names
+from sluiceway.plans.user_messages import ingest_avro
+from sluiceway.queries.inputs import new_table, scratch_dir, table
+from sluiceway.queries.registry import ALL_AVAILABLE, QUERIES
+from sluiceway.schemas import NAME_ROW, USER_MESSAGE_ROW
+from sluiceway.sinks.topics import publish
+from sluiceway.sources.tables import scan_table
+from sluiceway.sources.topics import create_topic
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
-HEADLINE = (
-    "publish_greetings",
-    "read_subscription",
-    "bytes_to_text",
-    "extract_names_documents",
-    "short_names_documents",
-    "name_rows",
-    "route_counts",
-    "stream_route_two_sinks",
-    "stream_route_to_folder",
-    "avro_encode_documents",
-    "proto_encode_documents",
-    "avro_decode_documents",
-    "proto_decode_documents",
-    "ingest_avro",
-    "ingest_proto",
-    "insert_and_select",
-)
-
-
 def volume_queries(spark: SparkSession) -> dict:
     """Message tables as long as ``lineitem``, written once, and the work of each job on them."""
     folder = scratch_dir(spark)
@@ -70,7 +57,42 @@ def volume_queries(spark: SparkSession) -> dict:
     greetings = stored(names.transform(encode_greetings).select("payload"), "greetings")
     avro = stored(users.transform(encode_avro).select("payload"), "avro")
     protobuf = stored(users.transform(encode_protobuf).select("payload"), "protobuf")
+    topic = f"{folder}/topic"
+    create_topic(spark, topic)
+    publish(greetings, topic)
+    create_topic(spark, f"{folder}/users")
+    publish(avro, f"{folder}/users")
+
+    def routed_by_job() -> DataFrame:
+        run = f"{folder}/{uuid.uuid4().hex}"
+        tables = [new_table(spark, run, name, NAME_ROW) for name in ("a_names", "b_names")]
+        job = route_greetings(spark, topic, *tables, f"{run}/checkpoint", trigger=ALL_AVAILABLE)
+        job.awaitTermination()
+        return scan_table(spark, tables[0])
+
+    def ingested_by_job() -> DataFrame:
+        run = f"{folder}/{uuid.uuid4().hex}"
+        table = new_table(spark, run, "user_messages", USER_MESSAGE_ROW)
+        ingest_avro(
+            spark,
+            f"{folder}/users",
+            table,
+            f"{run}/checkpoint",
+            start=datetime(2000, 1, 1, tzinfo=timezone.utc),
+            trigger=ALL_AVAILABLE,
+        ).awaitTermination()
+        return scan_table(spark, table)
+
+    # The last byte of every hundredth payload is no UTF-8.
+    bad = F.concat(F.expr("substring(payload, 1, octet_length(payload) - 1)"), F.lit(b"\xff"))
+    spoilt = F.when(F.xxhash64("payload") % 100 == 0, bad).otherwise(F.col("payload"))
+    avro_bad_text = stored(avro.withColumn("payload", spoilt), "avro_bad_text")
     return {
+        "lineitem_route_job": routed_by_job,
+        "lineitem_ingest_avro_job": ingested_by_job,
+        "lineitem_avro_decode_bad_text": lambda: avro_bad_text.transform(decode_avro).select(
+            "user_message"
+        ),
         "lineitem_route": lambda: routed_names(greetings),
         "lineitem_avro_encode": lambda: users.transform(encode_avro).select("payload"),
         "lineitem_proto_encode": lambda: users.transform(encode_protobuf).select("payload"),
@@ -100,7 +122,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    plans = {name: lambda name=name: QUERIES[name](spark, SF_DIR) for name in HEADLINE}
+    plans = {name: lambda name=name: QUERIES[name](spark, SF_DIR) for name in QUERIES}
     plans |= volume_queries(spark)
     times = {name: best_time(query) for name, query in plans.items()}
     spark.stop()

@@ -49,4 +49,4 @@ def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns == ["message_id", "route", "name", "timestamp"]
     counts = result.groupBy("route").count().toPandas().set_index("route")["count"].to_dict()
-    assert counts.keys() == {"A", "B"} and min(counts.values()) > 10
+    assert counts.keys() == {"A", "B"} and min(counts.values()) > 0
