@@ -2,13 +2,16 @@
 
 Base spans come from one rule for each kind, leftmost and non-overlapping. Generators of
 high recall propose more spans, which may overlap: numbers inside longer runs that the
-rules reject as a whole, numbers without a country code, obscured addresses. Boosted trees
-judge each candidate by its format (digits, groups, check digit, separators) and context
-(characters and words around it). They learn from which candidates are base spans, over all
-documents: the candidates are folded into a table of distinct feature rows, bounded by the
-feature space, and the trees go back into the query as SQL expressions. A part of the
-documents, by the hash of their text, is left out of learning and used to turn scores into
-probabilities and to choose each kind's threshold for a precision of ``PRECISION``.
+rules reject as a whole, numbers without a country code, obscured addresses. Evidence
+settles most of them, whether or not they are base spans: check digit, octets, number of
+digits, ending of the domain, and the nearest word before that speaks for contact data or
+for something else. Boosted trees judge the candidates without evidence, by the features of
+their format and surroundings that are no evidence for their kind. They learn from the
+candidates with evidence, over all documents: these are folded into a table of distinct
+feature rows, bounded by the feature space, and the trees go back into the query as SQL
+expressions. A part of the documents, by the hash of their text, is left out of learning and
+used to turn scores into probabilities and to choose each kind's threshold for a precision of
+``PRECISION`` among candidates that are no base spans, as only such are judged.
 
 All patterns are possessive where they repeat, so that long runs neither backtrack nor
 recurse. They find the same spans as the plain forms in the contract.
@@ -69,10 +72,14 @@ GENERATORS = (
 )
 
 # Words near a number that speak for contact data, or for something else.
-_CONTACT = "(?i)tel|phone|call|fax|mobile|mail|contact|card|visa|address"
-_OTHER = "(?i)token|passw|key|secret|version|order|invoice|serial|hash"
+_CONTACT = "(?:tele|cell|smart)?phone|tel|call|fax|mobile|e?mail|contact|card|visa|address"
+_OTHER = "token|passw|(?:api)?key|secret|version|(?:re)?order|invoice|serial|hash"
+#: Up to the last of these words; the group is there if it is one for contact data.
+_WORDS = rf"(?is)^.*(?<![a-z])(?:({_CONTACT})|(?:{_OTHER}))"
 
-FEATURES = ("kind", "digits", "groups", "luhn", "octets", "plus", "before", "after", "context", "length")
+FEATURES = ("kind", "digits", "groups", "luhn", "octets", "plus", "before", "after", "length")
+#: Features that are evidence for a kind, so its trees don't see them.
+EVIDENCE = {"digits": ("card", "phone"), "luhn": ("card",), "octets": ("ip",), "plus": ("phone",)}
 
 _SPAN = "array<struct<k:int,s:int,e:int,t:string,b:string,a:string>>"
 
@@ -154,6 +161,32 @@ def _char_class(char: Column) -> Column:
     )
 
 
+def _evidence(span: Column) -> Column:
+    """1 for a candidate that is personal data by evidence, 0 for one that is not, -1 for none."""
+    text, before = span["t"], span["b"]
+    digits = F.length(_digits(text))
+    told = F.rlike(before, F.lit(_WORDS))
+    contact = F.regexp_extract(before, _WORDS, 1) != ""
+    address = F.rlike(text, F.lit(r"^[^A-Za-z@(\[]*+[A-Za-z]")) & F.rlike(text, F.lit(r"\.[A-Za-z]{2,}+$"))
+    card = digits.between(12, 19) & _luhn(text)
+    ip = F.rlike(text, F.lit(_OCTETS))
+    inside = F.rlike(before, F.lit(r"[0-9]\.$"))  # a longer run of numbers and dots
+    # Whether the form can be right, and whether it is evidence without a word.
+    right = (
+        F.when(span["k"] == KINDS.index("email"), address)
+        .when(span["k"] == KINDS.index("ip"), ip)
+        .when(span["k"] == KINDS.index("card"), card)
+        .otherwise(digits.between(9, 15))
+    )
+    enough = (
+        F.when(span["k"] == KINDS.index("email"), F.contains(text, F.lit("@")))
+        .when(span["k"] == KINDS.index("ip"), ~inside)
+        .when(span["k"] == KINDS.index("card"), True)
+        .otherwise(F.startswith(text, F.lit("+")))
+    )
+    return F.when(~right, 0).when(contact, 1).when(told, 0).when(enough, 1).otherwise(-1)
+
+
 def _features(span: Column) -> list[Column]:
     text = span["t"]
     values = (
@@ -165,12 +198,13 @@ def _features(span: Column) -> list[Column]:
         F.startswith(text, F.lit("+")).cast("int"),
         _char_class(F.substring(span["b"], -1, 1)),
         _char_class(span["a"]),
-        F.when(F.rlike(span["b"], F.lit(_CONTACT)), 2)
-        .when(F.rlike(span["b"], F.lit(_OTHER)), 0)
-        .otherwise(1),
         F.least(F.length(text), F.lit(32)),
     )
-    return [value.cast("int").alias(name) for name, value in zip(FEATURES, values)]
+    seen = []
+    for name, value in zip(FEATURES, values):
+        hidden = span["k"].isin([KINDS.index(kind) for kind in EVIDENCE.get(name, ())])
+        seen.append((F.when(hidden, 0).otherwise(value) if name in EVIDENCE else value).cast("int").alias(name))
+    return seen
 
 
 def _with_spans(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -223,6 +257,7 @@ class SpanModel:
     def __init__(self, table: list, rounds: int, depth: int, rate: float, precision: float):
         x = np.array([[r[f] for f in FEATURES] for r in table], np.int64).reshape(-1, len(FEATURES))
         held = np.array([r["held"] for r in table], bool)
+        more = np.array([r["more"] for r in table], bool)
         count = np.array([r["n"] for r in table], float)
         positive = np.array([r["positive"] for r in table], float)
         own = ~held
@@ -232,7 +267,7 @@ class SpanModel:
         p = 1 / (1 + np.exp(-(self.scale * margin + self.shift)))
         self.thresholds = []
         for kind in range(len(KINDS)):
-            some = x[held][:, 0] == kind
+            some = (x[held][:, 0] == kind) & more[held]
             self.thresholds.append(
                 lowest_threshold(p[some], count[held][some], positive[held][some], precision)
             )
@@ -243,14 +278,16 @@ class SpanModel:
 
 
 def fit_spans(rows: DataFrame) -> SpanModel:
-    """Learn from all candidates which of them are base spans."""
-    def told(name: str, positive: int) -> Column:
-        return F.transform(name, lambda c: F.struct(c.alias("c"), F.lit(positive).alias("positive")))
-
-    rows = rows.select("held", F.inline(F.concat(told("base", 1), told("more", 0))))
-    rows = rows.select("held", "positive", *_features(F.col("c")))
-    table = rows.groupBy("held", *FEATURES).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("positive").alias("positive")
+    """Learn from the candidates with evidence which of them are personal data."""
+
+    def told(name: str) -> Column:
+        more = F.lit(name == "more")
+        return F.transform(name, lambda c: F.struct(c.alias("c"), more.alias("more")))
+
+    rows = rows.select("held", F.inline(F.concat(told("base"), told("more"))))
+    rows = rows.select("held", "more", _evidence(F.col("c")).alias("label"), *_features(F.col("c")))
+    table = rows.where("label >= 0").groupBy("held", "more", *FEATURES).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive")
     )
     return SpanModel(table.collect(), ROUNDS, DEPTH, RATE, PRECISION)
 
@@ -259,12 +296,13 @@ def find_personal_data(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, base, added`` of every row: arrays of spans with ``kind, start, end, text``,
-    and for the added ones their ``probability``."""
+    and for the added ones their ``probability``, which is 1 where evidence settles it."""
     rows = _with_spans(documents, id_col, text_col)
     model = fit_spans(rows)
 
     def judged(span: Column) -> Column:
-        return F.struct(*(span[f] for f in ("k", "s", "e", "t")), *_features(span))
+        told = _evidence(span).alias("label")
+        return F.struct(*(span[f] for f in ("k", "s", "e", "t")), told, *_features(span))
 
     rows = rows.select("doc_id", "base", F.transform("more", judged).alias("more"))
     probability = model.probability_sql([f"c.{name}" for name in FEATURES])
@@ -272,8 +310,10 @@ def find_personal_data(
         f"WHEN {k} THEN {t!r}D" for k, t in enumerate(model.thresholds)
     ) + " END"
     scored = (
-        "filter(transform(more, c -> named_struct('k', c.k, 's', c.s, 'e', c.e, 't', c.t, "
-        f"'p', {probability}, 'least', {threshold})), x -> x.p >= x.least)"
+        "filter(transform(filter(more, c -> c.label <> 0), c -> named_struct("
+        "'k', c.k, 's', c.s, 'e', c.e, 't', c.t, "
+        f"'p', IF(c.label = 1, 1D, {probability}), 'least', IF(c.label = 1, 1D, {threshold}))), "
+        "x -> x.p >= x.least)"
     )
     rows = rows.select("doc_id", "base", F.expr(scored).alias("more"))
     # Of nested redactions the widest is enough; of equal ones of two kinds, the likelier.

@@ -71,6 +71,36 @@ def test_trees_add_numbers_inside_longer_runs(texts):
     assert all(found[i]["spans"] == "" for i in failing) and len(failing) > 50
 
 
+@pytest.mark.parametrize("percent", [1, 50])
+def test_contact_words_settle_what_the_rules_leave(texts, percent):
+    national = ["call 212-555-{n}", "phone: (212) 555-{n}", "Email bob{n} (at) site.org", "contact ann{n}[at]mail.co.uk"]
+    rows, kinds = [], {}
+    for i in range(400):
+        if i % 100 < percent:
+            rows.append((i, national[len(kinds) % 4].format(n=1000 + i) + " today"))
+            kinds[i] = "phone" if "555" in rows[-1][1] else "email"
+        else:
+            rows.append((i, f"reach +1 (607) 555-{1000 + i} or q{i}@site.org"))
+    rows += [(1000 + i, f"order 212-555-{1000 + i} was sent") for i in range(percent)]
+    rows += [(2000, "the border 1 hotel order 212 555 1234"), (2001, "call about order 212 555 1234")]
+    found = {r["doc_id"]: r for r in personal_data_report(texts(rows)).collect()}
+    check(rows, list(found.values()))
+    assert set(kinds.values()) == {"phone", "email"}
+    for i, kind in kinds.items():
+        assert found[i]["n_added"] == 1 and found[i]["spans"].startswith(f"{kind}:")
+    assert all(r["n_added"] == 0 for i, r in found.items() if i >= 1000)
+
+
+def test_a_form_without_evidence_is_judged_by_those_with(texts):
+    def report(orders):
+        rows = [(i, f"call 212-555-{1000 + i} now") for i in range(200)]
+        rows += [(1000 + i, f"order 212-555-{1000 + i} now") for i in range(orders)]
+        rows += [(5000, "so it was 212-555-9999 then")]
+        return {r["doc_id"]: r["n_added"] for r in personal_data_report(texts(rows)).collect()}
+
+    assert report(0)[5000] == 1 and report(200)[5000] == 0
+
+
 def test_main_path_is_native(spark, given):
     plan = QUERIES["op9_personal_data"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Pandas", "Exchange"))
