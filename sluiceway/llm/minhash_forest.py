@@ -41,6 +41,8 @@ SPARSE = 16
 WINDOW = 4
 #: Shingles of the texts that are compared as one block.
 BLOCK_SHINGLES = 1 << 17
+#: Shingles that a text counts for at least, which bounds the texts of a block too.
+TEXT_SHINGLES = 64
 #: Trees whose direct neighbours are confirmed first.
 FIRST_TREES = 4
 
@@ -305,10 +307,10 @@ def _across_components(
     """Links ``a, b`` between components that meet in regions crowded at full depth.
 
     Components that meet, directly or over others, are a group. Its texts are dealt into
-    blocks of ``BLOCK_SHINGLES``, large components apart from the others, and all sets of two
-    blocks are intersected at once, as a product of matrices. Two blocks of one component
-    are left out, and no pair of texts is ever a row, so a large group of near copies costs
-    blocks, not pairs.
+    blocks of ``BLOCK_SHINGLES``, short texts counting for ``TEXT_SHINGLES`` each, large
+    components apart from the others, and all sets of two blocks are intersected at once, as a
+    product of matrices. Two blocks of one component are left out, and no
+    pair of texts is ever a row, so a large group of near copies costs blocks, not pairs.
     """
     own = members.select(F.col("a").alias("id"), "region", "n").distinct()
     own = own.join(labels, "id", "left")
@@ -321,7 +323,7 @@ def _across_components(
     groups = groups.select(F.col("id").alias("c"), F.col("component").alias("g"))
     docs = own.select("id", "n", "c").distinct().join(groups, "c")
 
-    sizes = docs.groupBy("g", "c").agg(F.sum("n").alias("total"))
+    sizes = docs.groupBy("g", "c").agg(F.sum(F.greatest("n", F.lit(TEXT_SHINGLES))).alias("total"))
     large = F.col("total") >= BLOCK_SHINGLES // 2
     sizes = sizes.withColumn("part", F.when(large, F.col("c")).otherwise(F.lit(-1).cast("bigint")))
     parts = sizes.groupBy("g", "part").agg(F.sum("total").alias("part_total"))

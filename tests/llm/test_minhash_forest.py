@@ -42,6 +42,26 @@ def test_blocks_across_components(texts, monkeypatch):
     assert collected(forest.minhash_components(texts(rows), shingle=2)) == near_duplicates(rows, 2)
 
 
+def test_blocks_of_short_texts_are_bounded(texts, monkeypatch):
+    # Far less shingles than a block holds, but a square of all texts would be large.
+    packer = forest._packer
+
+    def bounded(shingle):
+        pack = packer(shingle)
+
+        def checked(rows):
+            assert len(rows) <= 3000
+            return pack(rows)
+
+        return checked
+
+    monkeypatch.setattr(forest, "_packer", bounded)
+    rows = [(i, f"one two three four v{i} six seven eight nine ten") for i in range(5000)]
+    rows += [(10_000 + i, rows[i][1] + " more") for i in range(0, 5000, 100)]
+    found = {r["doc_id"]: r["component_id"] for r in forest.minhash_components(texts(rows), shingle=2).collect()}
+    assert found == {i: i % 10_000 for i, _ in rows}
+
+
 @pytest.mark.parametrize("size", [2, 5])
 def test_edge_rows(texts, clash, size):
     long = " ".join(f"l{i}" for i in range(60_000))
