@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from sluiceway.llm.chat import CHAT_REPORT_SQL, chat_report
 from sluiceway.llm.decontaminate import contamination_report
+from sluiceway.llm.divergence import DIVERGENCE_SQL, divergence_report
 from sluiceway.llm.embedding_join import embedding_components
+from sluiceway.llm.hidden_markov import likelihood_report
 from sluiceway.llm.language_id import language_report
 from sluiceway.llm.line_dedup import LINE_REPORT_SQL, line_report
 from sluiceway.llm.minhash_forest import minhash_components
 from sluiceway.llm.mixing import MIX_SQL, mix_sources
+from sluiceway.llm.periodic_runs import planted_text, run_report
 from sluiceway.llm.pii import personal_data_report
 from sluiceway.llm.token_count import count_tokens
 from sluiceway.llm.toxicity import toxicity_report
@@ -80,6 +83,21 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_report(given.unionByName(planted), VOCABULARY)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence_report(table(spark, sf_dir, "documents"), min_documents=10, top=10)
+
+
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return likelihood_report(documents, learn=id_remainder("id", 5) != 1)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    text = planted_text(F.col("doc_id"), F.col("text"))
+    return run_report(documents.select("doc_id", text.alias("text")), min_length=12)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": op1_token_count,
     "op2_minhash_forest": op2_minhash_forest,
@@ -91,10 +109,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_personal_data": op9_personal_data,
     "op10_format_chats": op10_format_chats,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_hidden_markov": op12_hidden_markov,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": LINE_REPORT_SQL,
     "op4_mix_sources": MIX_SQL,
     "op10_format_chats": CHAT_REPORT_SQL,
+    "op11_source_divergence": DIVERGENCE_SQL,
 }

@@ -1,0 +1,146 @@
+"""The recursions against sums over all paths; counts against a direct form; held-out scores."""
+
+import itertools
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sluiceway.llm import hidden_markov
+from sluiceway.llm.hidden_markov import (
+    Chain,
+    encode,
+    expected_counts,
+    likelihood_report,
+    log_likelihoods,
+    sequences,
+    train,
+    vocabulary_of,
+)
+from sluiceway.llm.queries import op12_hidden_markov
+from tests.llm.conftest import SF_DIR
+
+STATES, CLASSES = 3, 6
+
+
+@pytest.fixture
+def chain():
+    rng = np.random.default_rng(1)
+    emit = rng.dirichlet(np.ones(CLASSES), STATES).T.copy()
+    return Chain(rng.dirichlet(np.ones(STATES)), rng.dirichlet(np.ones(STATES), STATES), emit)
+
+
+def over_all_paths(chain, part):
+    total, start = 0.0, np.zeros(STATES)
+    moves, emitted = np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
+    for path in itertools.product(range(STATES), repeat=len(part)):
+        p = chain.start[path[0]] * chain.emit[part[0], path[0]]
+        for t in range(1, len(part)):
+            p *= chain.move[path[t - 1], path[t]] * chain.emit[part[t], path[t]]
+        total += p
+        start[path[0]] += p
+        for t, state in enumerate(path):
+            emitted[part[t], state] += p
+            if t:
+                moves[path[t - 1], state] += p
+    return math.log(total), start / total, moves / total, emitted / total
+
+
+@pytest.mark.parametrize("segment", [2, 3, 100])
+@pytest.mark.parametrize("at_once", [4, 1000])
+def test_recursions_equal_sums_over_paths(monkeypatch, chain, segment, at_once):
+    monkeypatch.setattr(hidden_markov, "SEGMENT", segment)
+    monkeypatch.setattr(hidden_markov, "TOKENS_AT_ONCE", at_once)
+    rng = np.random.default_rng(2)
+    parts = [rng.integers(0, CLASSES, n).astype(np.uint16) for n in (1, 2, 7, 6, 3, 5, 4, 8)]
+    direct = [over_all_paths(chain, part) for part in parts]
+    assert np.allclose(log_likelihoods(chain, parts), [d[0] for d in direct])
+    for found, expected in zip(expected_counts(chain, parts), zip(*(d[1:] for d in direct))):
+        assert np.allclose(found, sum(expected))
+
+
+def test_cut_sequences_keep_their_likelihood(monkeypatch, chain):
+    part = np.random.default_rng(3).integers(0, CLASSES, 20_000).astype(np.uint16)
+    whole = None
+    for segment in (1 << 20, 2048, 100):
+        monkeypatch.setattr(hidden_markov, "SEGMENT", segment)
+        now = log_likelihoods(chain, [part, part[:5]])
+        assert whole is None or np.allclose(now, whole, rtol=1e-10)
+        whole = now
+
+
+def base_rows(rows):
+    """``n_tokens, n_known, train_tokens, base_score`` of rows of id and text."""
+    fold = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    texts = [(i, re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(fold)) + [None]) for i, t in rows]
+    held = {i: zlib.crc32(str("" if i is None else i).encode()) % 5 == 1 for i, _ in texts}
+    counts = Counter(w for i, words in texts if not held[i] for w in words)
+    total = sum(counts.values())
+    below = total + 0.5 * (len(counts) + 1)
+    return [
+        (i, held[i], len(w), sum(x in counts for x in w), total, sum(math.log10((counts[x] + 0.5) / below) for x in w))
+        for i, w in texts
+    ]
+
+
+def check(found, rows):
+    expected = sorted(base_rows(rows), key=repr)
+    found = sorted(found, key=lambda r: repr(tuple(r)[:6]))
+    assert len(found) == len(expected)
+    for row, wanted in zip(sorted(found, key=lambda r: repr(tuple(r)[:5])), sorted(expected, key=lambda r: repr(r[:5]))):
+        assert tuple(row)[:5] == wanted[:5]
+    assert np.allclose(sorted(r.base_score for r in found), sorted(r[5] for r in expected))
+
+
+def learn():
+    text = F.coalesce(F.col("id").cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % 5 != 1
+
+
+def test_edge_cases(spark, clash, texts):
+    rows = [(1, None), (2, ""), (3, "A a\tÄ a"), (None, "x y"), (3, "A a\tÄ a"), (4, "z" * 500), (5, "z" * 500 + " q")]
+    rows += [(i, "the cat the dog") for i in range(10, 30)]
+    check(likelihood_report(clash(texts(rows)), learn(), iterations=1).collect(), rows)
+    assert likelihood_report(texts([]), learn()).collect() == []
+    nothing = likelihood_report(texts(rows), F.lit(False), iterations=1).collect()
+    assert all(r.base_score == 0 and r.n_known == 0 and r.held_out and r.score < 0 for r in nothing)
+
+
+def test_distributions_are_proper(spark, given):
+    """States emit some class, and a class some known token or an unseen word."""
+    rows = given("documents").select(F.col("doc_id").alias("id"), F.lit(True).alias("learn"), "text")
+    encoded = encode(rows).cache()
+    counts = hidden_markov._exploded(encoded).groupBy("word").agg(F.sum("n").alias("c")).cache()
+    vocabulary, own = vocabulary_of(counts)
+    assert vocabulary.size.sum() == vocabulary.tokens and vocabulary.seen.sum() == vocabulary.kinds
+    inside = {}
+    for r in hidden_markov._classes(counts, own).collect():
+        if r["class"] >= hidden_markov.OWN_CLASSES:
+            inside[r["class"]] = inside.get(r["class"], 0) + r.c - vocabulary.discount
+    for kind, known in inside.items():
+        assert math.isclose(known + vocabulary.discount * vocabulary.seen[kind], vocabulary.size[kind])
+    chain = train(sequences(encoded, counts, own, vocabulary).cache(), vocabulary, 3, 2)
+    assert np.allclose(chain.emit.sum(0), 1) and np.allclose(chain.move.sum(1), 1)
+    assert math.isclose(chain.start.sum(), 1)
+
+
+def test_query_over_the_whole_table(spark, given):
+    rows = [(r.doc_id, r.text) for r in given("documents").collect()]
+    found = op12_hidden_markov(spark, SF_DIR).collect()
+    check(found, rows)
+    held = [r for r in found if r.held_out]
+    tokens = sum(r.n_tokens for r in held)
+    assert sum(r.score for r in held) / tokens > sum(r.base_score for r in held) / tokens + 0.3
+
+
+def test_training_raises_the_likelihood(spark, given):
+    documents = given("documents")
+    totals = [
+        likelihood_report(documents, learn(), states=states, iterations=iterations).where("NOT held_out").agg(F.sum("score")).head()[0]
+        for states, iterations in ((1, 1), (4, 1), (4, 3))
+    ]
+    assert totals[0] < totals[1] < totals[2]
