@@ -1,216 +1,82 @@
-"""Arrow batch decoders for records of required strings.
+"""Arrow batch codecs as UDFs, for programs compiled from a schema.
 
-Used where Spark's own Avro or Protobuf module is not loaded. A batch is decoded column by
-column: each step reads one varint of every message at once, so the Python cost is per
-batch and field, not per row. Field values are cut out of the batch's own data buffer and
-returned as bytes; the caller turns them into text in the JVM.
+Used where Spark's own Avro or Protobuf module is not loaded, and for schemas that only the
+caller knows. A batch is decoded column by column: each step reads one field of every message
+at once, so the Python cost is per batch and field, not per row. A message that is none has an
+error state of its own and costs no more than others.
 """
 
 import sys
-from collections.abc import Callable
 
-import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# The decoders travel to the executors whole, so this package need not be installed there.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-VARINT_MAX_BYTES = 10
-
-# Protobuf wire types.
-VARINT, FIXED64, LENGTH_DELIMITED, GROUP_START, GROUP_END, FIXED32 = range(6)
-
+from sluiceway.codecs.avro import Content, Datum, Record
+from sluiceway.codecs.protobuf import BYTES, Field, Message, Payload, Scalar
 
-#: The field that tells why a message could not be decoded.
-MALFORMED = "malformed"
-
-
-def avro_decoder(names: tuple[str, ...], on_malformed: str = "fail"):
-    """A UDF: a BINARY payload to the struct of the fields ``names``, as BINARY.
+# The functions travel to the executors whole, so this package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-    With ``on_malformed="quarantine"`` the struct has a field ``malformed`` too: why the
-    payload is no message, and then the other fields are NULL.
-    """
-    return _decoder(_avro_fields, names, on_malformed)
+#: With quarantine: the record, and the field that tells why a message could not be decoded.
+RECORD, MALFORMED = "record", "malformed"
 
 
-def protobuf_decoder(names: tuple[str, ...], on_malformed: str = "fail"):
-    """A UDF as :func:`avro_decoder`.
+def record_decoder(program: Datum | Payload, on_malformed: str = "fail"):
+    """A UDF: a BINARY payload to the struct of a program's record.
 
-    The names are those of Protobuf fields 1, 2 and so on. All are required; other fields,
-    and these numbers with another wire type, are skipped. The last of repeated values wins.
+    With ``on_malformed="quarantine"`` it is a struct of ``record`` and ``malformed``: why the
+    payload is no message, and then the record is NULL.
     """
-    return _decoder(_protobuf_fields, names, on_malformed)
-
-
-def _decoder(fields_of: Callable, names: tuple[str, ...], on_malformed: str):
     if on_malformed not in ("fail", "quarantine"):
         raise ValueError(f"on_malformed must be 'fail' or 'quarantine', not {on_malformed!r}")
     quarantine = on_malformed == "quarantine"
-    fields = [T.StructField(name, T.BinaryType()) for name in names]
-    fields += [T.StructField(MALFORMED, T.StringType())] * quarantine
+    kind = program.spark
+    if quarantine:
+        kind = T.StructType([T.StructField(RECORD, kind), T.StructField(MALFORMED, T.StringType())])
 
     # Declared non-deterministic so that Spark evaluates it once per row instead of
     # repeating it in every filter on a decoded field.
-    @F.arrow_udf(T.StructType(fields))
+    @F.arrow_udf(kind)
     def decode(payloads: pa.Array) -> pa.Array:
+        records, reasons = program.decode(payloads)
         if not quarantine:
-            return pa.StructArray.from_arrays(fields_of(*_extents(payloads), len(names)), names=names)
-        parts = _halved(payloads, fields_of, len(names))
-        return pa.concat_arrays(
-            [pa.StructArray.from_arrays(part, names=[*names, MALFORMED]) for part in parts]
-        )
+            if reasons is not None:
+                raise ValueError(next(reason for reason in reasons if reason is not None))
+            return records
+        told = pa.nulls(len(records), pa.string()) if reasons is None else pa.array(reasons, pa.string())
+        if reasons is not None:
+            records = pa.StructArray.from_arrays(
+                [records.field(i) for i in range(records.type.num_fields)],
+                fields=list(records.type),
+                mask=told.is_valid(),
+            )
+        return pa.StructArray.from_arrays([records, told], names=[RECORD, MALFORMED])
 
     return decode.asNondeterministic()
 
 
-def _halved(payloads: pa.Array, fields_of: Callable, count: int) -> list[list[pa.Array]]:
-    """Decoded parts of a batch. One with a bad message is halved until that stands alone, so
-    the good ones are decoded together, and few bad ones cost few more steps."""
-    try:
-        found = fields_of(*_extents(payloads), count)
-        return [[*found, pa.nulls(len(payloads), pa.string())]]
-    except ValueError as error:
-        if len(payloads) == 1:
-            return [[*(pa.nulls(1, pa.binary()) for _ in range(count)), pa.array([str(error)])]]
-    half = len(payloads) // 2
-    parts = (payloads.slice(0, half), payloads.slice(half))
-    return [decoded for part in parts for decoded in _halved(part, fields_of, count)]
-
-
-def _avro_fields(data, start, stop, count: int) -> list[pa.Array]:
-    at = start
-    fields = []
-    for _ in range(count):
-        length, at = _read_varints(data, at, stop)
-        if (length & 1).any():
-            raise ValueError("negative string length in an Avro payload")
-        length = length >> 1
-        end = _advance(at, length, stop)
-        fields.append(_cut(data, at, end))
-        at = end
-    if (at != stop).any():
-        raise ValueError("bytes follow the Avro datum")
-    return fields
-
-
-def _protobuf_fields(data, start, stop, count: int) -> list[pa.Array]:
-    bounds = _fields_in_order(data, start, stop, count)
-    if bounds is None:
-        bounds = _fields_in_any_order(data, start, stop, count)
-    return [_cut(data, begin, end) for begin, end in bounds]
-
-
-def _fields_in_order(data, start, stop, count: int):
-    """Where each field begins and ends if every message has just these, in order, else None.
-
-    That is how encoders write them, and it takes no search for the fields.
-    """
-    at = start
-    bounds = []
-    for number in range(1, count + 1):
-        if (at >= stop).any() or (data[at] != number << 3 | LENGTH_DELIMITED).any():
-            return None
-        length, begin = _read_varints(data, at + 1, stop)
-        at = _advance(begin, length & 0xFFFFFFFF, stop)
-        bounds.append((begin, at))
-    return bounds if (at == stop).all() else None
-
-
-def _fields_in_any_order(data, start, stop, count: int):
-    """Where each field begins and ends, reading the next field of every message per step."""
-    begin = np.full((count, len(start)), -1, np.int64)
-    end = np.full((count, len(start)), -1, np.int64)
-    groups = _OpenGroups(len(start))
-    at = start.copy()
-    rows = np.flatnonzero(at < stop)
-    while len(rows):
-        limit = stop[rows]
-        tag, body = _read_varints(data, at[rows], limit)
-        number, wire = (tag & 0xFFFFFFFF) >> 3, tag & 7
-        if (number == 0).any() or (wire > FIXED32).any():
-            raise ValueError("invalid tag in a Protobuf payload")
-        size = np.select([wire == FIXED64, wire == FIXED32], [8, 4], 0)
-        prefixed = np.flatnonzero((wire == VARINT) | (wire == LENGTH_DELIMITED))
-        value, body[prefixed] = _read_varints(data, body[prefixed], limit[prefixed])
-        size[prefixed] = np.where(wire[prefixed] == LENGTH_DELIMITED, value & 0xFFFFFFFF, 0)
-        after = _advance(body, size, limit)
-        groups.update(rows, number, wire)
-        wanted = (wire == LENGTH_DELIMITED) & (number <= count) & ~groups.inside[rows]
-        begin[number[wanted] - 1, rows[wanted]] = body[wanted]
-        end[number[wanted] - 1, rows[wanted]] = after[wanted]
-        at[rows] = after
-        rows = rows[after < limit]
-    if groups.inside.any():
-        raise ValueError("a Protobuf payload ends inside a group")
-    if (begin < 0).any():
-        raise ValueError("a Protobuf payload lacks a required field")
-    return list(zip(begin, end))
-
-
-class _OpenGroups:
-    """Which messages of a batch are inside a (deprecated) group, whose fields are skipped."""
-
-    def __init__(self, messages: int):
-        self.inside = np.zeros(messages, bool)
-        self._numbers: dict[int, list[int]] = {}
-
-    def update(self, rows, number, wire):
-        for i in np.flatnonzero((wire == GROUP_START) | (wire == GROUP_END)):
-            stack = self._numbers.setdefault(rows[i], [])
-            if wire[i] == GROUP_START:
-                stack.append(number[i])
-            elif not stack or stack.pop() != number[i]:
-                raise ValueError("unmatched group end in a Protobuf payload")
-            self.inside[rows[i]] = bool(stack)
-
-
-def _extents(payloads: pa.Array):
-    """The bytes of a batch, and where each payload starts and stops in them."""
-    wide = payloads.cast(pa.large_binary())
-    _, offsets, data = wide.buffers()
-    bounds = np.frombuffer(offsets, np.int64, len(wide) + 1, 8 * wide.offset)
-    content = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    return content, bounds[:-1], bounds[1:]
-
-
-def _read_varints(data, at, stop):
-    """One varint per message: the values and the positions after them."""
-    value = np.zeros(len(at), np.int64)
-    at = at.copy()
-    reading = slice(None)  # every message has a first byte, few have more
-    for group in range(VARINT_MAX_BYTES):
-        if (at[reading] >= stop[reading]).any():
-            raise ValueError("truncated payload")
-        byte = data[at[reading]]
-        value[reading] |= (byte & 0x7F).astype(np.int64) << (7 * group)
-        at[reading] += 1
-        unfinished = np.flatnonzero(byte >= 0x80)
-        reading = reading[unfinished] if group else unfinished
-        if not len(reading):
-            return value, at
-    raise ValueError("a varint is longer than ten bytes")
-
-
-def _advance(at, size, stop):
-    """Positions after ``size`` more bytes, which must lie inside the payload."""
-    if (size < 0).any() or (size > stop - at).any():
-        raise ValueError("truncated payload")
-    return at + size
-
-
-def _cut(data, begin, end) -> pa.Array:
-    """The bytes ``data[begin:end]``, one value per message.
-
-    Begins and ends of successive messages never decrease, so they form the offsets of an
-    array whose even entries are the slices and whose odd entries are the gaps.
+def record_encoder(program: Datum | Payload):
+    """A UDF: a struct of a program's record to its BINARY payload."""
+
+    @F.arrow_udf(T.BinaryType())
+    def encode(records: pa.Array) -> pa.Array:
+        return program.encode(records)
+
+    return encode
+
+
+def avro_decoder(names: tuple[str, ...], on_malformed: str = "fail"):
+    """A UDF: a BINARY payload to the struct of the fields ``names``, as BINARY."""
+    return record_decoder(Datum(Record("record", [(name, Content(False)) for name in names])), on_malformed)
+
+
+def protobuf_decoder(names: tuple[str, ...], on_malformed: str = "fail"):
+    """A UDF as :func:`avro_decoder`.
+
+    The names are those of Protobuf fields 1, 2 and so on. All are required; other fields,
+    and these numbers with another wire type, are skipped. The last of repeated values wins.
     """
-    offsets = np.empty(2 * len(begin), np.int64)
-    offsets[0::2], offsets[1::2] = begin, end
-    pieces = pa.Array.from_buffers(
-        pa.large_binary(), max(len(offsets) - 1, 0), [None, pa.py_buffer(offsets), pa.py_buffer(data)]
-    )
-    return pieces.take(pa.array(np.arange(0, len(offsets), 2))).cast(pa.binary())
+    fields = [Field(i, name, Scalar(BYTES), required=True) for i, name in enumerate(names, 1)]
+    return record_decoder(Payload(Message("record", fields)), on_malformed)

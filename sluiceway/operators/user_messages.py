@@ -3,20 +3,24 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.codecs.avro import compile_avro
+from sluiceway.codecs.protobuf import compile_protobuf
 from sluiceway.functions.stamps import processing_time as stamp
 from sluiceway.functions.stamps import random_id
 from sluiceway.functions.text import greeting, payload_text
 from sluiceway.functions.wire import avro_record, protobuf_message
-from sluiceway.operators.arrow_decode import MALFORMED, avro_decoder, protobuf_decoder
+from sluiceway.operators.records import decode_records
 from sluiceway.schemas import (
     AVRO_FIELDS,
     PROTOBUF_FIELDS,
+    PROTOBUF_MESSAGE,
     USER_MESSAGE_AVSC,
     USER_MESSAGE_DESCRIPTOR_HEX,
 )
 
 USER_COLUMNS = ("id", "first_name", "last_name")
 
+
 def encode_greetings(names: DataFrame) -> DataFrame:
     """Add ``payload``, the greeting of ``name``, and ``attributes`` with ``first_name``."""
     name = F.col("name")
@@ -58,7 +62,7 @@ def decode_avro(
     """
     if _is_builtin(decoder, on_malformed):
         return _decode_avro_builtin(messages)
-    return _decode_arrow(messages, avro_decoder(AVRO_FIELDS, on_malformed), AVRO_FIELDS, on_malformed)
+    return decode_records(messages, compile_avro(USER_MESSAGE_AVSC), on_malformed, "user_message")
 
 
 def decode_protobuf(
@@ -72,9 +76,8 @@ def decode_protobuf(
     """
     if _is_builtin(decoder, on_malformed):
         return _decode_protobuf_builtin(messages)
-    return _decode_arrow(
-        messages, protobuf_decoder(PROTOBUF_FIELDS, on_malformed), PROTOBUF_FIELDS, on_malformed
-    )
+    program = compile_protobuf(bytes.fromhex(USER_MESSAGE_DESCRIPTOR_HEX), PROTOBUF_MESSAGE)
+    return decode_records(messages, program, on_malformed, "user_message")
 
 
 def avro_rows(decoded: DataFrame, processing_time: Column | None = None) -> DataFrame:
@@ -94,20 +97,6 @@ def _user_rows(decoded: DataFrame, fields: tuple[str, ...], processing_time: Col
     return decoded.select(*named, stamp(processing_time).alias("timestamp"))
 
 
-def _decode_arrow(
-    messages: DataFrame, decode, fields: tuple[str, ...], on_malformed: str
-) -> DataFrame:
-    raw = messages.withColumn("_raw", decode(F.coalesce("payload", F.lit(b""))))
-    # Malformed UTF-8 is repaired in the JVM, value by value.
-    user_message = F.struct(*(payload_text(F.col(f"_raw.{f}")).alias(f) for f in fields))
-    if on_malformed == "fail":
-        return raw.withColumn("user_message", user_message).drop("_raw")
-    reason = F.col(f"_raw.{MALFORMED}")
-    return raw.withColumns(
-        {"user_message": F.when(reason.isNull(), user_message), "malformed": reason}
-    ).drop("_raw")
-
-
 def _decode_avro_builtin(messages: DataFrame) -> DataFrame:
     datum = F.call_function(
         "from_avro", F.coalesce("payload", F.lit(b"")), F.lit(USER_MESSAGE_AVSC), _fail_fast()
@@ -127,7 +116,7 @@ def _decode_protobuf_builtin(messages: DataFrame) -> DataFrame:
     message = F.call_function(
         "from_protobuf",
         F.coalesce("payload", F.lit(b"")),
-        F.lit("UserMessage"),
+        F.lit(PROTOBUF_MESSAGE),
         F.lit(bytes.fromhex(USER_MESSAGE_DESCRIPTOR_HEX)),
         _fail_fast(),
     )

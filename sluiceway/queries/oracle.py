@@ -72,6 +72,15 @@ def _protobuf_hex(users: str) -> str:
     return f"SELECT id, {' || '.join(fields)} AS payload_hex FROM ({users})"
 
 
+_ORDER_LINES = """
+    SELECT l_orderkey AS order_key, l_linenumber AS line_number, l_linestatus = 'F' AS closed,
+           CASE WHEN l_discount <> 0 THEN l_discount END AS discount, l_returnflag AS flag,
+           l_partkey AS part_key, CASE WHEN l_suppkey % 3 <> 0 THEN -l_suppkey END AS supp_key,
+           CASE WHEN l_discount = 0 THEN l_quantity ELSE l_tax END AS first_amount,
+           CASE WHEN l_discount = 0 THEN l_extendedprice END AS second_amount,
+           coalesce(array_to_string(range(-3, l_linenumber - 4), ','), '') AS numbers
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "publish_greetings": f"""
         SELECT message_id, hex('Hello ' || name || '!') AS payload_hex, name AS first_name,
@@ -162,4 +171,23 @@ ORACLE_SQL: dict[str, str] = {
         FROM events""",
     "user_ids": f"""
         SELECT id AS customer, first_name, last_name, true AS is_uuid FROM ({_USERS})""",
+    "avro_records": f"""
+        {_ORDER_LINES}, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS shipped FROM lineitem""",
+    "proto_records": f"{_ORDER_LINES} FROM lineitem",
+    "ingest_order_lines": f"""
+        SELECT 'order_lines' AS sink, l_orderkey AS order_key, l_linenumber AS line_number,
+               '{FIXED_TIME_TEXT}' AS time
+        FROM lineitem WHERE l_orderkey % 7 <> 0
+        UNION ALL
+        SELECT 'bytes follow the Avro datum', count(*), NULL, NULL
+        FROM lineitem WHERE l_orderkey % 7 = 0""",
+    "ingest_proto_quarantine": f"""
+        SELECT CASE WHEN CAST(id AS BIGINT) % 10 = 0 THEN 'truncated payload'
+                    WHEN CAST(id AS BIGINT) % 11 = 0 THEN 'a Protobuf payload lacks a required field'
+                    ELSE 'user_messages' END AS sink,
+               CASE WHEN CAST(id AS BIGINT) % 10 = 0 THEN left(payload_hex, length(payload_hex) - 2)
+                    WHEN CAST(id AS BIGINT) % 11 = 0
+                    THEN left(payload_hex, length(payload_hex) - 2 * strlen(split_part(c_name, '#', 2)) - 4)
+                    ELSE id END AS value
+        FROM ({_protobuf_hex(_USERS)}) JOIN customer ON CAST(c_custkey AS VARCHAR) = id""",
 }

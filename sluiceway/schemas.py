@@ -48,6 +48,8 @@ MALFORMED_ROW = T.StructType(
 AVRO_FIELDS = ("id", "first_name", "last_name")
 PROTOBUF_FIELDS = ("id", "firstName", "lastName")
 
+PROTOBUF_MESSAGE = "UserMessage"
+
 # Fixed value: the writer and reader schema of an Avro user message.
 USER_MESSAGE_AVSC = """
 {"type": "record", "name": "UserMessage", "fields": [
