@@ -3,7 +3,7 @@
 A text is its words, A-Z lower-cased, and one end. Hidden states follow one another by a
 transition matrix. A state emits the class of a token, and the class the token itself:
 
-- The ``OWN_CLASSES`` most frequent tokens are classes of their own. All others share a class
+- The most frequent tokens, ``OWN_CLASSES`` at most, are classes of their own. All others share a class
   with the words of the same ending, one of ``ENDINGS`` by hash.
 - Within a class of endings a token has its share of the class's count in all training texts,
   less a discount. What the discounts leave is the probability of a word of that class that
@@ -45,6 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluiceway.codecs.pieces import Pieces, varints
 from sluiceway.llm.frames import Scratch, col, text_bytes, text_groups
 from sluiceway.llm.terms import terms_of
 from sluiceway.llm.words import space_separated
@@ -53,7 +54,7 @@ STATES, ITERATIONS = 8, 4
 OWN_CLASSES, ENDINGS, ENDING_BYTES = 1 << 14, 1 << 12, 3
 CHUNK_BYTES = 16 << 20
 LONGEST = 64
-SEGMENT, TOKENS_AT_ONCE = 2048, 1 << 19
+SEGMENT, TOKENS_AT_ONCE = 2048, 1 << 18
 #: Examples that speak for the classes' overall shares in each state.
 PRIOR = 100.0
 #: The key of the end of a text: no word is empty.
@@ -68,8 +69,8 @@ SEQUENCES = (
 def encode(documents: DataFrame) -> DataFrame:
     """Texts (``chunk, id, learn, codes``) and vocabularies (``chunk, words, counts``) of chunks.
 
-    ``documents`` has ``id, learn, text``. Codes are places in the chunk's vocabulary, whose
-    last entry is the end. Counts are those in texts to learn from.
+    ``documents`` has ``id, learn, text``. Codes are places in the chunk's vocabulary, which
+    begins with the end, as varints. Counts are those in texts to learn from.
     """
     member = space_separated()
 
@@ -81,24 +82,28 @@ def encode(documents: DataFrame) -> DataFrame:
                 learn = rows.column("learn").to_numpy(False).astype(bool)
                 terms, first = terms_of(*text_bytes(texts), member)
                 coded = terms.dictionary_encode()
-                words = _keys(coded.dictionary)
-                end = len(words)
-                codes = np.insert(coded.indices.to_numpy(), first[1:], end).astype(np.int32)
+                del terms
+                # The end is 0 and frequent words follow, as small numbers take few bytes.
+                uses = np.bincount(coded.indices, minlength=len(coded.dictionary))
+                order = np.argsort(-uses, kind="stable")
+                number = np.empty(len(order), np.int64)
+                number[order] = np.arange(1, len(order) + 1)
+                codes = np.insert(number[coded.indices], first[1:], 0)
                 first = first + np.arange(len(first))
                 taken = np.repeat(learn, np.diff(first))
-                counts = np.bincount(codes[taken], minlength=end + 1)
-                parts = [codes[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                counts = np.bincount(codes[taken], minlength=len(order) + 1)
+                words = _keys(coded.dictionary.take(pa.array(order)))
+                words = pa.concat_arrays([pa.array([END], pa.binary()), words])
                 n = len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(n, chunk)), rows.column("id"), rows.column("learn"),
-                        pa.array(parts, pa.binary()),
+                        varints(codes).joined(first).binary(),
                         pa.nulls(n, pa.list_(pa.binary())), pa.nulls(n, pa.list_(pa.int64())),
                     ],
                     ["chunk", "id", "learn", "codes", "words", "counts"],
                 )
-                bounds = pa.array([0, end + 1], pa.int32())
-                words = pa.concat_arrays([words, pa.array([END], pa.binary())])
+                bounds = pa.array([0, len(words)], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([chunk]), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_()),
@@ -113,6 +118,20 @@ def encode(documents: DataFrame) -> DataFrame:
     return documents.mapInArrow(run, ENCODED)
 
 
+def numbers_of(packed: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers in strings of varints, below 2^28, and where those of each string begin."""
+    wide = packed.cast(pa.large_binary())
+    offsets = np.frombuffer(wide.buffers()[1], np.int64, len(wide) + 1, 8 * wide.offset)
+    data = np.frombuffer(wide.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] else np.zeros(0, np.uint8)
+    end = np.flatnonzero(data < 0x80)
+    start = np.concatenate(([0], end[:-1] + 1)) if len(end) else end
+    numbers = (data[start] & 0x7F).astype(np.int64)
+    for group in range(1, int((end - start).max(initial=0)) + 1):
+        longer = np.flatnonzero(end - start >= group)
+        numbers[longer] |= (data[start[longer] + group] & 0x7F).astype(np.int64) << (7 * group)
+    return numbers, np.searchsorted(start, offsets - offsets[0])
+
+
 def _keys(words: pa.Array) -> pa.Array:
     """Words as keys: long ones as a blank, which no word has, and their hash."""
     long = np.flatnonzero(pc.binary_length(words).to_numpy() > LONGEST)
@@ -159,8 +178,13 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, DataFrame]:
     of = lambda n: F.sum((F.col("c") == n).cast("bigint"))
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), of(1).alias("n1"), of(2).alias("n2"))
     n, v, n1, n2 = (x or 0 for x in total.head())
-    # Few enough for the driver whatever the corpus; words have LONGEST bytes at most.
-    own = counts.orderBy(F.desc("c"), "word").limit(OWN_CLASSES).toArrow()["word"].combine_chunks()
+    # Words from a count on that at most OWN_CLASSES words reach. Each count has a word at least, so
+    # the highest OWN_CLASSES counts tell, and no more rows than that reach the driver.
+    heights = counts.groupBy("c").agg(F.count(F.lit(1)).alias("words"))
+    heights = heights.orderBy(F.desc("c")).limit(OWN_CLASSES).toPandas()
+    least = heights["c"][heights["words"].cumsum() <= OWN_CLASSES].min()
+    frequent = counts.where(F.lit(False) if np.isnan(least) else F.col("c") >= int(least))
+    own = frequent.toArrow().sort_by([("c", "descending"), ("word", "ascending")])["word"].combine_chunks()
     places = pa.table({"word": own, "place": pa.array(np.arange(len(own)), pa.int32())})
     places = counts.sparkSession.createDataFrame(places)
     classes = _classes(counts, places).groupBy("class").agg(F.sum("c").alias("size"), F.count(F.lit(1)).alias("seen"))
@@ -191,20 +215,16 @@ def sequences(encoded: DataFrame, counts: DataFrame, own: DataFrame, vocabulary:
         shared = np.flatnonzero((kind >= OWN_CLASSES) & (size[kind] > 0))
         within = np.where(c > 0, c - discount, discount * seen[kind])
         inner[shared] = np.log10(within[shared] / size[kind[shared]])
-        tokens, known, bases, inners, classes = [], [], [], [], []
-        for codes in texts["codes"]:
-            codes = np.frombuffer(codes.as_buffer(), np.int32)
-            tokens.append(len(codes))
-            known.append(int((c[codes] > 0).sum()))
-            bases.append(base[codes].sum())
-            inners.append(inner[codes].sum())
-            classes.append(kind[codes].astype(np.uint16).tobytes())
+        codes, first = numbers_of(texts["codes"].combine_chunks())
+        # Every text has a token, its end, so no sum is over nothing.
+        total = lambda values: pa.array(np.add.reduceat(values[codes], first[:-1]))
+        classes = Pieces(kind[codes].astype(np.uint16).view(np.uint8), 2 * first.astype(np.int64))
         return pa.table(
             {
                 "id": texts["id"], "learn": texts["learn"],
-                "n_tokens": pa.array(tokens, pa.int64()), "n_known": pa.array(known, pa.int64()),
-                "base": pa.array(bases, pa.float64()), "inner": pa.array(inners, pa.float64()),
-                "classes": pa.array(classes, pa.binary()),
+                "n_tokens": pa.array(np.diff(first).astype(np.int64)),
+                "n_known": total((c > 0).astype(np.int64)),
+                "base": total(base), "inner": total(inner), "classes": classes.binary(),
             }
         )
 
@@ -267,21 +287,37 @@ class Segments:
             yield np.repeat(order[low:high], copies)
 
 
-def _forward(chain: Chain, segments: Segments, rows: np.ndarray, v: np.ndarray, keep: list | None = None):
-    """Run segments (longest first) from distributions ``v`` of the first state. Returns the
-    distributions after the last token and the logarithms of the probabilities."""
-    v = v.copy()
-    log = np.zeros(len(rows))
+def _steps(segments: Segments, rows: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Tokens of segments (longest first) in order of their place within them, and the bounds of
+    each place. The segments that have a place are the first ones."""
     begin, size = segments.begin[rows], segments.size[rows]
-    active = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), "left")
-    for t, n in enumerate(active.tolist()):
-        alpha = v[:n] * chain.emit[segments.tokens[begin[:n] + t]]
-        total = alpha.sum(1)
+    longest = int(size[0]) if len(size) else 0
+    active = np.searchsorted(-size, -np.arange(longest), "left")
+    ends = np.cumsum(active)
+    at = np.empty(ends[-1] if longest else 0, np.int64)
+    bounds = list(zip((ends - active).tolist(), ends.tolist()))
+    for t, (low, high) in enumerate(bounds):
+        np.add(begin[: high - low], t, out=at[low:high])
+    return segments.tokens[at], bounds
+
+
+def _forward(chain: Chain, emitted: np.ndarray, bounds: list, v: np.ndarray):
+    """Run segments from distributions ``v`` of the first state, on the emission probabilities of
+    their tokens, which become the distributions of the states that emitted them.
+
+    Returns the distributions after the last token and the logarithms of the segments'
+    probabilities.
+    """
+    v = v.copy()
+    ones = np.ones(len(chain.start))
+    log = np.zeros(len(v))
+    for low, high in bounds:
+        alpha = emitted[low:high]
+        alpha *= v[: high - low]
+        total = np.dot(alpha, ones)
         alpha /= total[:, None]
-        log[:n] += np.log(total)
-        if keep is not None:
-            keep.append(alpha)
-        v[:n] = alpha @ chain.move
+        log[: high - low] += np.log(total)
+        np.dot(alpha, chain.move, out=v[: high - low])
     return v, log
 
 
@@ -293,7 +329,8 @@ def _matrices(chain: Chain, segments: Segments) -> tuple[np.ndarray, np.ndarray]
     later[segments.first[:-1]] = False
     ends, logs = np.zeros((len(later), states, states)), np.zeros((len(later), states))
     for rows in segments.batches(np.flatnonzero(later), states):
-        v, log = _forward(chain, segments, rows, np.tile(np.eye(states), (len(rows) // states, 1)))
+        tokens, bounds = _steps(segments, rows)
+        v, log = _forward(chain, chain.emit[tokens], bounds, np.tile(np.eye(states), (len(rows) // states, 1)))
         own = rows[::states]
         ends[own], logs[own] = v.reshape(-1, states, states), log.reshape(-1, states)
     return ends, logs
@@ -306,7 +343,9 @@ def log_likelihoods(chain: Chain, parts: list[np.ndarray]) -> np.ndarray:
     heads = segments.first[:-1]
     after, total = np.zeros((len(segments.begin), states)), np.zeros(len(segments.begin))
     for rows in segments.batches(heads, 1):
-        after[rows], total[rows] = _forward(chain, segments, rows, np.tile(chain.start, (len(rows), 1)))
+        tokens, bounds = _steps(segments, rows)
+        start = np.tile(chain.start, (len(rows), 1))
+        after[rows], total[rows] = _forward(chain, chain.emit[tokens], bounds, start)
     result = total[heads].copy()
     if len(segments.begin) > len(heads):
         ends, logs = _matrices(chain, segments)
@@ -334,8 +373,9 @@ def expected_counts(chain: Chain, parts: list[np.ndarray]) -> tuple[np.ndarray,
     cut = np.flatnonzero(np.diff(segments.first) > 1)
     if len(cut):
         ends, logs = _matrices(chain, segments)
-        own = heads[cut][np.argsort(-segments.size[heads[cut]], kind="stable")]
-        before[own + 1], _ = _forward(chain, segments, own, before[own])
+        for own in segments.batches(heads[cut], 1):
+            tokens, bounds = _steps(segments, own)
+            before[own + 1], _ = _forward(chain, chain.emit[tokens], bounds, before[own])
         for i in cut.tolist():
             low, high = segments.first[i], segments.first[i + 1]
             for s in range(low + 1, high - 1):
@@ -347,29 +387,30 @@ def expected_counts(chain: Chain, parts: list[np.ndarray]) -> tuple[np.ndarray,
     last[segments.first[1:] - 1] = True
     start, moves = np.zeros(states), np.zeros((states, states))
     emitted = np.zeros(chain.emit.shape)
+    ones = np.ones(states)
     for rows in segments.batches(np.arange(count), 1):
-        alphas: list[np.ndarray] = []
-        _forward(chain, segments, rows, before[rows], alphas)
-        begin, size, u = segments.begin[rows], segments.size[rows], behind[rows]
-        final = last[rows]
-        found = []
-        for t in range(len(alphas) - 1, -1, -1):
-            alpha = alphas[t]
-            n = len(alpha)
-            tokens = segments.tokens[begin[:n] + t]
-            ahead = u[:n] @ chain.move.T
-            gamma = alpha * ahead
-            total = gamma.sum(1, keepdims=True)
-            gamma /= total
+        tokens, bounds = _steps(segments, rows)
+        emit = chain.emit[tokens]
+        gammas = emit.copy()
+        _forward(chain, gammas, bounds, before[rows])
+        size, u = segments.size[rows], behind[rows]
+        # How many segments have a next place, or go on behind their last one.
+        goes_on = ~last[rows]
+        for t in range(len(bounds) - 1, -1, -1):
+            low, high = bounds[t]
+            n = high - low
+            alpha = gammas[low:high]
+            ahead = np.dot(u[:n], chain.move.T)
+            weight = 1 / np.dot(alpha * ahead, ones)[:, None]
             # The last token of a sequence is not followed by a move.
-            follows = (alpha / total) * ~(final[:n] & (size[:n] == t + 1))[:, None]
-            moves += follows.T @ u[:n]
-            u[:n] = chain.emit[tokens] * ahead
-            u[:n] /= u[:n].sum(1, keepdims=True)
-            found.append((tokens, gamma))
-        heading = np.isin(rows, heads)
-        start += found[-1][1][heading].sum(0)
-        tokens, gammas = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            follows = alpha * (weight * (goes_on[:n] | (size[:n] > t + 1))[:, None])
+            moves += np.dot(follows.T, u[:n])
+            alpha *= ahead
+            alpha *= weight
+            ahead *= emit[low:high]
+            ahead /= np.dot(ahead, ones)[:, None]
+            u[:n] = ahead
+        start += gammas[: len(rows)][np.isin(rows, heads)].sum(0)
         for k in range(states):
             emitted[:, k] += np.bincount(tokens, gammas[:, k], len(emitted))
     return start, moves * chain.move, emitted
