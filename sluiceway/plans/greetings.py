@@ -59,7 +59,7 @@ def route_greetings(
     As :func:`route_greeting_messages` on the messages of a topic.
     """
     return route_greeting_messages(
-        read_subscription(spark, topic, **read_options),
+        read_subscription(spark, topic, columns=("payload",), **read_options),
         a_table,
         b_table,
         checkpoint,
@@ -117,7 +117,7 @@ def route_greetings_to_folder(
 ) -> StreamingQuery:
     """As :func:`route_greetings`, to one folder partitioned by route, each row exactly once."""
     return write_routes(
-        read_subscription(spark, topic, **read_options).transform(routed_names),
+        read_subscription(spark, topic, columns=("payload",), **read_options).transform(routed_names),
         folder,
         checkpoint,
         trigger,

@@ -33,7 +33,7 @@ def ingest_records(
 ) -> StreamingQuery:
     """Append the records in the messages of a subscription, and ``timestamp``, to a table."""
     return ingest_record_messages(
-        read_subscription(spark, topic, **read_options),
+        read_subscription(spark, topic, columns=("payload",), **read_options),
         program,
         table,
         checkpoint,

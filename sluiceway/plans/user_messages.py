@@ -19,9 +19,11 @@ from sluiceway.operators.user_messages import (
 from sluiceway.sinks.topics import publish
 from sluiceway.sources.topics import (
     keep_start,
+    kept_offset,
     kept_start,
     read_subscription,
     read_topic,
+    topic_log,
     unlimited,
 )
 from sluiceway.streaming.writers import append_batch, pass_over_published, start_writing
@@ -52,23 +54,27 @@ def ingest_avro(
 ) -> StreamingQuery:
     """Append the Avro user messages that become visible after the first start of the job.
 
-    At the first start all publications there are are passed over, by listing them on the
-    job's checkpoint; no clocks are compared, so a publication under way is delivered whole
+    At the first start all publications there are are passed over: in a topic with a log by
+    its latest offset, in others by listing them on the job's checkpoint. No clocks are compared, so a publication under way is delivered whole
     when it is committed. With ``start`` the messages published at or after that time count
     instead. A restart goes on as the first start began.
     """
     known, since = kept_start(spark, checkpoint)
-    if not known:
+    log = topic_log(topic)
+    if log is not None and (since or start) is None:
+        # From the offset after the latest, as it was at the first start.
+        read_options["start_offset"] = kept_offset(spark, checkpoint, log.next)
+    elif not known:
         since = start
         if start is None:
-            everything = read_subscription(spark, topic, **unlimited(read_options))
+            everything = read_subscription(spark, topic, ("payload",), **unlimited(read_options))
             decoded, write = _avro_append(
                 everything, table, processing_time, decoder, malformed_table
             )
             pass_over_published(decoded, write, checkpoint)
         keep_start(spark, checkpoint, start)
     return ingest_avro_messages(
-        read_topic(spark, topic, since, **read_options),
+        read_topic(spark, topic, since, columns=("payload",), **read_options),
         table,
         checkpoint,
         processing_time=processing_time,
@@ -111,7 +117,7 @@ def ingest_protobuf(
 ) -> StreamingQuery:
     """Append the Protobuf user messages of a subscription."""
     return ingest_protobuf_messages(
-        read_subscription(spark, topic, **read_options),
+        read_subscription(spark, topic, columns=("payload",), **read_options),
         table,
         checkpoint,
         processing_time=processing_time,

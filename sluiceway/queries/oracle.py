@@ -190,4 +190,11 @@ ORACLE_SQL: dict[str, str] = {
                     THEN left(payload_hex, length(payload_hex) - 2 * strlen(split_part(c_name, '#', 2)) - 4)
                     ELSE id END AS value
         FROM ({_protobuf_hex(_USERS)}) JOIN customer ON CAST(c_custkey AS VARCHAR) = id""",
+    "read_log_from_now": f"""
+        SELECT CAST(event_id AS VARCHAR) AS message_id, event_type,
+               {_time_text('ts', 6)} AS publish_time
+        FROM events WHERE event_id % 4 <> 0""",
+    "ingest_log_from_now": f"""
+        SELECT *, '{FIXED_TIME_TEXT}' AS timestamp FROM ({_USERS})
+        WHERE CAST(id AS BIGINT) % 2 <> 0""",
 }

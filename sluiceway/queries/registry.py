@@ -36,7 +36,7 @@ from sluiceway.plans.user_messages import (
     publish_avro,
     publish_protobuf,
 )
-from sluiceway.queries import inputs, records
+from sluiceway.queries import inputs, records, topics
 from sluiceway.queries.inputs import fixed_time, new_table, scratch_dir
 from sluiceway.schemas import MALFORMED_ROW, MESSAGE, NAME_ROW, USER_MESSAGE_ROW
 from sluiceway.sinks.tables import insert_rows
@@ -503,4 +503,5 @@ QUERIES: dict[str, Query] = {
     "processing_time_text": processing_time_text,
     "user_ids": user_ids,
     **records.QUERIES,
+    **topics.QUERIES,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.schemas import MESSAGE
-from sluiceway.sources.topics import check_topic
+from sluiceway.sources.topics import check_topic, topic_log
 
 
 def publish(messages: DataFrame, topic: str) -> DataFrame:
@@ -18,10 +18,13 @@ def publish(messages: DataFrame, topic: str) -> DataFrame:
 
     Each publication has a folder of its own in the topic. The ids are read back from
     there, as evaluating ``messages`` again could give other ids than were written, and
-    without listing the rest of the topic.
+    without listing the rest of the topic. In a topic with a log the publication exists once
+    it is entered there, after its messages are written whole.
     """
     spark = messages.sparkSession
-    check_topic(spark, topic)
+    log = topic_log(topic)
+    if log is None:
+        check_topic(spark, topic)
     publication = str(uuid.uuid4())
     made = {
         "attributes": F.create_map().cast(MESSAGE["attributes"].dataType),
@@ -34,4 +37,6 @@ def publish(messages: DataFrame, topic: str) -> DataFrame:
     )
     folder = f"{topic.rstrip('/')}/{publication}"
     complete.write.parquet(folder)
+    if log is not None:
+        log.append(publication)
     return spark.read.schema(MESSAGE).parquet(folder).select("message_id")

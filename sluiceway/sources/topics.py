@@ -1,18 +1,24 @@
 """Topics: Parquet tables of messages, read as streams.
 
+A topic made with ``log=True`` has an offset log, see :mod:`sluiceway.sources.offset_log`; all
+functions here use it where there is one. Other topics are listed.
+
 A topic is a folder of files, nested or not, with rows of :data:`sluiceway.schemas.MESSAGE`.
 A *subscription* is such a stream with a checkpoint, which is its durable cursor; a read of
 the *topic* sees only messages that become visible after the job first started.
 """
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyarrow.lib import ArrowInvalid, ArrowNotImplementedError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceway.schemas import MESSAGE
+from sluiceway.sources.offset_log import PublicationLog, read_publications
 
 # Each publication is a folder of its own within the topic.
 _NESTED = {"recursiveFileLookup": True}
@@ -22,12 +28,24 @@ _ANY_AGE = {"maxFileAge": "36500d"}
 _START = T.StructType([T.StructField("start", T.TimestampType())])
 
 
-def create_topic(spark: SparkSession, topic: str) -> str:
-    """Make an empty topic; an existing one is left as it is."""
-    spark.createDataFrame([], MESSAGE).write.mode("ignore").parquet(topic)
+def create_topic(spark: SparkSession, topic: str, log: bool = False) -> str:
+    """Make an empty topic, with an offset log if told; an existing one is left as it is."""
+    if log:
+        PublicationLog(topic).create()
+    else:
+        spark.createDataFrame([], MESSAGE).write.mode("ignore").parquet(topic)
     return topic
 
 
+def topic_log(topic: str) -> PublicationLog | None:
+    """The offset log of a topic, if it has one."""
+    try:
+        log = PublicationLog(topic)
+        return log if log.exists() else None
+    except (ArrowInvalid, ArrowNotImplementedError, OSError):
+        return None  # a store that only Spark reaches
+
+
 def check_topic(spark: SparkSession, topic: str) -> None:
     """Raise ``FileNotFoundError`` if there is no such topic; lists none of its files."""
     path = spark._jvm.org.apache.hadoop.fs.Path(topic)
@@ -37,30 +55,55 @@ def check_topic(spark: SparkSession, topic: str) -> None:
 
 def topic_table(spark: SparkSession, topic: str) -> DataFrame:
     """All messages of a topic, as a batch. A missing topic raises."""
+    log = topic_log(topic)
+    if log is not None:
+        entries = [log.entry(offset) for offset in range(log.first(), log.next())]
+        folders = [f"{log.topic}/{entry['folder']}" for entry in entries]
+        if not folders:
+            return spark.createDataFrame([], MESSAGE)
+        return spark.read.schema(MESSAGE).parquet(*folders)
     return spark.read.schema(MESSAGE).options(**_NESTED).parquet(topic)
 
 
-def read_subscription(spark: SparkSession, topic: str, **options) -> DataFrame:
+def read_subscription(
+    spark: SparkSession,
+    topic: str,
+    columns: tuple[str, ...] = (),
+    start_offset: int | None = None,
+    **options,
+) -> DataFrame:
     """Stream of all messages of a topic; the checkpoint of the query is the cursor.
 
-    ``options`` go to the file source. For a large backlog set ``maxFilesPerTrigger`` or
+    ``columns`` are those of the messages to read, all by default. For a topic with a log,
+    ``start_offset`` is where a new query begins, by default with the first publication that is
+    kept; each trigger asks for what is new.
+
+    For others ``options`` go to the file source. For a large backlog set ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger``, so that one micro-batch stays a bounded job. Files count
     whatever their age (the source would drop those much older than the newest one), so the
     driver remembers all files of the topic; ``maxFileAge`` bounds that where publications
     are known to arrive in time.
     """
+    if topic_log(topic) is not None:
+        return read_publications(spark, topic, start_offset, columns)
     options = _NESTED | _ANY_AGE | options
-    return spark.readStream.schema(MESSAGE).options(**options).parquet(topic)
+    messages = spark.readStream.schema(MESSAGE).options(**options).parquet(topic)
+    return messages.select(*columns) if columns else messages
 
 
-def read_topic(spark: SparkSession, topic: str, start: datetime | None, **options) -> DataFrame:
+def read_topic(
+    spark: SparkSession, topic: str, start: datetime | None, columns: tuple[str, ...] = (), **options
+) -> DataFrame:
     """Stream of the messages published at or after ``start``, by their publish time.
 
     The bound is pushed to the Parquet scan, so row groups of older messages are skipped.
     Without a start it is the whole subscription.
     """
-    messages = read_subscription(spark, topic, **options)
-    return messages if start is None else messages.where(F.col("publish_time") >= F.lit(start))
+    if start is None:
+        return read_subscription(spark, topic, columns, **options)
+    read = (*columns, "publish_time") if columns and "publish_time" not in columns else columns
+    messages = read_subscription(spark, topic, read, **options).where(F.col("publish_time") >= F.lit(start))
+    return messages.select(*columns) if columns else messages
 
 
 def unlimited(options: dict) -> dict:
@@ -89,3 +132,16 @@ def keep_start(spark: SparkSession, checkpoint: str, start: datetime | None) ->
     path = checkpoint.rstrip("/") + "/start_position"
     start = start and start.astimezone(timezone.utc)
     spark.createDataFrame([(start,)], _START).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def kept_offset(spark: SparkSession, checkpoint: str, first: Callable[[], int]) -> int:
+    """The offset at which the job of this checkpoint first started, noted beside it."""
+    path = checkpoint.rstrip("/") + "/start_offset"
+    try:
+        return spark.read.schema("next bigint").parquet(path).head().next
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    offset = first()
+    spark.createDataFrame([(offset,)], "next bigint").coalesce(1).write.mode("overwrite").parquet(path)
+    return offset
