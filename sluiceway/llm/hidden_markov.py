@@ -52,7 +52,7 @@ from sluiceway.llm.words import space_separated
 
 STATES, ITERATIONS = 8, 4
 OWN_CLASSES, ENDINGS, ENDING_BYTES = 1 << 14, 1 << 12, 3
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 LONGEST = 64
 SEGMENT, TOKENS_AT_ONCE = 2048, 1 << 18
 #: Examples that speak for the classes' overall shares in each state.
@@ -86,7 +86,7 @@ def encode(documents: DataFrame) -> DataFrame:
                 # The end is 0 and frequent words follow, as small numbers take few bytes.
                 uses = np.bincount(coded.indices, minlength=len(coded.dictionary))
                 order = np.argsort(-uses, kind="stable")
-                number = np.empty(len(order), np.int64)
+                number = np.empty(len(order), np.int32)
                 number[order] = np.arange(1, len(order) + 1)
                 codes = np.insert(number[coded.indices], first[1:], 0)
                 first = first + np.arange(len(first))

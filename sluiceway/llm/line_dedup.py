@@ -17,7 +17,7 @@ and the text column are interpreted; other columns may have any name.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceway.llm.frames import col, fresh
+from sluiceway.llm.frames import Scratch, col, fresh
 
 # What is stripped from a line's ends, and the letters that lose their case.
 _SPACE = " \t\n\x0b\x0c\r"
@@ -60,7 +60,9 @@ def mark_lines(
         .agg(F.count(F.lit(1)).alias("documents"), F.min(order).alias("keeper"))
         .where(F.col("documents") >= min_documents)
     )
-    # A line that very many documents have is one key here; Spark splits it as a skewed join.
+    # A line that very many documents have is one key of this join. The right side is read back
+    # from a table, as Spark splits a skewed key only where both sides are plain shuffles.
+    repeated = Scratch(documents.sparkSession).keep(repeated, "repeated")
     dropped = (
         lines.join(repeated, "hash")
         .where(~F.col("id").eqNullSafe(F.col("keeper.id")))
@@ -82,8 +84,14 @@ def mark_lines(
 
 def kept_text(lines_col: str, drops_col: str) -> Column:
     """The lines that stay, in order."""
-    kept = F.filter(lines_col, lambda line, at: ~F.array_contains(F.col(drops_col), at))
-    return F.array_join(F.when(F.isnull(drops_col), F.col(lines_col)).otherwise(kept), "\n")
+
+    def kept(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drops_col)
+        return F.transform(places, lambda at: F.get(lines, at))
+
+    # Through an array of one, so that the lines are made once and not for each place.
+    some = F.element_at(F.transform(F.array(lines_col), kept), 1)
+    return F.array_join(F.when(F.isnull(drops_col), F.col(lines_col)).otherwise(some), "\n")
 
 
 def drop_repeated_lines(

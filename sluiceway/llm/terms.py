@@ -26,6 +26,7 @@ def terms_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> tuple
     begins[bounds] = inside[bounds]
     ends[bounds - 1] = inside[bounds - 1]
     start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    del inside, begins, ends
     # Starts and stops in turn are the offsets of an array whose even values are the terms.
     turns = np.empty(2 * len(start), np.int64)
     turns[0::2], turns[1::2] = start, stop

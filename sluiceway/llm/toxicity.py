@@ -12,8 +12,8 @@ the kept features of the sample. Scores cover all characters of all texts.
 
 Defined results: a NULL text is empty; the empty text gets the score of a text without
 features. Label rows with a NULL id or a class other than 0 or 1 are ignored, several labels
-of one document all count. With no labels, or of one class only, every score is the share of
-toxic labels, smoothed. Rows are scored by themselves, so ties, repeated rows and NULL ids
+of one document all count. With no labels that match a document, or of one class only, every
+score is the share of toxic labels, smoothed, and no document is dropped. Rows are scored by themselves, so ties, repeated rows and NULL ids
 need no rule. An empty table gives an empty result. Other columns may have any name.
 """
 
@@ -82,10 +82,11 @@ def _present(texts: pa.Array, wanted: np.ndarray | None) -> tuple[np.ndarray, np
 
 
 class ToxicityModel:
-    """A bias, and the weight of each bucket (0 for buckets that are no features)."""
+    """A bias, and the weight of each bucket (0 for buckets that are no features). It is
+    ``informed`` if it was fitted on texts of both classes."""
 
-    def __init__(self, bias: float, buckets: np.ndarray, weights: np.ndarray):
-        self.bias, self.buckets, self.weights = bias, buckets, weights
+    def __init__(self, bias: float, buckets: np.ndarray, weights: np.ndarray, informed: bool = True):
+        self.bias, self.buckets, self.weights, self.informed = bias, buckets, weights, informed
 
     def dense(self) -> tuple[np.ndarray, np.ndarray]:
         weights = np.zeros(1 << BITS, np.float64)
@@ -124,16 +125,17 @@ def fit_toxicity(
         col(id_col).cast("bigint").alias("id"), col(text_col).cast("string").alias("text")
     )
     rows = texts.join(F.broadcast(sample), "id").select("text", "label")
-    if len(stands_for) < 2:
-        counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    # Labels may be of other documents, so the classes are counted where both are known.
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if len(counts) < 2:
         share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
         none = np.zeros(0)
-        return ToxicityModel(float(np.log(share / (1 - share))), none.astype(np.int64), none)
-    buckets, ratios = _ratios(rows)
+        return ToxicityModel(float(np.log(share / (1 - share))), none.astype(np.int64), none, False)
+    buckets, ratios = _ratios(rows, counts)
     return _regress(rows, buckets, ratios, stands_for)
 
 
-def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _ratios(rows: DataFrame, totals: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """The strongest features, with the log ratio of their shares in both classes."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,9 +156,8 @@ def _ratios(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     counted = rows.mapInArrow(count, "bucket int, n0 int, n1 int").groupBy("bucket")
     counted = counted.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    toxic = (F.col("n1") + 1) / (totals.get(1, 0) + 2)
-    other = (F.col("n0") + 1) / (totals.get(0, 0) + 2)
+    toxic = (F.col("n1") + 1) / (totals[1] + 2)
+    other = (F.col("n0") + 1) / (totals[0] + 2)
     # How many standard errors the ratio is away from none.
     strength = F.abs(F.col("ratio")) / F.sqrt(1 / (F.col("n1") + 1) + 1 / (F.col("n0") + 1))
     best = (
@@ -270,7 +271,12 @@ def drop_toxic(
     text_col: str = "text",
     label_col: str = "toxic",
 ) -> DataFrame:
-    """``documents`` without those that are predicted to be toxic."""
+    """``documents`` without those that are predicted to be toxic.
+
+    If the labelled documents are not of both classes nothing is known, and all stay.
+    """
     model = fit_toxicity(documents, labels, learn, id_col, text_col, label_col)
+    if not model.informed:
+        return documents
     clean = with_score(documents, model, text_col, documents.columns).where("score < 0.5")
     return clean.select(*(F.col("kept").getField(c).alias(c) for c in documents.columns))

@@ -1,4 +1,7 @@
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from sluiceway.llm.line_dedup import drop_repeated_lines, line_report
 from tests.llm.brute import line_report as expected_report
@@ -52,3 +55,40 @@ def test_drop_returns_the_given_columns(texts, clash):
         2: "c",
         3: None,
     }
+
+
+def test_many_lines_in_one_text(spark, texts):
+    """Work follows the lines of a text; most of them are dropped here."""
+    lines = "\n".join(f"line number {i} of many" for i in range(200_000))
+    frame = texts([(1, lines), (2, lines + "\nits own last line"), (3, "another")])
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in line_report(frame).collect()}
+    assert time.perf_counter() - started < 20
+    assert (found[1].n_lines, found[1].n_dropped) == (200_000, 0)
+    assert (found[2].n_lines, found[2].n_dropped) == (200_001, 200_000)
+
+
+def test_a_line_of_very_many_documents_is_split(spark):
+    """The join of the commonest line is dealt to several tasks."""
+    documents = spark.range(60_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("the same line in all\n"), F.md5(F.col("id").cast("string"))).alias("text")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        kept = drop_repeated_lines(documents)
+        assert kept.where("text LIKE 'the same%'").count() == 1
+        kept.write.format("noop").mode("overwrite").save()
+        rows = kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 60_000
+    assert "skew=true" in plan
