@@ -2,6 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a frame. All but the last return the
 columns of ``docs``; the last adds how much of each document the mix takes.
+
+Defined results: NULL texts count as empty, stay NULL, and pass every stage but the last, which
+takes nothing of a text without words. NULL ids, sources and other columns are kept as they are.
+If no label of one of the classes belongs to a document, nothing is known of toxicity and all
+documents stay; with an empty benchmark nothing is contaminated. An empty table gives an empty
+result. Documents may have further columns of any name: where one is called like a column that
+the last stage adds, that one gets underscores before its name. Very long texts are taken whole.
 """
 
 from collections.abc import Callable
@@ -10,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.llm.decontaminate import drop_contaminated
-from sluiceway.llm.frames import Scratch
+from sluiceway.llm.frames import Scratch, fresh
 from sluiceway.llm.line_dedup import drop_repeated_lines
 from sluiceway.llm.minhash_forest import drop_near_duplicates
 from sluiceway.llm.mixing import mix_sources
@@ -45,7 +52,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix of sources takes, with ``size, source_size, target, taken``
     (words, repeats counted)."""
     mixed = mix_sources(docs, weights=(1, 2, 3), repeats=3, keep=tuple(docs.columns))
-    added = ["size", "source_size", "target", "taken"]
+    added = [F.col(name).alias(fresh(docs, name)) for name in ("size", "source_size", "target", "taken")]
     return mixed.where("taken > 0").select(*(F.col("kept").getField(c).alias(c) for c in docs.columns), *added)
 
 
