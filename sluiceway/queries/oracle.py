@@ -164,7 +164,14 @@ ORACLE_SQL: dict[str, str] = {
     "insert_reports": f"""
         SELECT 'fits' AS insert, count(*) AS rows, false AS has_errors FROM ({_NAMES})
         UNION ALL SELECT 'missing column', count(*), false FROM ({_NAMES})
-        UNION ALL SELECT unnest(['extra column', 'other type', 'too long', 'out of range']), 0, true""",
+        UNION ALL SELECT unnest(['extra column', 'other type', 'too long', 'out of range']), 0, true
+        UNION ALL SELECT 'some too long', count(*) FILTER (length(name) <= 3), true FROM ({_NAMES})""",
+    "insert_refusals": f"""
+        SELECT 'inserted' AS what, name FROM ({_NAMES}) WHERE length(name) <= 3 AND strlen(name) <= 2
+        UNION ALL
+        SELECT 'name: longer than varchar(3)', name FROM ({_NAMES}) WHERE length(name) > 3
+        UNION ALL
+        SELECT 'number: out of the range of int', name FROM ({_NAMES}) WHERE strlen(name) > 2""",
     "processing_time_text": f"""
         SELECT CAST(event_id AS VARCHAR) AS message_id, {_time_text('ts', 0)} AS to_second,
                {_time_text('ts', 3)} AS to_millisecond, {_time_text('ts', 6)} AS to_microsecond

@@ -438,6 +438,7 @@ def insert_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         "other type": insert_rows(rows.withColumn("timestamp", F.lit("now")), names),
         "too long": insert_rows(rows.select(long, F.lit(1).alias("number")), small),
         "out of range": insert_rows(rows.select(F.lit("x").alias("name"), wide), small),
+        "some too long": insert_rows(rows.select("name", F.lit(1).alias("number")), small, skip_refused=True),
     }
     return spark.createDataFrame(
         [(name, report.rows, report.has_errors) for name, report in reports.items()],
@@ -445,6 +446,22 @@ def insert_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def insert_refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row that a table refuses with its reasons, and the rows that went in."""
+    schema = T.StructType.fromDDL("name varchar(3), number int")
+    table = new_table(spark, scratch_dir(spark), "small", schema)
+    names = inputs.greeted_names(spark, sf_dir)
+    rows = names.select("name", (F.octet_length("name").cast("bigint") * 10**9).alias("number"))
+    report, inserted = insert_and_read(spark, table, rows, skip_refused=True)
+    refused = report.refused.select("name", F.explode("_refusals").alias("refusal"))
+    return _union_of(
+        [
+            inserted.select(F.lit("inserted").alias("what"), "name"),
+            refused.select(F.concat_ws(": ", "refusal.column", "refusal.reason").alias("what"), "name"),
+        ]
+    )
+
+
 def processing_time_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Times as text, with as many digits as each one needs."""
     events = inputs.event_messages(spark, sf_dir)
@@ -500,6 +517,7 @@ QUERIES: dict[str, Query] = {
     "ingest_proto": ingest_proto_query,
     "insert_and_select": insert_and_select,
     "insert_reports": insert_reports,
+    "insert_refusals": insert_refusals,
     "processing_time_text": processing_time_text,
     "user_ids": user_ids,
     **records.QUERIES,

@@ -4,6 +4,7 @@ import glob
 import os
 import time
 from datetime import datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType
 from sluiceway.plans.insert_and_read import insert_and_read
 from sluiceway.queries.inputs import new_table
 from sluiceway.schemas import MESSAGE, NAME_ROW
+from sluiceway.sinks.admission import judged, takes_all
 from sluiceway.sinks.tables import append_rows, insert_rows
 from sluiceway.sinks.topics import publish
 from sluiceway.sources.tables import scan_table
@@ -106,6 +108,70 @@ def test_rows_refused_by_a_type_are_reported(spark, folder, kind, value):
     assert scan_table(spark, table).count() == 0
 
 
+def test_each_refused_row_has_its_reasons(spark, folder):
+    schema = "name varchar(3), code char(2), number tinyint, price decimal(4,1), parts array<int>"
+    table = new_table(spark, folder, "small", StructType.fromDDL(schema))
+    given = "id int, name string, code string, number int, price decimal(9,2), parts array<bigint>"
+    rows = spark.createDataFrame(
+        [
+            (0, "abc", "xy", 127, Decimal("999.94"), [1]),
+            (1, "abcd", "xy", 128, Decimal("1.0"), []),
+            (2, "abc   ", "x", -129, None, None),
+            (3, None, "xyz", None, Decimal("9999.9"), [2**40]),
+            (4, "äöü", None, 0, Decimal("0"), [None, 2]),
+        ],
+        given,
+    )
+    report = insert_rows(rows.drop("id"), table)
+    assert report.has_errors and report.rows == 0 and scan_table(spark, table).count() == 0
+    found = {(r.name, r.code): [tuple(x) for x in r["_refusals"]] for r in report.refused.collect()}
+    assert found == {
+        ("abcd", "xy"): [("name", "longer than varchar(3)"), ("number", "out of the range of tinyint")],
+        ("abc   ", "x"): [("number", "out of the range of tinyint")],
+        (None, "xyz"): [
+            ("code", "longer than char(2)"),
+            ("price", "out of the range of decimal(4,1)"),
+            ("parts", "out of the range of array<int>"),
+        ],
+    }
+    assert report.reasons[("number", "out of the range of tinyint")] == 2
+    report.release()
+    skipping, stored = insert_and_read(spark, table, rows.drop("id"), skip_refused=True)
+    assert (skipping.rows, skipping.has_errors) == (2, True)
+    assert sorted(r.name for r in stored.collect()) == ["abc", "äöü"]
+    assert sum(skipping.reasons.values()) == 6
+    skipping.release()
+
+
+def test_rows_are_evaluated_once(spark, folder):
+    """Also where some are refused, so that random ids are reported as they were judged."""
+    table = new_table(spark, folder, "small", StructType.fromDDL("name varchar(3), number int"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(n):
+        seen.add(1)
+        return n
+
+    counted = F.udf(count, "bigint").asNondeterministic()
+    rows = spark.range(50, numPartitions=2).select(F.lit("x").alias("name"), counted("id").alias("number"))
+    assert insert_rows(rows, table).rows == 50
+    assert seen.value == 50
+    big = spark.range(50, numPartitions=2).select(F.lit("x").alias("name"), (counted("id") * 10**8).alias("number"))
+    report = insert_rows(big, table, skip_refused=True)
+    assert report.rows == 22 and report.refused.count() == 28
+    assert seen.value == 100
+
+
+def test_required_columns(spark):
+    schema = StructType.fromDDL("a int not null, b string not null, c string")
+    rows = spark.createDataFrame([(1, None), (None, "x")], "a int, c string")
+    told = [[tuple(x) for x in r["_refusals"]] for r in judged(rows, schema).orderBy(F.desc_nulls_last("a")).collect()]
+    required = "NULL in a required column"
+    assert told == [[("b", required)], [("a", required), ("b", required)]]
+    assert not takes_all(rows, schema)
+    assert takes_all(rows, StructType.fromDDL("A int, C string, d int"))
+
+
 @pytest.mark.parametrize(
     "expression", ["string(1 / (id - id))", "string(cast('x' AS int))", "string(cast('x' AS timestamp))"]
 )
