@@ -9,6 +9,16 @@ def processing_time(given: Column | None = None) -> Column:
     return F.current_timestamp() if given is None else given
 
 
+def element_time() -> Column:
+    """The time at which each row is made, by the clock of the JVM that makes it.
+
+    For ``processing_time`` of jobs that need more than one value per micro-batch. It costs a
+    method call by reflection for each row, and unlike a literal it is no part of generated code.
+    """
+    now = F.reflect(F.lit("java.time.Instant"), F.lit("now"))
+    return now.cast("timestamp")
+
+
 def instant_text(time: Column) -> Column:
     """A timestamp as ISO-8601 text in UTC, with 0, 3 or 6 digits of second fraction.
 

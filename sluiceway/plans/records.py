@@ -29,6 +29,7 @@ def ingest_records(
     processing_time: Column | None = None,
     trigger: Mapping | None = None,
     malformed_table: str | None = None,
+    ledger: str | None = None,
     **read_options,
 ) -> StreamingQuery:
     """Append the records in the messages of a subscription, and ``timestamp``, to a table."""
@@ -40,6 +41,7 @@ def ingest_records(
         processing_time=processing_time,
         trigger=trigger,
         malformed_table=malformed_table,
+        ledger=ledger,
     )
 
 
@@ -52,6 +54,7 @@ def ingest_record_messages(
     processing_time: Column | None = None,
     trigger: Mapping | None = None,
     malformed_table: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """As :func:`ingest_records`, from any stream of messages.
 
@@ -62,5 +65,5 @@ def ingest_record_messages(
     columns = [F.col("record")]
     if malformed_table:
         columns += ["malformed", F.when(F.col("malformed").isNotNull(), F.col("payload")).alias("payload")]
-    write = append_batch(table, lambda batch: record_rows(batch, processing_time), malformed_table)
+    write = append_batch(table, lambda batch: record_rows(batch, processing_time), malformed_table, ledger)
     return start_writing(decoded.select(*columns), write, checkpoint, trigger)

@@ -50,6 +50,7 @@ def ingest_avro(
     trigger: Mapping | None = None,
     decoder: str = "auto",
     malformed_table: str | None = None,
+    ledger: str | None = None,
     **read_options,
 ) -> StreamingQuery:
     """Append the Avro user messages that become visible after the first start of the job.
@@ -69,7 +70,7 @@ def ingest_avro(
         if start is None:
             everything = read_subscription(spark, topic, ("payload",), **unlimited(read_options))
             decoded, write = _avro_append(
-                everything, table, processing_time, decoder, malformed_table
+                everything, table, processing_time, decoder, malformed_table, ledger
             )
             pass_over_published(decoded, write, checkpoint)
         keep_start(spark, checkpoint, start)
@@ -81,6 +82,7 @@ def ingest_avro(
         trigger=trigger,
         decoder=decoder,
         malformed_table=malformed_table,
+        ledger=ledger,
     )
 
 
@@ -93,13 +95,14 @@ def ingest_avro_messages(
     trigger: Mapping | None = None,
     decoder: str = "auto",
     malformed_table: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Append the Avro user messages of any stream of messages.
 
     A malformed message fails the query, or goes to ``malformed_table`` (``payload, reason,
     timestamp``) if there is one.
     """
-    decoded, write = _avro_append(messages, table, processing_time, decoder, malformed_table)
+    decoded, write = _avro_append(messages, table, processing_time, decoder, malformed_table, ledger)
     return start_writing(decoded, write, checkpoint, trigger)
 
 
@@ -113,6 +116,7 @@ def ingest_protobuf(
     trigger: Mapping | None = None,
     decoder: str = "auto",
     malformed_table: str | None = None,
+    ledger: str | None = None,
     **read_options,
 ) -> StreamingQuery:
     """Append the Protobuf user messages of a subscription."""
@@ -124,6 +128,7 @@ def ingest_protobuf(
         trigger=trigger,
         decoder=decoder,
         malformed_table=malformed_table,
+        ledger=ledger,
     )
 
 
@@ -136,18 +141,19 @@ def ingest_protobuf_messages(
     trigger: Mapping | None = None,
     decoder: str = "auto",
     malformed_table: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Append the Protobuf user messages of any stream, as :func:`ingest_avro_messages`."""
     decoded = _decoded(messages, decode_protobuf, decoder, malformed_table)
     write = append_batch(
-        table, lambda batch: protobuf_rows(batch, processing_time), malformed_table
+        table, lambda batch: protobuf_rows(batch, processing_time), malformed_table, ledger
     )
     return start_writing(decoded, write, checkpoint, trigger)
 
 
-def _avro_append(messages, table, processing_time, decoder, malformed_table):
+def _avro_append(messages, table, processing_time, decoder, malformed_table, ledger):
     decoded = _decoded(messages, decode_avro, decoder, malformed_table)
-    write = append_batch(table, lambda batch: avro_rows(batch, processing_time), malformed_table)
+    write = append_batch(table, lambda batch: avro_rows(batch, processing_time), malformed_table, ledger)
     return decoded, write
 
 

@@ -204,4 +204,35 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_log_from_now": f"""
         SELECT *, '{FIXED_TIME_TEXT}' AS timestamp FROM ({_USERS})
         WHERE CAST(id AS BIGINT) % 2 <> 0""",
+    "route_accounting": f"""
+        WITH words AS (
+            SELECT name FROM ({_NAMES})
+            UNION ALL
+            SELECT CASE WHEN word <> '' THEN left(word, length(word) - 1) END FROM ({_DOCUMENT_WORDS})
+        ), fates AS (
+            SELECT CASE WHEN name IS NULL THEN 'malformed' WHEN NOT ({_SHORT}) THEN 'rejected'
+                        WHEN starts_with(name, 'A') THEN 'a' WHEN starts_with(name, 'B') THEN 'b'
+                        ELSE 'unrouted' END AS fate
+            FROM words
+        )
+        SELECT what, n FROM (
+            UNPIVOT (SELECT count(*) AS messages, count(*) FILTER (fate = 'a') AS a,
+                            count(*) FILTER (fate = 'b') AS b,
+                            count(*) FILTER (fate = 'rejected') AS rejected,
+                            count(*) FILTER (fate = 'unrouted') AS unrouted,
+                            count(*) FILTER (fate = 'malformed') AS malformed,
+                            count(*) FILTER (fate = 'a') AS "stored a",
+                            count(*) FILTER (fate = 'b') AS "stored b",
+                            count(*) FILTER (fate = 'malformed') AS "stored malformed" FROM fates)
+            ON COLUMNS(*) INTO NAME what VALUE n)""",
+    "redelivered_once": "SELECT CAST(event_id AS VARCHAR) AS message_id, event_type FROM events",
+    "element_times": """
+        SELECT l_returnflag, count(*) AS rows, true AS many_times, true AS are_now
+        FROM lineitem GROUP BY l_returnflag""",
+    "route_replayed_once": f"""
+        SELECT name, '{FIXED_TIME_TEXT}' AS timestamp,
+               CASE route WHEN 'A' THEN 'a_names' ELSE 'b_names' END AS sink
+        FROM ({_ROUTED})""",
+    "published_stream": """
+        SELECT event_type, count(*) AS messages, count(*) AS ids FROM events GROUP BY event_type""",
 }

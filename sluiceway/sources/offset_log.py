@@ -83,12 +83,24 @@ class PublicationLog:
                 low += step
         return low
 
+    def entered(self, folder: str) -> bool:
+        """Whether a publication is in the log, by the mark that is set before its entry. Only
+        where there is a mark, which is so after a failure, are entries looked at, latest first."""
+        if self.files.get_file_info(self._mark(folder)).type == pfs.FileType.NotFound:
+            return False
+        return any(self.entry(i)["folder"] == folder for i in range(self.next() - 1, self.first() - 1, -1))
+
+    def _mark(self, folder: str) -> str:
+        return f"{self.base}/{folder}/_entering"
+
     def append(self, folder: str) -> int:
         """Enter a publication whose messages are in a folder of the topic; returns its offset."""
         chosen = pfs.FileSelector(f"{self.base}/{folder}", recursive=True, allow_not_found=True)
         parts = [i for i in self.files.get_file_info(chosen) if i.path.endswith(".parquet")]
         skip = len(self.base) + 1
         entry = {"folder": folder, "files": [[i.path[skip:], i.size] for i in sorted(parts, key=lambda i: i.path)]}
+        if parts:
+            self.files.open_output_stream(self._mark(folder)).close()
         made = f"{self.folder}/_new-{uuid.uuid4().hex}"
         with self.files.open_output_stream(made) as out:
             out.write(json.dumps(entry).encode())

@@ -35,6 +35,19 @@ def as_messages(
     return stream.select(*columns)
 
 
+def once_within(messages: DataFrame, bound: str) -> DataFrame:
+    """A stream without repeated deliveries: of messages with the same id whose publish times are
+    less than ``bound`` apart (such as ``"10 minutes"``), the first to come stays.
+
+    Ids are kept as state, dealt by id, until the watermark, the latest publish time less the
+    bound, has passed theirs; so the state is bounded by the ids of that time. A message without
+    an id or a time is dropped by no rule and passes: such rows are set apart before.
+    """
+    keyed = F.col("message_id").isNotNull() & F.col("publish_time").isNotNull()
+    first = messages.where(keyed).withWatermark("publish_time", bound)
+    return first.dropDuplicatesWithinWatermark(["message_id"]).unionByName(messages.where(~keyed))
+
+
 def _last_of_each_key(entries: Column) -> Column:
     texts = F.transform(
         entries,

@@ -1,6 +1,7 @@
 """Write a stream micro-batch by micro-batch: to existing tables, or to a folder.
 
-Tables get every row at least once: a micro-batch that failed half way is appended again.
+Tables get every row at least once: a micro-batch that failed half way is appended again. With a
+``ledger``, a folder to keep account in, they get it once, see :mod:`sluiceway.streaming.ledger`.
 In a folder a repeated micro-batch replaces its first attempt. Malformed messages may go to a
 table of their own, in the same micro-batch.
 
@@ -20,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sluiceway.operators.names import take_route
 from sluiceway.sinks.tables import append_rows
+from sluiceway.streaming.ledger import Ledger
 
 ToRows = Callable[[DataFrame], DataFrame]
 
@@ -31,28 +33,45 @@ def append_stream(
     trigger: Mapping | None = None,
     to_rows: ToRows = lambda batch: batch,
     malformed_table: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Append every micro-batch to one table. Returns the running query.
 
     With a ``malformed_table``, rows whose column ``malformed`` is not NULL go there.
     """
-    return start_writing(stream, append_batch(table, to_rows, malformed_table), checkpoint, trigger)
+    write = append_batch(table, to_rows, malformed_table, ledger)
+    return start_writing(stream, write, checkpoint, trigger)
 
 
 def append_batch(
-    table: str, to_rows: ToRows, malformed_table: str | None
+    table: str, to_rows: ToRows, malformed_table: str | None, ledger: str | None = None
 ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
+        append = appender(batch, batch_id, ledger)
         if malformed_table is None:
-            append_rows(to_rows(batch), table)
+            append(to_rows(batch), table)
             return
         with _kept(batch):
-            append_rows(to_rows(batch.where("malformed IS NULL")), table)
-            append_rows(malformed_rows(batch), malformed_table)
+            append(to_rows(batch.where("malformed IS NULL")), table)
+            append(malformed_rows(batch), malformed_table)
 
     return write
 
 
+def appender(batch: DataFrame, batch_id: int, ledger: str | None) -> Callable[[DataFrame, str], None]:
+    """How the rows of a micro-batch are appended to a table."""
+    if ledger is None:
+        return append_rows
+    account = Ledger(batch.sparkSession, ledger)
+    query = query_id(batch)
+    return lambda rows, table: account.append(rows, table, query, batch_id)
+
+
+def query_id(batch: DataFrame) -> str:
+    """The id of the query that a micro-batch belongs to, the same after a restart."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def pass_over_published(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str
 ) -> None:
@@ -94,6 +113,7 @@ def append_routes(
     trigger: Mapping | None = None,
     to_rows: ToRows = lambda batch: batch,
     malformed_table: str | None = None,
+    ledger: str | None = None,
 ) -> StreamingQuery:
     """Append the rows of each ``route`` to its own table, reading the source once.
 
@@ -102,11 +122,12 @@ def append_routes(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        append = appender(batch, batch_id, ledger)
         with _kept(batch):
             for route, table in tables.items():
-                append_rows(to_rows(take_route(batch, route)), table)
+                append(to_rows(take_route(batch, route)), table)
             if malformed_table is not None:
-                append_rows(malformed_rows(batch), malformed_table)
+                append(malformed_rows(batch), malformed_table)
 
     return start_writing(routed, write, checkpoint, trigger)
 
@@ -117,18 +138,27 @@ def write_routes(
     checkpoint: str,
     trigger: Mapping | None = None,
     to_rows: ToRows = lambda batch: batch,
+    malformed_table: str | None = None,
 ) -> StreamingQuery:
     """Write every micro-batch to files of its own, in a folder for each ``route``.
 
     Rows are in ``route=…/query_id=…/batch_id=…``. A repeated micro-batch overwrites its own
     files only; another checkpoint, whose batches count from 0 again, has another query id.
-    All routes are written in one pass, so nothing is persisted.
+    All routes are written in one pass, so nothing is persisted unless malformed messages go to
+    a table of their own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if malformed_table is None:
+            write_routed(batch, batch_id)
+            return
+        with _kept(batch):
+            write_routed(batch.where("malformed IS NULL"), batch_id)
+            append_rows(malformed_rows(batch), malformed_table)
+
+    def write_routed(batch: DataFrame, batch_id: int) -> None:
         rows = to_rows(batch).withColumns(
-            {"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("bigint")}
+            {"query_id": F.lit(query_id(batch)), "batch_id": F.lit(batch_id).cast("bigint")}
         )
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("route", "query_id", "batch_id").parquet(folder)
