@@ -1,34 +1,42 @@
 """Mix sources to target weights by weighted fair queueing.
 
 The documents of a source queue up in shuffled order, over as many rounds as the source may
-repeat. A document's virtual start and finish times are the words its source has queued
-before and after it, divided by the source's target. The queues are served in the order of
-finish times until the total budget is used up. As the targets add up to the budget, that is
-at time 1, when every source has been served its target, so what is taken follows from each
-source's own queue, and :func:`mix_sources` does not sort the schedule over all sources.
-:func:`mixing_schedule` sorts what is taken so by finish time, for a look at it. The one document of each source that is being served at
-that moment counts with the words served so far.
-
-Running sums are taken in two levels, so a source with a third of all rows is no single
-task. Nothing but one row per source goes through a single window.
-
-Defined results: the shuffled order is that of ``md5(id)``, with ties by id and size, so
+repeat. A document's virtual finish time is the words that its source has queued up to its end,
+divided by the source's target. All queues are put in one order of finish times, sorted by
+ranges over the whole cluster, and served until the total budget is used up: a running sum in
+two levels, of whole ranges and within each, tells where that is.
+
+Service is fluid: the document that a source is being served when its target is reached is queued
+in two pieces, up to there and from there on. As the targets add up to the budget, the pieces
+that end by virtual time 1 use it up, so each source misses its target by less than a word. No
+document is cut in text; ``taken`` tells how many of its words count.
+
+1. Words are counted once. Small rows of id, hash of the text, source and size are kept; texts
+   go through no sort and no window.
+2. Queues are running sums of sizes in two levels, too, so a source with a third of all rows is
+   no single task. Nothing but one row per source goes through a single window.
+3. The schedule holds the pieces that begin by virtual time 1, some rounds of small rows.
+4. Where other columns are wanted, documents meet what is taken of them by id and hash.
+
+Defined results: the shuffled order is that of ``md5(id)``, with ties by id, size and hash, so
 reruns agree; a NULL id is hashed as the empty text. A NULL text has size 0. A NULL source
 is a source of its own, last in order. Documents of size 0 are taken 0 times their size.
-Repeated rows are documents of their own. If all sizes are 0 all targets are 0. An empty
-table gives an empty result. Only id, text and source are read; other columns may have any
-name.
+Repeated rows are documents of their own. If all sizes are 0 all targets are 0. A very long text
+is one small row. An empty table gives an empty result. Only id, text and source are read; other
+columns may have any name.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sluiceway.llm.frames import col
+from sluiceway.llm.frames import Scratch, col
 from sluiceway.llm.prefix_sums import running_sum
 
-#: The shuffled order of a source is cut into ``16 ** BUCKET_DIGITS`` ranges.
-BUCKET_DIGITS = 3
+#: Rows of a source's shuffled order that are summed at once, about.
+ROWS_AT_ONCE = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -68,46 +76,71 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], repeats: int) ->
     return sources.select("source", "source_size", target.alias("target"))
 
 
-def _queues(
-    documents: DataFrame,
-    weights: tuple[int, ...],
-    repeats: int,
-    id_col: str,
-    text_col: str,
-    source_col: str,
-    keep: tuple[str, ...],
-) -> DataFrame:
-    """Every document with its place in the queue of its source and the source's target, and
-    ``copies``: round, finish time and words taken for each time it is queued."""
+def _sizes(documents: DataFrame, scratch: Scratch, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """A small row of each document: ``n`` (unique), ``id, row, source, size, shuffled``."""
+    text = col(text_col).cast("string")
     rows = documents.select(
         col(id_col).alias("id"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("row"),
         col(source_col).cast("string").alias("source"),
-        word_count(col(text_col).cast("string")).alias("size"),
+        word_count(text).alias("size"),
         F.md5(F.coalesce(col(id_col).cast("string"), F.lit(""))).alias("shuffled"),
-        F.struct(F.lit(0).alias("0"), *(col(c) for c in keep)).alias("kept"),
     )
-    targets = source_targets(rows.select("source", "size"), weights, repeats)
-    targets = targets.withColumnRenamed("source", "_told")
-    queued = running_sum(
-        rows,
-        "source",
-        F.substring("shuffled", 1, BUCKET_DIGITS),
-        [F.col("shuffled"), F.col("id"), F.col("size")],
-        "size",
-        "queued",
-    ).join(targets, F.col("source").eqNullSafe(F.col("_told")))
-
-    def copy(number: Column) -> Column:
-        ahead = number * F.col("source_size") + F.col("queued")
-        left = F.floor("target").cast("bigint") - ahead
-        return F.struct(
-            number.alias("round"),
-            F.when(F.col("target") > 0, (ahead + F.col("size")) / F.col("target")).alias("finish"),
-            F.greatest(F.lit(0).cast("bigint"), F.least("size", left)).alias("taken"),
-        )
-
-    rounds = F.sequence(F.lit(0), F.lit(repeats - 1))
-    return queued.withColumn("copies", F.transform(rounds, copy))
+    return scratch.keep(rows.withColumn("n", F.monotonically_increasing_id()), "sizes")
+
+
+def _schedule(sizes: DataFrame, targets: DataFrame, repeats: int, scratch: Scratch) -> DataFrame:
+    """The pieces that begin by virtual time 1, by ``range`` of finish times: ``n, id, source,
+    size, round, finish, words`` and the place in the order."""
+    # Ranges of the shuffled order, as many as keep each one small.
+    digits = max(1, math.ceil(math.log(max(sizes.count(), 1) / ROWS_AT_ONCE, 16)))
+    order = [F.col(c) for c in ("shuffled", "id", "size", "row")]
+    bucket = F.substring("shuffled", 1, digits)
+    queued = running_sum(sizes, "source", bucket, order, "size", "queued")
+    queued = queued.join(
+        targets.withColumnRenamed("source", "_told"), F.col("source").eqNullSafe(F.col("_told"))
+    )
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("round")
+    queued = queued.where("size > 0").select("*", rounds)
+    ahead = F.col("round") * F.col("source_size") + F.col("queued")
+    whole = F.floor("target").cast("bigint")
+    queued = queued.withColumn("ahead", ahead).where(F.col("ahead") <= whole)
+    served = F.least(F.col("size"), whole - F.col("ahead"))
+
+    def piece(words: Column, end: Column) -> Column:
+        return F.struct(words.alias("words"), (end / F.col("target")).alias("finish"))
+
+    pieces = F.array(
+        piece(served, F.col("ahead") + served),
+        piece(F.col("size") - served, F.col("ahead") + F.col("size")),
+    )
+    pieces = queued.select("n", "id", "row", "source", "size", "shuffled", "round", F.inline(pieces)).where("words > 0")
+    dealt = pieces.repartitionByRange("finish", *_ORDER).withColumn("range", F.spark_partition_id())
+    return scratch.keep(dealt, "schedule")
+
+
+# What decides among pieces that finish at the same time.
+_ORDER = ("source", "shuffled", "id", "size", "row", "round")
+
+
+def _served(schedule: DataFrame, targets: DataFrame) -> DataFrame:
+    """The schedule with ``taken``: the words of each piece before the budget is used up."""
+    budget = targets.agg(F.sum(F.floor("target")).cast("bigint")).head()[0] or 0
+    everything = schedule.withColumn("_all", F.lit(0))
+    order = [F.col(c) for c in ("finish", *_ORDER)]
+    summed = running_sum(everything, "_all", F.col("range"), order, "words", "before")
+    left = F.greatest(F.lit(0).cast("bigint"), F.lit(budget) - F.col("before"))
+    return summed.withColumn("taken", F.least("words", left)).drop("_all", "before")
+
+
+def _mixed(
+    documents: DataFrame, weights: tuple[int, ...], repeats: int, id_col: str, text_col: str, source_col: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sizes, targets, and the served schedule."""
+    scratch = Scratch(documents.sparkSession)
+    sizes = _sizes(documents, scratch, id_col, text_col, source_col)
+    targets = scratch.keep(source_targets(sizes.select("source", "size"), weights, repeats), "targets")
+    return sizes, targets, _served(_schedule(sizes, targets, repeats, scratch), targets)
 
 
 def mixing_schedule(
@@ -117,14 +150,11 @@ def mixing_schedule(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The copies that the mix takes, in the order of service: ``id, source, size, round,
-    finish, taken`` and the columns to ``keep`` in a struct ``kept``."""
-    queues = _queues(documents, weights, repeats, id_col, text_col, source_col, keep)
-    served = queues.select("id", "source", "size", F.explode("copies").alias("copy"), "kept")
-    served = served.select("id", "source", "size", "copy.*", "kept").where("taken > 0")
-    return served.orderBy("finish", "source", "id")
+    """What the mix takes in the order of service: ``id, source, size, round, finish, taken``."""
+    _, _, served = _mixed(documents, weights, repeats, id_col, text_col, source_col)
+    served = served.where("taken > 0").orderBy("finish", *_ORDER)
+    return served.select("id", "source", "size", "round", "finish", "taken")
 
 
 def mix_sources(
@@ -138,13 +168,34 @@ def mix_sources(
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of every document, and the columns to
     ``keep`` in a struct ``kept``: what :func:`mixing_schedule` takes of it in all rounds."""
-    queues = _queues(documents, weights, repeats, id_col, text_col, source_col, keep)
-    taken = F.aggregate(
-        "copies", F.lit(0).cast("bigint"), lambda total, copy: total + copy["taken"]
+    sizes, targets, served = _mixed(documents, weights, repeats, id_col, text_col, source_col)
+    taken = served.groupBy(F.col("n").alias("_n")).agg(F.sum("taken").alias("taken"))
+    rows = sizes.join(taken, F.col("n") == F.col("_n"), "left")
+    rows = rows.join(targets.withColumnRenamed("source", "_told"), F.col("source").eqNullSafe(F.col("_told")))
+    rows = rows.withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint")))
+    report = ["size", "source_size", "target", "taken"]
+    nothing = F.lit(0).alias("0")
+    if not keep:
+        return rows.select(F.col("id").alias("doc_id"), *report, F.struct(nothing).alias("kept"))
+    # Rows with the same id, text and source share what is taken of them, in any order.
+    key = ["_id", "_row", "_source"]
+    shares = rows.select(
+        F.col("id").alias("_i"), F.col("row").alias("_r"), F.col("source").alias("_s"),
+        F.struct("taken", "size", "source_size", "target").alias("share"),
     )
-    return queues.select(
-        F.col("id").alias("doc_id"), "size", "source_size", "target", taken.alias("taken"), "kept"
+    shares = shares.groupBy("_i", "_r", "_s").agg(F.sort_array(F.collect_list("share")).alias("shares"))
+    text = F.coalesce(col(text_col).cast("string"), F.lit(""))
+    kept = documents.select(
+        col(id_col).alias("_id"),
+        F.xxhash64(text).alias("_row"),
+        col(source_col).cast("string").alias("_source"),
+        F.struct(nothing, *(col(c) for c in keep)).alias("kept"),
     )
+    same = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(key, ("_i", "_r", "_s"))]
+    both = kept.join(shares, same[0] & same[1] & same[2])
+    nth = F.row_number().over(W.partitionBy(*key).orderBy("_row"))
+    both = both.withColumn("share", F.element_at("shares", nth))
+    return both.select(F.col("_id").alias("doc_id"), *(f"share.{c}" for c in report), "kept")
 
 
 MIX_SQL = r"""

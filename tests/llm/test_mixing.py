@@ -1,7 +1,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+import sluiceway.llm.mixing as mixing
 from sluiceway.llm.mixing import mix_sources, mixing_schedule
 from sluiceway.llm.prefix_sums import running_sum
 from tests.llm.conftest import collected
@@ -93,13 +95,24 @@ def test_schedule_serves_in_order_of_finish(texts):
     mixed = {r["doc_id"]: r["taken"] for r in mix_sources(texts(rows)).collect() if r["taken"]}
     assert total == mixed
     assert {r["round"] for r in served} == {0, 1, 2}
+    # Sorted over all sources, and truncated where the budget is used up, at virtual time 1.
+    budget = sum(int(t) for t in targets({"a": 50, "b": 3, "c": 18}).values())
+    assert sum(r["taken"] for r in served) == budget and finish[-1] <= 1
+
+
+def test_repeated_rows_keep_their_columns(spark, texts, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_AT_ONCE", 3)
+    rows = [(1, "a b c", "s")] * 4 + [(2, "d e", "s"), (None, "f", None), (None, "f", None)]
+    frame = texts(rows).withColumn("size", F.monotonically_increasing_id())
+    found = mix_sources(frame, keep=("doc_id", "size", "text")).collect()
+    assert len(found) == 7 and len({r["kept"]["size"] for r in found}) == 7
+    assert sorted(r["taken"] for r in found) == sorted(r["taken"] for r in mix_sources(texts(rows)).collect())
+    assert all(r["size"] == len(r["kept"]["text"].split()) for r in found)
 
 
 def test_running_sum_over_buckets(spark):
     rows = spark.range(200).selectExpr("id", "id % 3 AS g", "id % 7 AS v")
     rows = rows.selectExpr("id", "nullif(g, 2) AS g", "v")
-    from pyspark.sql import functions as F
-
     found = running_sum(rows, "g", F.floor(F.col("id") / 10), [F.col("id")], "v", "before").collect()
     before = {}
     for r in sorted(found, key=lambda r: r["id"]):
