@@ -21,6 +21,8 @@ repeated rows and NULL ids need no rule. An empty table gives an empty result. O
 named columns are read. Positions are code points from 0, ends exclusive.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,30 +86,60 @@ EVIDENCE = {"digits": ("card", "phone"), "luhn": ("card",), "octets": ("ip",), "
 _SPAN = "array<struct<k:int,s:int,e:int,t:string,b:string,a:string>>"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _larger(x: Column, y: Column) -> Column:
+    return F.greatest(x, y)
+
+
+def _earlier(values: Column, combine: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each place of an array of integers, all values before it combined.
+
+    Each pass combines a place with the one 1, 2, 4, ... places before, so there are as many
+    passes as the array's length has binary digits. A fold with a growing array would copy that
+    array at each place.
+    """
+
+    def passed(done: Column, step: Column) -> Column:
+        return F.transform(
+            done, lambda x, i: F.when(i >= step, combine(x, F.get(done, i - step))).otherwise(x)
+        )
+
+    def all_passes(items: Column) -> Column:
+        steps = F.filter(F.array(*(F.lit(1 << k) for k in range(31))), lambda s: s < F.size(items))
+        return F.aggregate(steps, items, passed)
+
+    def moved(done: Column) -> Column:
+        return F.transform(done, lambda _, i: F.when(i > 0, F.get(done, i - 1)).otherwise(zero))
+
+    values = values.cast("array<int>")
+    return _bound(values, lambda items: _bound(all_passes(items), moved))
+
+
 def _spans(kind: str, name: str) -> Column:
     """Spans from ``<name>_hits`` and ``<name>_parts``: the matches and what is between."""
     hits, parts = F.col(f"{name}_hits"), F.col(f"{name}_parts")
+    sizes = F.zip_with(hits, parts, lambda h, p: F.coalesce(F.length(h) + F.length(p), F.lit(0)))
+    before = _earlier(sizes, lambda x, y: x + y, F.lit(0))
     after = F.slice(parts, F.lit(2), F.greatest(F.size(parts), F.lit(1)))
-    zipped = F.arrays_zip(hits, parts, after).cast("array<struct<h:string,p:string,n:string>>")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    zipped = F.arrays_zip(hits, parts, after, before)
+    zipped = zipped.cast("array<struct<h:string,p:string,n:string,at:int>>")
 
-    def add(state: Column, x: Column) -> Column:
-        first = state["at"] + F.length(x["p"])
-        last = first + F.length(x["h"])
-        span = F.struct(
+    def span(x: Column) -> Column:
+        first = x["at"] + F.length(x["p"])
+        return F.struct(
             F.lit(KINDS.index(kind)).alias("k"),
             first.alias("s"),
-            last.alias("e"),
+            (first + F.length(x["h"])).alias("e"),
             x["h"].alias("t"),
             F.substring(x["p"], -20, 20).alias("b"),
             F.substring(F.coalesce(x["n"], F.lit("")), 1, 1).alias("a"),
         )
-        return F.when(
-            x["h"].isNotNull(),
-            F.struct(last.alias("at"), F.concat(state["out"], F.array(span)).alias("out")),
-        ).otherwise(state)
 
-    return F.aggregate(zipped, start, add, lambda state: state["out"])
+    return F.transform(F.filter(zipped, lambda x: x["h"].isNotNull()), span)
 
 
 def _digits(text: Column) -> Column:
@@ -231,24 +263,41 @@ def _with_spans(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _outside(spans: str, base: str) -> Column:
-    """Spans that are not inside (or equal to) a base span, in one pass in order of start."""
+    """Spans that are not inside (or equal to) a base span, by the furthest end of those that
+    begin no later."""
 
     def keyed(rank: int):
         return lambda s: F.struct(s["s"], F.lit(rank).alias("rank"), *(s[f] for f in "ektba"))
 
     ordered = F.array_sort(F.concat(F.transform(base, keyed(0)), F.transform(spans, keyed(1))))
-    start = F.struct(F.lit(-1).alias("reach"), F.array().cast(_SPAN).alias("out"))
-
-    def add(state: Column, s: Column) -> Column:
-        reached = F.struct(F.greatest(state["reach"], s["e"]).alias("reach"), state["out"])
-        kept = F.concat(state["out"], F.array(F.struct(*(s[f] for f in "ksetba"))))
-        return (
-            F.when(s["rank"] == 0, reached)
-            .when(s["e"] <= state["reach"], state)
-            .otherwise(F.struct(state["reach"], kept.alias("out")))
+
+    def beyond(ordered: Column) -> Column:
+        ends = F.transform(ordered, lambda s: F.when(s["rank"] == 0, s["e"]).otherwise(-1))
+        kept = F.filter(
+            F.arrays_zip(ordered.alias("span"), _earlier(ends, _larger, F.lit(-1)).alias("reach")),
+            lambda x: (x["span"]["rank"] == 1) & (x["span"]["e"] > x["reach"]),
         )
+        return F.transform(kept, lambda x: F.struct(*(x["span"][f] for f in "ksetba")))
 
-    return F.aggregate(ordered, start, add, lambda state: state["out"])
+    return _bound(ordered, beyond).cast(_SPAN)
+
+
+def _widest(spans: str) -> Column:
+    """Of nested redactions the widest, of equal ones the likeliest, then the first kind."""
+    keyed = F.transform(
+        spans,
+        lambda c: F.struct(
+            c["s"].alias("s"), (-c["e"]).alias("back"), (-c["p"]).alias("unlikely"), *(c[f] for f in "ketp")
+        ),
+    )
+
+    def outermost(ordered: Column) -> Column:
+        reach = _earlier(F.transform(ordered, lambda c: c["e"]), _larger, F.lit(-1))
+        zipped = F.arrays_zip(ordered.alias("span"), reach.alias("reach"))
+        kept = F.filter(zipped, lambda x: x["span"]["e"] > x["reach"])
+        return F.transform(kept, lambda x: F.struct(*(x["span"][f] for f in "ksetp")))
+
+    return _bound(F.array_sort(keyed), outermost)
 
 
 class SpanModel:
@@ -316,11 +365,6 @@ def find_personal_data(
         "x -> x.p >= x.least)"
     )
     rows = rows.select("doc_id", "base", F.expr(scored).alias("more"))
-    # Of nested redactions the widest is enough; of equal ones of two kinds, the likelier.
-    widest = F.expr(
-        "filter(more, c -> NOT exists(more, o -> o.s <= c.s AND c.e <= o.e AND "
-        "(o.s < c.s OR c.e < o.e OR o.p > c.p OR (o.p = c.p AND o.k < c.k))))"
-    )
     names = F.array(*map(F.lit, KINDS))
 
     def named(span: Column, *others: Column) -> Column:
@@ -335,7 +379,7 @@ def find_personal_data(
     return rows.select(
         "doc_id",
         F.transform("base", lambda s: named(s)).alias("base"),
-        F.transform(widest, lambda s: named(s, s["p"].alias("probability"))).alias("added"),
+        F.transform(_widest("more"), lambda s: named(s, s["p"].alias("probability"))).alias("added"),
     )
 
 

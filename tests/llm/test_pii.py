@@ -1,10 +1,12 @@
 import random
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sluiceway.llm import boosting
-from sluiceway.llm.pii import personal_data_report
+from sluiceway.llm.pii import _earlier, personal_data_report
 from sluiceway.llm.queries import QUERIES
 from tests.llm.brute import KINDS, base_spans, sha
 from tests.llm.conftest import SF_DIR
@@ -143,3 +145,27 @@ def test_threshold_keeps_precision():
     assert boosting.lowest_threshold(p, count, positive, 0.97) == 0.9
     assert boosting.lowest_threshold(p, count, np.zeros(4), 0.5) == 2.0
     assert boosting.lowest_threshold(p[:0], count[:0], positive[:0], 0.5) == 2.0
+
+
+def test_many_spans_in_one_text(spark, texts):
+    """Work follows the spans of a text: a server log of addresses, and candidates of all kinds."""
+    lines = [f"10.{i // 65536}.{i // 256 % 256}.{i % 256} GET /x{i}" for i in range(100_000)]
+    log = "\n".join(lines)
+    started = time.perf_counter()
+    found = personal_data_report(texts([(1, log), (2, "a@b.cd")]).coalesce(1)).collect()
+    assert time.perf_counter() - started < 20
+    by_id = {r["doc_id"]: r for r in found}
+    assert by_id[1]["n_ip"] == 100_000
+    starts = np.cumsum([0] + [len(x) + 1 for x in lines[:-1]])
+    listed = ",".join(f"ip:{s}:{s + x.index(' ')}" for s, x in zip(starts.tolist(), lines))
+    assert by_id[1]["base_sha256"] == sha(listed)
+
+
+def test_values_before_each_place(spark):
+    rows = [(i, [random.Random(i).randrange(-5, 50) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 63, 64, 65, 200, 9000])]
+    frame = spark.createDataFrame(rows, "i int, v array<int>")
+    sums = _earlier(F.col("v"), lambda x, y: x + y, F.lit(0)).alias("sums")
+    most = _earlier(F.col("v"), lambda x, y: F.greatest(x, y), F.lit(-9)).alias("most")
+    for row in frame.select("i", "v", sums, most).collect():
+        assert row["sums"] == [sum(row["v"][:k]) for k in range(len(row["v"]))][: len(row["v"])]
+        assert row["most"] == np.maximum.accumulate([-9, *row["v"]])[:-1].tolist()
