@@ -74,14 +74,19 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder for one run, under ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of this machine.
+    Only a local session without that setting gets a folder of this machine. The folder and all
+    in it are removed when the driver ends, as results may be read from it until then.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="sluiceway-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared.rstrip('/')}/{uuid.uuid4().hex}")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return path.toString()
 
 
 def set_back(spark: SparkSession, folder: str, days: int) -> None:
