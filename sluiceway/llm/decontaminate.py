@@ -6,18 +6,20 @@ of ``BLOCK_WORDS`` words are rare enough that most positions of a text are skipp
 each pattern length there is a table of shifts, from the last block of the text under the
 pattern to how far the pattern may move; where it may not move, the hash of the pattern's
 suffix selects the patterns that may end here, and their words are compared directly.
+All texts of a batch move on side by side, one look at the table each.
 
-Benchmarks are not bounded, so patterns are taken in chunks of at most ``CHUNK_BYTES`` of
-benchmark text, each broadcast and searched in a pass of its own; one chunk is the rule.
+Tables are numpy arrays, sorted by hash, over one buffer of benchmark text, made once on the
+driver: about 8 bytes of memory for each byte of benchmark text, measured. Benchmarks are not
+bounded, so patterns are taken in chunks of at most ``CHUNK_BYTES`` of text, each broadcast and
+searched in a pass of its own whose result is kept before the next; one chunk is the rule.
 
 Defined results: NULL, empty and wordless texts have no words, and as items no windows. An
 item with a NULL id is ignored; ids are compared as strings, and items that share an id are
 one item with the windows of all. Documents are independent of each other and each row gets
 a result, so ties, repeated rows and NULL ids need no rule. Empty tables give an empty
-result, or documents without hits. Other columns may have any name.
+result, or documents without hits. Very long texts are searched whole. Other columns may have any name.
 """
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,56 +28,135 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluiceway.llm.frames import Scratch, col, fresh, text_bytes, text_groups, worker_cache
+from sluiceway.llm.frames import Scratch, col, fresh, text_bytes, text_groups
 from sluiceway.llm.words import Words, letters_and_digits, lower_ascii, mix, words_of
 
 BLOCK_WORDS = 3
 #: Benchmark text whose patterns are broadcast at once.
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
+#: Pairs of a place and a pattern that are compared at once.
+PAIRS_AT_ONCE = 1 << 18
 
 
 class Patterns:
-    """Shift tables and suffix buckets of all windows, by their number of words."""
+    """The words of all items, and a :class:`Table` for each length that windows have."""
 
     def __init__(self, items: list[tuple[str, str]], window: int):
-        self.by_length: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
+        self.ids = sorted({i for i, _ in items})
+        number = {i: k for k, i in enumerate(self.ids)}
         texts = pa.array([text for _, text in items], pa.large_string())
-        for at, group in text_groups(texts):
+        buffers, hashes, starts, stops, firsts = [], [], [], [], [np.zeros(1, np.int64)]
+        size = count = 0
+        for _, group in text_groups(texts):
             data, offsets = text_bytes(group)
             words = words_of(data, offsets, letters_and_digits())
-            low = lower_ascii()[data]
-            for i in range(len(group)):
-                first, last = int(words.first[i]), int(words.first[i + 1])
-                length = min(window, last - first)
-                for k in range(first, last - length + 1 if length else first):
-                    phrase = _phrase(low, words, k, k + length)
-                    self.by_length[length][phrase].add(items[at + i][0])
-        self.tables = {n: _table(phrases, n) for n, phrases in self.by_length.items()}
-
-    def find(self, low: np.ndarray, words: Words, first: int, last: int):
-        """Places ``(first word, length, item ids)`` of windows among some words of a text."""
-        for length, (block, shifts, suffixes) in self.tables.items():
-            if last - first < length:
-                continue
-            blocks = _blocks(words.hashes[first:last], block).tolist()
-            default = length - block + 1
-            shift_of = shifts.get
-            # ``at`` is the block at the end of the window under test.
-            at, stop = length - block, last - first - block + 1
-            while at < stop:
-                shift = shift_of(blocks[at], default)
-                if shift:
-                    at += shift
-                    continue
-                begin = first + at + block - length
-                phrase = _phrase(low, words, begin, begin + length)
-                for pattern in suffixes[blocks[at]]:
-                    if pattern == phrase:
-                        yield begin, length, self.by_length[length][pattern]
-                at += 1
-
-
-def _phrase(low: np.ndarray, words: Words, first: int, last: int) -> bytes:
+            buffers.append(lower_ascii()[data])
+            hashes.append(words.hashes)
+            starts.append(words.start + size)
+            stops.append(words.stop + size)
+            firsts.append(words.first[1:] + count)
+            size, count = size + len(data), count + len(words.hashes)
+
+        def joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+            return np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+
+        self.low, self.hashes = joined(buffers, np.uint8), joined(hashes, np.uint64)
+        self.start, self.stop = joined(starts, np.int32), joined(stops, np.int32)
+        first = np.concatenate(firsts)
+        own = np.array([number[i] for i, _ in items], np.int32)
+        lengths = np.minimum(np.diff(first), window)
+        self.tables = [
+            Table(self, n, first[:-1][lengths == n], first[1:][lengths == n], own[lengths == n])
+            for n in np.unique(lengths[lengths > 0]).tolist()
+        ]
+
+    def bytes(self) -> int:
+        """Memory of the arrays."""
+        arrays = [self.low, self.hashes, self.start, self.stop]
+        arrays += [x for t in self.tables for x in (t.blocks, t.shifts, t.suffixes, t.begins, t.items)]
+        return sum(x.nbytes for x in arrays)
+
+    def find(self, low: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The first word, the length and the item of each window in the texts of ``words``."""
+        found = [part for table in self.tables for part in table.find(self, low, words)]
+        if not found:
+            return (np.zeros(0, np.int64),) * 3
+        return tuple(np.concatenate(columns) for columns in zip(*found))
+
+
+class Table:
+    """Shifts by block and windows by the hash of their last block, for windows of one length.
+
+    Items are the words from ``first`` to ``last``, each with its number in ``item``.
+    """
+
+    def __init__(self, patterns: Patterns, length: int, first: np.ndarray, last: np.ndarray, item: np.ndarray):
+        self.length, self.block = length, min(BLOCK_WORDS, length)
+        hashes = _blocks(patterns.hashes, self.block)
+        reach = length - self.block
+        # A block after the first windows' worth of an item ends some window: shift 0. An earlier
+        # one is in the item's first window, and as far from its end.
+        counts = last - first - self.block + 1
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        at = np.repeat(first, counts) + nth
+        value, shift = hashes[at], np.maximum(reach - nth, 0).astype(np.uint8)
+        order = np.lexsort((shift, value))
+        value, shift = value[order], shift[order]
+        fresh_ = np.ones(len(value), bool)
+        fresh_[1:] = value[1:] != value[:-1]
+        self.blocks, self.shifts = value[fresh_], shift[fresh_]
+        counts = last - first - length + 1
+        nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        begin, item = np.repeat(first, counts) + nth, np.repeat(item, counts)
+        # A window that an item has several times is one pattern.
+        whole = _blocks(patterns.hashes, length)[begin]
+        suffix = hashes[begin + reach]
+        order = np.lexsort((item, whole, suffix))
+        once = np.ones(len(order), bool)
+        once[1:] = (np.diff(whole[order]) != 0) | (np.diff(item[order]) != 0) | (np.diff(suffix[order]) != 0)
+        order = order[once]
+        self.suffixes, self.begins = suffix[order], begin[order].astype(np.int32)
+        self.items = item[order].astype(np.int32)
+
+    def find(self, patterns: Patterns, low: np.ndarray, words: Words) -> Iterator[tuple[np.ndarray, ...]]:
+        first, last = words.first[:-1], words.first[1:]
+        long = np.flatnonzero(last - first >= self.length)
+        if not len(long):
+            return
+        blocks = _blocks(words.hashes, self.block)
+        reach = self.length - self.block
+        # ``at`` is the block at the end of the window under test, in each text.
+        at, stop = first[long] + reach, last[long] - self.block + 1
+        ends = []
+        while len(at):
+            value = blocks[at]
+            place = np.minimum(np.searchsorted(self.blocks, value), len(self.blocks) - 1)
+            shift = np.where(self.blocks[place] == value, self.shifts[place], reach + 1).astype(np.int64)
+            ends.append(at[shift == 0])
+            at = at + np.maximum(shift, 1)
+            going = at < stop
+            at, stop = at[going], stop[going]
+        end = np.concatenate(ends)
+        low_, high = (np.searchsorted(self.suffixes, blocks[end], side) for side in ("left", "right"))
+        load = np.cumsum(high - low_)
+        cuts = np.searchsorted(load, np.arange(0, load[-1] + 1, PAIRS_AT_ONCE)) if len(load) else []
+        for a, b in zip(cuts, [*cuts[1:], len(end)]):
+            counts = (high - low_)[a:b]
+            nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            pattern = np.repeat(low_[a:b], counts) + nth
+            begin = np.repeat(end[a:b] - reach, counts)
+            for k in range(self.length):
+                same = words.hashes[begin + k] == patterns.hashes[self.begins[pattern] + k]
+                begin, pattern = begin[same], pattern[same]
+            equal = [
+                _phrase(low, words, x, x + self.length) == _phrase(patterns.low, patterns, y, y + self.length)
+                for x, y in zip(begin.tolist(), self.begins[pattern].tolist())
+            ]
+            begin, pattern = begin[equal], pattern[equal]
+            yield begin, np.full(len(begin), self.length), self.items[pattern].astype(np.int64)
+
+
+def _phrase(low: np.ndarray, words: Words | Patterns, first: int, last: int) -> bytes:
     """Words as bytes, with a space between."""
     return b" ".join(
         low[a:b].tobytes() for a, b in zip(words.start[first:last], words.stop[first:last])
@@ -84,76 +165,55 @@ def _phrase(low: np.ndarray, words: Words, first: int, last: int) -> bytes:
 
 def _blocks(hashes: np.ndarray, size: int) -> np.ndarray:
     """One hash for each run of ``size`` words."""
-    joined = hashes[: len(hashes) - size + 1].copy()
+    count = max(len(hashes) - size + 1, 0)
+    joined = hashes[:count].copy()
     for k in range(1, size):
         joined *= np.uint64(0x9FB21C651E98DF25)
-        joined += hashes[k : len(hashes) - size + 1 + k]
+        joined += hashes[k : count + k]
     return mix(joined)
 
 
-def _table(phrases: dict[bytes, set[str]], length: int):
-    """Shifts by block, and patterns by the hash of their last block."""
-    block = min(BLOCK_WORDS, length)
-    shifts: dict[int, int] = {}
-    suffixes: dict[int, list[bytes]] = defaultdict(list)
-    for at, group in text_groups(pa.array([p.decode() for p in phrases], pa.large_string())):
-        data, offsets = text_bytes(group)
-        words = words_of(data, offsets, letters_and_digits())
-        for i, phrase in enumerate(group):
-            hashes = _blocks(words.of(i), block).tolist()
-            for place, value in enumerate(hashes):
-                shift = len(hashes) - 1 - place
-                shifts[value] = min(shifts.get(value, length), shift)
-            suffixes[hashes[-1]].append(phrase.as_py().encode())
-    return block, shifts, suffixes
-
-
 _MATCHES = "n_words bigint, hits array<struct<a:bigint,b:bigint>>, items array<string>"
 _RUN = pa.struct([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _search(items: list[tuple[str, str]], window: int, spark):
     """A function over Arrow batches with columns ``text`` and any others: these others and
-    the matches. ``hits`` has the first and the last word of each run of hit words."""
-    shared = spark.sparkContext.broadcast(items)
+    the matches. ``hits`` has the first and the last word of each run of hit words. Also the
+    broadcast patterns, to be given up when the function is no longer needed."""
+    shared = spark.sparkContext.broadcast(Patterns(items, window))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
-        key = "patterns", window, hash(tuple(shared.value))
-        if key not in cache:
-            cache.clear()
-            cache[key] = Patterns(shared.value, window)
-        patterns = cache[key]
+        patterns = shared.value
         for batch in batches:
             others = [name for name in batch.schema.names if name != "text"]
             for at, texts in text_groups(batch.column("text")):
                 data, offsets = text_bytes(texts)
                 words = words_of(data, offsets, letters_and_digits())
-                low = lower_ascii()[data]
-                counts, hits, found = np.diff(words.first), [], []
-                for i in range(len(texts)):
-                    first, last = int(words.first[i]), int(words.first[i + 1])
-                    hit = None
-                    ids: set[str] = set()
-                    for begin, length, items_ in patterns.find(low, words, first, last):
-                        if hit is None:
-                            hit = np.zeros(last - first, bool)
-                        hit[begin - first : begin - first + length] = True
-                        ids |= items_
-                    hits.append([] if hit is None else _runs(hit))
-                    found.append(sorted(ids))
+                begin, length, item = patterns.find(lower_ascii()[data], words)
+                edges = np.zeros(len(words.hashes) + 1, np.int32)
+                np.add.at(edges, begin, 1)
+                np.subtract.at(edges, begin + length, 1)
+                hit = np.cumsum(edges[:-1]) > 0
+                text = np.searchsorted(words.first, begin, "right") - 1
+                pairs = np.unique(text * max(len(patterns.ids), 1) + item)
+                hits, found = [[] for _ in range(len(texts))], [[] for _ in range(len(texts))]
+                for pair in pairs.tolist():
+                    found[pair // len(patterns.ids)].append(patterns.ids[pair % len(patterns.ids)])
+                for i in np.unique(text).tolist():
+                    hits[i] = _runs(hit[words.first[i] : words.first[i + 1]])
                 rows = batch.slice(at, len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(rows.column(name) for name in others),
-                        pa.array(counts, pa.int64()),
+                        pa.array(np.diff(words.first), pa.int64()),
                         pa.array(hits, pa.list_(_RUN)),
                         pa.array(found, pa.list_(pa.string())),
                     ],
                     [*others, "n_words", "hits", "items"],
                 )
 
-    return search
+    return search, shared
 
 
 def _runs(hit: np.ndarray) -> list[dict]:
@@ -183,9 +243,8 @@ def benchmark_matches(
     size = items.agg(F.sum(F.octet_length("text") + F.octet_length("id") + 16)).head()[0] or 0
     schema = T.StructType([rows.schema["doc_id"], *T.StructType.fromDDL(_MATCHES)])
     if size <= CHUNK_BYTES:
-        found = rows.mapInArrow(
-            _search([tuple(r) for r in items.collect()], window, spark), schema
-        )
+        search, _ = _search([tuple(r) for r in items.collect()], window, spark)
+        found = rows.mapInArrow(search, schema)
     else:
         found = _in_chunks(rows, items, 1 + 2 * size // CHUNK_BYTES, window, schema)
     zero = F.lit(0).cast("bigint")
@@ -199,14 +258,18 @@ def _in_chunks(rows: DataFrame, items: DataFrame, chunks: int, window: int, sche
     parts = items.withColumn("part", F.pmod(F.xxhash64("id", "text"), F.lit(chunks)))
     keyed = rows.withColumn("row", F.monotonically_increasing_id())
     # The row numbers must be the same in every pass.
-    keyed = Scratch(spark).keep(keyed, "rows")
+    scratch = Scratch(spark)
+    keyed = scratch.keep(keyed, "rows")
     schema = T.StructType([schema["doc_id"], keyed.schema["row"], *schema[1:]])
     passes = None
     for part in range(chunks):
         own = [tuple(r) for r in parts.where(F.col("part") == part).drop("part").collect()]
-        one = keyed.mapInArrow(_search(own, window, spark), schema)
+        search, shared = _search(own, window, spark)
+        one = keyed.mapInArrow(search, schema)
+        # The first pass gives every document its words, later ones what they have found.
+        one = scratch.keep(one if part == 0 else one.where(F.size("items") > 0), f"pass-{part}")
+        shared.unpersist()
         passes = one if passes is None else passes.union(one)
-    # A pass gives every document its words, and few of them hits.
     gathered = passes.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
         F.max("n_words").alias("n_words"),
