@@ -30,10 +30,13 @@ def items(spark):
     return make
 
 
-def test_query(spark, given):
-    docs = [(r["doc_id"], r["text"]) for r in given("documents").collect()]
-    items = [(r["item_id"], r["text"]) for r in given("benchmark").collect()]
-    assert collected(QUERIES["op5_decontaminate"](spark, SF_DIR)) == contamination(docs, items)
+@pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.01"])
+def test_query(spark, sf_dir):
+    tables = (("documents", "doc_id"), ("benchmark", "item_id"))
+    docs, items = (
+        [(r[key], r["text"]) for r in spark.read.parquet(f"{sf_dir}/{name}.parquet").collect()] for name, key in tables
+    )
+    assert collected(QUERIES["op5_decontaminate"](spark, sf_dir)) == contamination(docs, items)
 
 
 @pytest.mark.parametrize("chunk", [32 << 20, 60])

@@ -20,9 +20,29 @@ def near_copies(seed, copies, words, changes, first_id=0):
     return rows
 
 
-def test_query_finds_all_components(spark, given):
-    rows = [(r["doc_id"], r["text"]) for r in given("documents").collect()]
-    assert collected(QUERIES["op2_minhash_forest"](spark, SF_DIR)) == near_duplicates(rows, 2)
+@pytest.mark.parametrize("sf_dir", [SF_DIR, "/root/testdata/sf0.01"])
+def test_query_finds_all_components(spark, sf_dir):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    assert collected(QUERIES["op2_minhash_forest"](spark, sf_dir)) == near_duplicates(rows, 2)
+
+
+def test_single_links_at_the_threshold_in_groups_of_hundreds(texts):
+    """300 pairs of one template, each linked by exactly 0.80 and with no other text.
+
+    The template has 40 words and each pair 51 of its own, so a text has 90 shingles. The second
+    text of a pair has five words changed: 80 shingles of 100 are common to both.
+    """
+    draw = random.Random(9)
+    rows = []
+    for pair in range(300):
+        words = [f"t{i}" for i in range(40)] + [f"p{pair}.{i}" for i in range(51)]
+        rows.append((2 * pair, " ".join(words)))
+        for place in draw.sample(range(41, 89, 2), 5):
+            words[place] = f"c{pair}.{place}"
+        rows.append((2 * pair + 1, " ".join(words)))
+    expected = near_duplicates(rows, 2)
+    assert sum(not r[3] for r in expected) == 300
+    assert collected(forest.minhash_components(texts(rows), shingle=2)) == expected
 
 
 def test_crowded_regions_lose_no_link(texts):
