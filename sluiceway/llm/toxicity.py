@@ -33,9 +33,10 @@ MAX_ROWS = 20_000
 FEATURES = 50_000
 #: Standard errors that a feature's log ratio must be away from 0.
 MIN_STRENGTH = 3.0
-#: The least log ratio, of either sign: about three times as frequent in one class.
-MIN_RATIO = 1.0
-STEPS, PENALTY = 200, 1.0
+#: The least log ratio, of either sign: 1.6 times as frequent in one class. Without it held-out
+#: recall is the same and the fit takes longer, see the README.
+MIN_RATIO = 0.5
+STEPS, PENALTY = 300, 1.0
 #: Features of the sample that a step of the fit works on at once.
 CHUNK = 1 << 20
 
