@@ -14,6 +14,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceway.codecs.avro import compile_avro
+from sluiceway.operators.records import decode_records, encode_records
 from sluiceway.operators.user_messages import (
     decode_avro,
     decode_protobuf,
@@ -24,6 +26,7 @@ from sluiceway.operators.user_messages import (
 from sluiceway.plans.greetings import route_greetings, routed_names
 from sluiceway.plans.user_messages import ingest_avro
 from sluiceway.queries.inputs import new_table, scratch_dir, table
+from sluiceway.queries.records import ORDER_LINE_AVSC, order_lines
 from sluiceway.queries.registry import ALL_AVAILABLE, QUERIES
 from sluiceway.schemas import NAME_ROW, USER_MESSAGE_ROW
 from sluiceway.sinks.topics import publish
@@ -87,7 +90,23 @@ def volume_queries(spark: SparkSession) -> dict:
     bad = F.concat(F.expr("substring(payload, 1, octet_length(payload) - 1)"), F.lit(b"\xff"))
     spoilt = F.when(F.xxhash64("payload") % 100 == 0, bad).otherwise(F.col("payload"))
     avro_bad_text = stored(avro.withColumn("payload", spoilt), "avro_bad_text")
-    return {
+    # Every payload lacks its last byte.
+    cut = F.expr("substring(payload, 1, octet_length(payload) - 1)").alias("payload")
+    cuts = {name: stored(frame.select(cut), f"{name}_cut") for name, frame in (("avro", avro), ("proto", protobuf))}
+    program = compile_avro(ORDER_LINE_AVSC)
+    records = stored(order_lines(spark, SF_DIR), "records")
+    encoded = stored(records.transform(encode_records, program).select("payload"), "records_avro")
+    decoders = {"avro": (decode_avro, avro), "proto": (decode_protobuf, protobuf)}
+    quarantine = {
+        f"lineitem_{name}_quarantine_{label}": lambda frame=frame, decode=decode: frame.transform(
+            decode, "auto", "quarantine"
+        ).select("user_message", "malformed")
+        for name, (decode, clean) in decoders.items()
+        for label, frame in (("clean", clean), ("all_bad", cuts[name]))
+    }
+    return quarantine | {
+        "lineitem_records_encode": lambda: records.transform(encode_records, program).select("payload"),
+        "lineitem_records_decode": lambda: encoded.transform(decode_records, program).select("record"),
         "lineitem_route_job": routed_by_job,
         "lineitem_ingest_avro_job": ingested_by_job,
         "lineitem_avro_decode_bad_text": lambda: avro_bad_text.transform(decode_avro).select(

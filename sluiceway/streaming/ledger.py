@@ -48,7 +48,7 @@ class Ledger:
         like = f"staged_{uuid.uuid4().hex}"
         kind = self._detail(rows.sparkSession, table, "Provider")
         rows.sparkSession.sql(
-            f"CREATE TABLE {like} LIKE IDENTIFIER(:table) USING {kind} LOCATION '{folder}'", args={"table": table}
+            f"CREATE TABLE {like} LIKE IDENTIFIER(:table) USING {kind} LOCATION :folder", args={"table": table, "folder": folder}
         )
         try:
             append_rows(rows, like)
