@@ -55,12 +55,10 @@ def term_counts(texts: DataFrame) -> DataFrame:
     keys = ["lang", "source", "term"]
 
     def counted(batch: pa.RecordBatch) -> Iterator[pa.Table]:
-        groups = pa.table({k: batch.column(k) for k in keys[:2]}).group_by(keys[:2]).aggregate([])
         lang, source = (batch.column(k).dictionary_encode() for k in keys[:2])
         sources = max(len(source.dictionary), 1)
         pair = lang.indices.to_numpy().astype(np.int64) * sources + source.indices.to_numpy()
         pairs, group = np.unique(pair, return_inverse=True)
-        assert len(pairs) == len(groups)
         for at, texts in text_groups(batch.column("text")):
             terms, first = terms_of(*text_bytes(texts), member)
             coded = terms.dictionary_encode()
