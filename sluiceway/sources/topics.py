@@ -76,7 +76,7 @@ def read_subscription(
 
     ``columns`` are those of the messages to read, all by default. For a topic with a log,
     ``start_offset`` is where a new query begins, by default with the first publication that is
-    kept; each trigger asks for what is new.
+    kept; each trigger takes all that is new, and other options are refused.
 
     For others ``options`` go to the file source. For a large backlog set ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger``, so that one micro-batch stays a bounded job. Files count
@@ -85,6 +85,8 @@ def read_subscription(
     are known to arrive in time.
     """
     if topic_log(topic) is not None:
+        if options:
+            raise ValueError(f"a topic with a log takes no {', '.join(sorted(options))}")
         return read_publications(spark, topic, start_offset, columns)
     options = _NESTED | _ANY_AGE | options
     messages = spark.readStream.schema(MESSAGE).options(**options).parquet(topic)

@@ -127,6 +127,11 @@ def test_first_start_is_kept(spark, folder, topic):
     assert [r.id for r in scan_table(spark, table).collect()] == ["1"]
 
 
+def test_options_of_files_are_refused(spark, topic):
+    with pytest.raises(ValueError, match="takes no maxFilesPerTrigger"):
+        read_subscription(spark, topic, maxFilesPerTrigger=1)
+
+
 def test_retention(spark, folder, topic):
     table = new_table(spark, folder, "received", MESSAGE)
     for name in "ABC":
