@@ -37,6 +37,7 @@ empty table gives an empty result. Only the two named columns are read.
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -246,6 +247,11 @@ class Chain:
     move: np.ndarray
     emit: np.ndarray
 
+    @cached_property
+    def by_state(self) -> np.ndarray:
+        """Emission probabilities with a row for each state."""
+        return np.ascontiguousarray(self.emit.T)
+
 
 def first_chain(vocabulary: Vocabulary, states: int) -> Chain:
     """States that stay, with shares of classes changed at random, the same in every run."""
@@ -303,24 +309,30 @@ def _steps(segments: Segments, rows: np.ndarray) -> tuple[np.ndarray, list[tuple
 
 def _forward(chain: Chain, emitted: np.ndarray, bounds: list, v: np.ndarray):
     """Run segments from distributions ``v`` of the first state, on the emission probabilities of
-    their tokens, which become the distributions of the states that emitted them.
+    their tokens, which become the distributions of the states that emitted them. Both have a row
+    for each state, so that numpy works along many segments at once.
 
     Returns the distributions after the last token and the logarithms of the segments'
     probabilities.
     """
     v = v.copy()
-    ones = np.ones(len(chain.start))
-    log = np.zeros(len(v))
+    log = np.zeros(v.shape[1])
+    back = np.ascontiguousarray(chain.move.T)
     for low, high in bounds:
-        alpha = emitted[low:high]
-        alpha *= v[: high - low]
-        total = np.dot(alpha, ones)
-        alpha /= total[:, None]
+        alpha = emitted[:, low:high]
+        alpha *= v[:, : high - low]
+        total = alpha.sum(0)
+        alpha /= total
         log[: high - low] += np.log(total)
-        np.dot(alpha, chain.move, out=v[: high - low])
+        v[:, : high - low] = back @ alpha
     return v, log
 
 
+def _emissions(chain: Chain, tokens: np.ndarray) -> np.ndarray:
+    """The probability of each token in each state, a row for each state."""
+    return np.take(chain.by_state, tokens, axis=1)
+
+
 def _matrices(chain: Chain, segments: Segments) -> tuple[np.ndarray, np.ndarray]:
     """For every segment of a cut sequence but the first: the state after it from each state
     before it, and the logarithm of its probability."""
@@ -330,9 +342,9 @@ def _matrices(chain: Chain, segments: Segments) -> tuple[np.ndarray, np.ndarray]
     ends, logs = np.zeros((len(later), states, states)), np.zeros((len(later), states))
     for rows in segments.batches(np.flatnonzero(later), states):
         tokens, bounds = _steps(segments, rows)
-        v, log = _forward(chain, chain.emit[tokens], bounds, np.tile(np.eye(states), (len(rows) // states, 1)))
+        v, log = _forward(chain, _emissions(chain, tokens), bounds, np.tile(np.eye(states), len(rows) // states))
         own = rows[::states]
-        ends[own], logs[own] = v.reshape(-1, states, states), log.reshape(-1, states)
+        ends[own], logs[own] = v.T.reshape(-1, states, states), log.reshape(-1, states)
     return ends, logs
 
 
@@ -344,8 +356,9 @@ def log_likelihoods(chain: Chain, parts: list[np.ndarray]) -> np.ndarray:
     after, total = np.zeros((len(segments.begin), states)), np.zeros(len(segments.begin))
     for rows in segments.batches(heads, 1):
         tokens, bounds = _steps(segments, rows)
-        start = np.tile(chain.start, (len(rows), 1))
-        after[rows], total[rows] = _forward(chain, chain.emit[tokens], bounds, start)
+        start = np.tile(chain.start[:, None], len(rows))
+        v, total[rows] = _forward(chain, _emissions(chain, tokens), bounds, start)
+        after[rows] = v.T
     result = total[heads].copy()
     if len(segments.begin) > len(heads):
         ends, logs = _matrices(chain, segments)
@@ -375,7 +388,8 @@ def expected_counts(chain: Chain, parts: list[np.ndarray]) -> tuple[np.ndarray,
         ends, logs = _matrices(chain, segments)
         for own in segments.batches(heads[cut], 1):
             tokens, bounds = _steps(segments, own)
-            before[own + 1], _ = _forward(chain, chain.emit[tokens], bounds, before[own])
+            v, _ = _forward(chain, _emissions(chain, tokens), bounds, before[own].T)
+            before[own + 1] = v.T
         for i in cut.tolist():
             low, high = segments.first[i], segments.first[i + 1]
             for s in range(low + 1, high - 1):
@@ -387,32 +401,30 @@ def expected_counts(chain: Chain, parts: list[np.ndarray]) -> tuple[np.ndarray,
     last[segments.first[1:] - 1] = True
     start, moves = np.zeros(states), np.zeros((states, states))
     emitted = np.zeros(chain.emit.shape)
-    ones = np.ones(states)
     for rows in segments.batches(np.arange(count), 1):
         tokens, bounds = _steps(segments, rows)
-        emit = chain.emit[tokens]
+        emit = _emissions(chain, tokens)
         gammas = emit.copy()
-        _forward(chain, gammas, bounds, before[rows])
-        size, u = segments.size[rows], behind[rows]
-        # How many segments have a next place, or go on behind their last one.
+        _forward(chain, gammas, bounds, before[rows].T)
+        size, u = segments.size[rows], np.ascontiguousarray(behind[rows].T)
         goes_on = ~last[rows]
         for t in range(len(bounds) - 1, -1, -1):
             low, high = bounds[t]
             n = high - low
-            alpha = gammas[low:high]
-            ahead = np.dot(u[:n], chain.move.T)
-            weight = 1 / np.dot(alpha * ahead, ones)[:, None]
+            alpha = gammas[:, low:high]
+            ahead = chain.move @ u[:, :n]
+            weight = 1 / (alpha * ahead).sum(0)
             # The last token of a sequence is not followed by a move.
-            follows = alpha * (weight * (goes_on[:n] | (size[:n] > t + 1))[:, None])
-            moves += np.dot(follows.T, u[:n])
+            follows = alpha * (weight * (goes_on[:n] | (size[:n] > t + 1)))
+            moves += follows @ u[:, :n].T
             alpha *= ahead
             alpha *= weight
-            ahead *= emit[low:high]
-            ahead /= np.dot(ahead, ones)[:, None]
-            u[:n] = ahead
-        start += gammas[: len(rows)][np.isin(rows, heads)].sum(0)
+            ahead *= emit[:, low:high]
+            ahead /= ahead.sum(0)
+            u[:, :n] = ahead
+        start += gammas[:, : len(rows)][:, np.isin(rows, heads)].sum(1)
         for k in range(states):
-            emitted[:, k] += np.bincount(tokens, gammas[:, k], len(emitted))
+            emitted[:, k] += np.bincount(tokens, gammas[k], len(emitted))
     return start, moves * chain.move, emitted
 
 
