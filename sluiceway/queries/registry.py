@@ -43,7 +43,13 @@ from sluiceway.sinks.tables import insert_rows
 from sluiceway.sinks.topics import publish
 from sluiceway.sources.streams import as_messages
 from sluiceway.sources.tables import read_routes, scan_table
-from sluiceway.sources.topics import create_topic, read_subscription, read_topic, topic_table
+from sluiceway.sources.topics import (
+    create_topic,
+    dealt_by_id,
+    read_subscription,
+    read_topic,
+    topic_table,
+)
 from sluiceway.streaming.writers import append_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,7 +86,7 @@ def published_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many ids a publication gives back, and how many of them are distinct."""
     topic = create_topic(spark, scratch_dir(spark))
     ids = publish_greetings(inputs.greeted_names(spark, sf_dir).drop("message_id"), topic)
-    return ids.agg(
+    return dealt_by_id(ids).agg(
         F.count("message_id").alias("ids"), F.countDistinct("message_id").alias("distinct_ids")
     )
 

@@ -18,6 +18,7 @@ from sluiceway.sources.streams import once_within
 from sluiceway.sources.tables import scan_table
 from sluiceway.sources.topics import (
     create_topic,
+    dealt_by_id,
     kept_offset,
     read_subscription,
     topic_log,
@@ -173,7 +174,7 @@ def published_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = read_subscription(spark, source).select("payload", "publish_time")
         publish_stream(stream, topic, f"{folder}/checkpoint", ALL_AVAILABLE).awaitTermination()
         _crash_before_commit(spark, f"{folder}/checkpoint")
-    messages = topic_table(spark, topic)
+    messages = topic_table(spark, topic).transform(dealt_by_id)
     return messages.groupBy(F.decode("payload", "UTF-8").alias("event_type")).agg(
         F.count(F.lit(1)).alias("messages"), F.countDistinct("message_id").alias("ids")
     )

@@ -27,6 +27,9 @@ _ANY_AGE = {"maxFileAge": "36500d"}
 
 _START = T.StructType([T.StructField("start", T.TimestampType())])
 
+#: Messages whose ids one task compares; some 340 bytes each for ids that are made by publishing.
+IDS_PER_TASK = 250_000
+
 
 def create_topic(spark: SparkSession, topic: str, log: bool = False) -> str:
     """Make an empty topic, with an offset log if told; an existing one is left as it is."""
@@ -65,6 +68,17 @@ def topic_table(spark: SparkSession, topic: str) -> DataFrame:
     return spark.read.schema(MESSAGE).options(**_NESTED).parquet(topic)
 
 
+def dealt_by_id(messages: DataFrame) -> DataFrame:
+    """Messages of a topic, read as a batch, with those of one id in one task, and so many tasks
+    that each has a bounded number of ids however many messages there are.
+
+    For a count of distinct ids, which holds all ids of a task: splits of files bound their bytes
+    only, and ids that are made one after the other take few. The messages are counted first, for
+    which Parquet needs no column. Messages of the same id, or without one, are never split.
+    """
+    return messages.repartition(1 + messages.count() // IDS_PER_TASK, "message_id")
+
+
 def read_subscription(
     spark: SparkSession,
     topic: str,
